@@ -13,9 +13,13 @@ MAX_LINE_SYMBOLS = 10000
 
 
 def write_symbol_directory(symbols: DataFrame, path: str) -> None:
-    """(symbol, pos) -> one pipe-delimited file with a header line, in pos order."""
-    (symbols.select(F.col("symbol").alias("Symbol"), F.col("pos").cast("string").alias("Pos"))
-     .orderBy(F.col("pos")).coalesce(1)
+    """(symbol, pos) -> pipe-delimited files with a header line each, in pos order.
+
+    A distributed sort writes range-ordered part files; reading them back by
+    (file name, line) restores the order, so no single task holds the list.
+    """
+    (symbols.orderBy(F.col("pos"))
+     .select(F.col("symbol").alias("Symbol"), F.col("pos").cast("string").alias("Position"))
      .write.mode("overwrite").option("header", True).option("sep", "|").csv(path))
 
 

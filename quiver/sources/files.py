@@ -76,7 +76,8 @@ def read_vector_text(spark: SparkSession, path: str) -> DataFrame:
 
 def read_canopies(spark: SparkSession, path: str) -> DataFrame:
     """Canopy membership written partitioned by canopy_id (one folder per canopy)."""
-    return spark.read.parquet(path).select("symbol", "canopy_id", "v")
+    schema = "symbol string, v array<double>, canopy_id string"
+    return spark.read.schema(schema).parquet(path).select("symbol", "canopy_id", "v")
 
 
 def read_cluster_text(spark: SparkSession, path: str) -> DataFrame:
