@@ -12,7 +12,6 @@ PRICE_SCHEMA = T.StructType([
     T.StructField("high", T.DoubleType()),
     T.StructField("low", T.DoubleType()),
     T.StructField("close", T.DoubleType()),
-    T.StructField("_corrupt", T.StringType()),
 ])
 
 
@@ -41,25 +40,31 @@ def number_directory(symbols: DataFrame) -> DataFrame:
     return ranked.select("symbol", (F.col("rn") - 1).alias("pos"))
 
 
+def _unescape(c):
+    """%XX decoding only ('+' is kept): file paths are URI-encoded partition values."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def read_price_csv(spark: SparkSession, path: str) -> DataFrame:
     """One CSV per symbol (``<SYM>.csv`` or a ``symbol=<SYM>/`` folder), header row.
 
-    Columns: date, open, high, low, close; further columns are ignored.
-    Unparsable rows are dropped (the reference skips symbols it cannot load).
+    Columns are positional: date, open, high, low, close; further columns are
+    ignored.  A row whose date or prices do not parse is dropped (the
+    reference skips what it cannot load).
     """
     raw = (
         spark.read.schema(PRICE_SCHEMA)
         .option("header", True)
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
         .option("recursiveFileLookup", True)
         .csv(path)
     )
     fpath = F.col("_metadata.file_path")
     part_sym = F.regexp_extract(fpath, r"/symbol=([^/]+)/[^/]*$", 1)
     file_sym = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
-    symbol = F.when(part_sym != "", F.url_decode(part_sym)).otherwise(file_sym)
-    good = raw.where(F.col("_corrupt").isNull() & F.col("date").isNotNull())
+    symbol = F.when(part_sym != "", _unescape(_unescape(part_sym))).otherwise(file_sym)
+    good = raw.where(F.to_date("date").isNotNull() & F.col("open").isNotNull() & F.col("high").isNotNull()
+                     & F.col("low").isNotNull() & F.col("close").isNotNull())
     return good.select(
         symbol.alias("symbol"),
         F.to_date("date").alias("d"),
