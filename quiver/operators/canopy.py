@@ -168,7 +168,9 @@ def canopy(vectors: DataFrame, t1: float = 0.5, batch: int = 2048, max_batch: in
 
 
 def bucket_of(symbol_col, buckets: int):
-    return F.pmod(F.xxhash64(symbol_col), F.lit(int(buckets))).cast("int")
+    """Bucket = first 32 bits of md5(symbol) mod buckets (uniform; reproducible in plain SQL)."""
+    h = F.conv(F.substring(F.md5(symbol_col), 1, 8), 16, 10).cast("long")
+    return F.pmod(h, F.lit(int(buckets))).cast("int")
 
 
 def canopy_bucketed(vectors: DataFrame, t1: float = 0.5, buckets: int = 4, batch: int = 2048,

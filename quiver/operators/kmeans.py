@@ -81,7 +81,9 @@ def _round(members: DataFrame, cur: DataFrame, prev: DataFrame | None, dim: int,
         arrays = arrays.join(centre_arrays(prev, "ps"), "canopy_id")
         factor = 2
     joined = _attach(members, arrays, factor * n_centers * (dim * 8 + 48), broadcast_bytes, salts)
-    a_cur = nearest(F.col("cs"), F.col("v"))["cid"]
+    # coalesce: a non-null key stops Spark from inferring an is-not-null join
+    # filter that would evaluate the distance lambdas a second time.
+    a_cur = F.coalesce(nearest(F.col("cs"), F.col("v"))["cid"], F.lit(-1).cast("long"))
     a_prev = nearest(F.col("ps"), F.col("v"))["cid"] if prev is not None else F.lit(None).cast("long")
     tagged = joined.select(a_cur.alias("center_id"), a_prev.alias("prev_id"), "v")
     means = [F.avg(F.col("v")[j]) for j in range(dim)]

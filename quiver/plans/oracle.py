@@ -14,12 +14,14 @@ def dist(a: str, b: str) -> str:
     return f"(list_sum(list_transform(list_zip({a}, {b}), lambda z: abs(z[1] - z[2]))) / len({b}))"
 
 
-def bars_cte(source: str = "events") -> str:
+def bars_cte(source: str = "events", amount: int | None = None) -> str:
     if source == "events":
-        return """bars AS (
+        chosen = "" if amount is None else (
+            f" AND CAST(user_id AS VARCHAR) IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey < {amount})")
+        return f"""bars AS (
   SELECT CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS d,
          arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close
-  FROM events WHERE value IS NOT NULL AND ts IS NOT NULL AND user_id IS NOT NULL
+  FROM events WHERE value IS NOT NULL AND ts IS NOT NULL AND user_id IS NOT NULL{chosen}
   GROUP BY 1, 2)"""
     return """bars AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS d,
@@ -57,28 +59,58 @@ def vectors_ctes(feats=FEATS) -> str:
         "vec AS (SELECT symbol, list(x ORDER BY pos) AS v FROM vl GROUP BY symbol)"
 
 
-def pipeline_prefix(days: int = 5, degenerate: str = "nan", source: str = "events") -> str:
-    return ",\n".join([bars_cte(source), latest_ctes(days), scaled_cte(degenerate), vectors_ctes()])
+def pipeline_prefix(days: int = 5, degenerate: str = "nan", source: str = "events", amount: int | None = None) -> str:
+    return ",\n".join([bars_cte(source, amount), latest_ctes(days), scaled_cte(degenerate), vectors_ctes()])
 
 
-def canopy_ctes(t1: float, vec: str = "vec") -> str:
-    """Sequential greedy canopy as a recursive walk over symbol order -> mem(symbol, canopy, v)."""
-    return f"""ord AS (SELECT symbol, v, row_number() OVER (ORDER BY symbol) AS pos FROM {vec}),
-nearp AS (SELECT a.pos AS ap, b.pos AS bp FROM ord a JOIN ord b ON a.pos < b.pos AND {dist('a.v', 'b.v')} < {t1!r}),
-walk(pos, centers) AS (
+def clusters_ctes(prefix: str, t1: float, k: int, dim: int, rounds: int, seed: str = "42", vec: str = "vec") -> str:
+    """prefix (defining ``vec``) -> ... -> cl(cluster_no, symbol) after ``rounds`` k-means rounds."""
+    return ",\n".join([prefix, canopy_ctes(t1, vec), seats_ctes(k), seeds_ctes(seed), kmeans_ctes(rounds, dim),
+                       f"cl AS (SELECT CAST(dense_rank() OVER (ORDER BY cid) AS INTEGER) AS cluster_no, symbol "
+                       f"FROM a{rounds})"])
+
+
+def canopy_ctes(t1: float, vec: str = "vec", p: str = "", order: str = "symbol", group: str | None = None) -> str:
+    """Sequential greedy canopy as a recursive walk -> {p}mem(symbol, canopy, v).
+
+    ``order`` is the visiting order; with ``group`` only vectors of the same
+    group can join each other (one independent pass per group).
+    """
+    same = f"a.{group} = b.{group} AND " if group else ""
+    cols = f"symbol, v{', ' + group if group else ''}"
+    return f"""{p}ord AS (SELECT {cols}, row_number() OVER (ORDER BY {order}) AS pos FROM {vec}),
+{p}nearp AS (SELECT a.pos AS ap, b.pos AS bp FROM {p}ord a JOIN {p}ord b
+  ON {same}a.pos < b.pos AND {dist('a.v', 'b.v')} < {t1!r}),
+{p}walk(pos, centers) AS (
   SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
   UNION ALL
   SELECT w.pos + 1,
-         CASE WHEN EXISTS (SELECT 1 FROM nearp e WHERE e.bp = w.pos + 1 AND list_contains(w.centers, e.ap))
+         CASE WHEN EXISTS (SELECT 1 FROM {p}nearp e WHERE e.bp = w.pos + 1 AND list_contains(w.centers, e.ap))
               THEN w.centers ELSE list_append(w.centers, w.pos + 1) END
-  FROM walk w WHERE w.pos < (SELECT max(pos) FROM ord)),
-cen AS (SELECT unnest(centers) AS cpos FROM walk WHERE pos = (SELECT max(pos) FROM ord)),
-mem0 AS (
+  FROM {p}walk w WHERE w.pos < (SELECT max(pos) FROM {p}ord)),
+{p}cen AS (SELECT unnest(centers) AS cpos FROM {p}walk WHERE pos = (SELECT max(pos) FROM {p}ord)),
+{p}mem0 AS (
   SELECT o.symbol, o.pos, coalesce(min(e.ap), o.pos) AS cpos
-  FROM ord o LEFT JOIN (SELECT * FROM nearp WHERE ap IN (SELECT cpos FROM cen)) e
-    ON e.bp = o.pos AND o.pos NOT IN (SELECT cpos FROM cen)
+  FROM {p}ord o LEFT JOIN (SELECT * FROM {p}nearp WHERE ap IN (SELECT cpos FROM {p}cen)) e
+    ON e.bp = o.pos AND o.pos NOT IN (SELECT cpos FROM {p}cen)
   GROUP BY o.symbol, o.pos),
-mem AS (SELECT m.symbol, c.symbol AS canopy, o.v FROM mem0 m JOIN ord c ON c.pos = m.cpos JOIN ord o ON o.pos = m.pos)"""
+{p}mem AS (SELECT m.symbol, c.symbol AS canopy, o.v FROM {p}mem0 m JOIN {p}ord c ON c.pos = m.cpos
+  JOIN {p}ord o ON o.pos = m.pos)"""
+
+
+def md5_bucket(col: str, buckets: int) -> str:
+    return f"CAST(('0x' || substr(md5({col}), 1, 8))::BIGINT % {int(buckets)} AS BIGINT)"
+
+
+def canopy_bucketed_ctes(t1: float, buckets: int, vec: str = "vec") -> str:
+    """Local pass per md5 bucket, then a greedy pass over the local centres -> mem(symbol, canopy, v)."""
+    return ",\n".join([
+        f"bvec AS (SELECT symbol, v, {md5_bucket('symbol', buckets)} AS bucket FROM {vec})",
+        canopy_ctes(t1, "bvec", p="l_", order="bucket, symbol", group="bucket"),
+        "lcen AS (SELECT symbol, v FROM l_mem WHERE symbol = canopy)",
+        canopy_ctes(t1, "lcen", p="g_"),
+        "mem AS (SELECT l.symbol, g.canopy, l.v FROM l_mem l JOIN g_mem g ON g.symbol = l.canopy)",
+    ])
 
 
 def seats_ctes(k: int) -> str:

@@ -39,6 +39,7 @@ SHORT_DAYS = 28
 AMOUNT = 100
 EMB_T1 = 0.14
 EMB_K = 8
+BUCKETS = 4
 DIM = DAYS * len(FEATURES)
 CLUSTER_ROUNDS_SQL = 8
 
@@ -171,7 +172,7 @@ def q_canopy_files(spark, sf):
 
 
 def q_canopy_members_bucketed(spark, sf):
-    return canopy_ops.canopy_bucketed(_vectors(spark, sf), T1, buckets=4).select("symbol", "canopy_id")
+    return canopy_ops.canopy_bucketed(_vectors(spark, sf), T1, buckets=BUCKETS).select("symbol", "canopy_id")
 
 
 def q_canopy_sizes(spark, sf):
@@ -340,6 +341,8 @@ def _oracle() -> dict[str, str]:
                             "ON a.v = g.v")
     q["canopy_members"] = O.with_recursive(base, canopy) + "SELECT symbol, canopy AS canopy_id FROM mem"
     q["canopy_files"] = q["canopy_members"]
+    q["canopy_members_bucketed"] = O.with_recursive(base, O.canopy_bucketed_ctes(T1, BUCKETS)) + \
+        "SELECT symbol, canopy AS canopy_id FROM mem"
     q["canopy_sizes"] = O.with_recursive(base, canopy) + \
         "SELECT canopy AS canopy_id, CAST(count(*) AS BIGINT) AS n FROM mem GROUP BY canopy"
     q["pair_distance"] = O.with_recursive(base, canopy) + (
@@ -374,7 +377,11 @@ def _oracle() -> dict[str, str]:
         "SELECT cluster_no, symbol, day_index, round(value, 6) AS value FROM ser"
     q["series_min"] = O.with_recursive(clusters_sql, series_sql) + \
         "SELECT symbol, round(min(value), 6) AS min_value FROM ser GROUP BY symbol"
+    q["pipeline"] = O.with_recursive(O.clusters_ctes(P(DAYS, amount=AMOUNT), T1, 5, DIM, CLUSTER_ROUNDS_SQL)) + \
+        "SELECT cluster_no, symbol FROM cl"
     emb = "emb AS (SELECT CAST(vec_id AS VARCHAR) AS symbol, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)"
+    q["embedding_clusters"] = O.with_recursive(O.clusters_ctes(emb, EMB_T1, EMB_K, 64, CLUSTER_ROUNDS_SQL, vec="emb")) + \
+        "SELECT cluster_no, symbol FROM cl"
     q["embedding_canopy"] = O.with_recursive(emb, O.canopy_ctes(EMB_T1, "emb")) + \
         "SELECT symbol, canopy AS canopy_id FROM mem"
     return q

@@ -1,7 +1,7 @@
 import __spark_entry__ as E
 from conftest import SF0001
 
-ROWS_ONLY = {"canopy_members_bucketed", "pipeline", "embedding_clusters"}
+ROWS_ONLY: set = set()
 
 
 def test_entry_runs_on_smallest_scale(spark):
