@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference has no streaming: every stage is a finite batch job awaited to
+completion (no watermarks, windows over event time, state or late data).  The
+clustering is iterative over a fixed vector set, so it stays a batch plan.
+"""
