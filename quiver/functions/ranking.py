@@ -13,12 +13,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from quiver.operators.persist import reliable
 
 
-def global_row_number(df: DataFrame, order: list[Column], name: str = "rn") -> DataFrame:
+# Fixed value: row count up to which one ordered window (one task) is used.
+SMALL_ROWS = 100_000
+
+
+def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
+                      n_rows: int | None = None) -> DataFrame:
     """Append a 1-based global ``name`` column in the given total order.
 
     The order must be total (include a unique tie-breaker) for the result to
-    be deterministic.
+    be deterministic.  When the caller knows the frame has at most
+    ``SMALL_ROWS`` rows (``n_rows``, e.g. K centres or C canopies) a single
+    ordered window is used; otherwise the distributed form below.
     """
+    if n_rows is not None and n_rows <= SMALL_ROWS:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     pid = "__pid"
     local = "__local_rn"
     sorted_df = reliable(df.orderBy(*order).withColumn(pid, F.spark_partition_id()))

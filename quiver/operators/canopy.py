@@ -136,23 +136,27 @@ def check_vectors(vectors: DataFrame) -> int:
     return int(row["lo"])
 
 
-def canopy(vectors: DataFrame, t1: float = 0.5, batch: int = 2048, max_batch: int = 32768) -> DataFrame:
-    """Exact sequential-greedy canopies -> (symbol, canopy_id, v)."""
-    check_vectors(vectors)
+def canopy(vectors: DataFrame, t1: float = 0.5, batch: int = 2048, max_batch: int = 32768,
+           check: bool = True) -> DataFrame:
+    """Exact sequential-greedy canopies -> (symbol, canopy_id, v); every part is a written table."""
+    if check:
+        check_vectors(vectors)
     undecided = reliable(vectors.select("symbol", "v"))
     parts: list[DataFrame] = []
     size = int(batch)
     while True:
         head = undecided.orderBy("symbol").limit(size)
         decided = reliable(head.mapInPandas(greedy_pass(t1), OUT_SCHEMA))
-        centre_rows = decided.where(F.col("symbol") == F.col("canopy_id")).select("symbol", "v").collect()
-        if not centre_rows:
+        is_centre = F.col("symbol") == F.col("canopy_id")
+        # At most ``size`` rows: symbols, plus vectors of the new centres.
+        batch_rows = decided.select("symbol", F.when(is_centre, F.col("v")).alias("cv")).collect()
+        if not batch_rows:
             break
-        last = decided.agg(F.max("symbol")).first()[0]
+        last = max(r["symbol"] for r in batch_rows)
         parts.append(decided)
-        ids = [r["symbol"] for r in sorted(centre_rows, key=lambda r: r["symbol"])]
-        by_id = {r["symbol"]: r["v"] for r in centre_rows}
-        mat = np.asarray([by_id[i] for i in ids], dtype=np.float64)
+        centre_rows = sorted((r["symbol"], r["cv"]) for r in batch_rows if r["cv"] is not None)
+        ids = [sym for sym, _ in centre_rows]
+        mat = np.asarray([cv for _, cv in centre_rows], dtype=np.float64)
         rest = undecided.where(F.col("symbol") > F.lit(last))
         labelled = reliable(rest.mapInPandas(label_with_centres(ids, mat, float(t1)), OUT_SCHEMA))
         parts.append(labelled.where(F.col("canopy_id").isNotNull()))
@@ -174,9 +178,10 @@ def bucket_of(symbol_col, buckets: int):
 
 
 def canopy_bucketed(vectors: DataFrame, t1: float = 0.5, buckets: int = 4, batch: int = 2048,
-                    broadcast_rows: int = 1_000_000) -> DataFrame:
+                    broadcast_rows: int = 1_000_000, check: bool = True) -> DataFrame:
     """Local greedy pass per hash bucket, then merge of the local centres -> (symbol, canopy_id, v)."""
-    check_vectors(vectors)
+    if check:
+        check_vectors(vectors)
     schema = "symbol string, canopy_id string, v array<double>, bucket int"
     local = reliable(
         vectors.select("symbol", "v", bucket_of(F.col("symbol"), buckets).alias("bucket"))
@@ -185,13 +190,13 @@ def canopy_bucketed(vectors: DataFrame, t1: float = 0.5, buckets: int = 4, batch
         .mapInPandas(greedy_pass(t1, reset_on="bucket"), schema)
     )
     candidates = local.where(F.col("symbol") == F.col("canopy_id")).select("symbol", "v")
-    merged = canopy(candidates, t1, batch)
+    merged = canopy(candidates, t1, batch, check=False)
     mapping = merged.select(F.col("symbol").alias("local_id"), F.col("canopy_id").alias("final_id"))
     n_cand = candidates.count()
     if n_cand <= broadcast_rows:
         mapping = F.broadcast(mapping)
     joined = local.withColumnRenamed("canopy_id", "local_id").join(mapping, "local_id")
-    return joined.select("symbol", F.col("final_id").alias("canopy_id"), "v")
+    return reliable(joined.select("symbol", F.col("final_id").alias("canopy_id"), "v"))
 
 
 def canopy_sizes(members: DataFrame) -> DataFrame:

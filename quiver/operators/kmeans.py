@@ -1,6 +1,7 @@
 """k-means restricted to canopies: a vector only considers the centres of its own canopy.
 
-Per round one Spark job:
+Per round one Spark job (centre rows on the driver when the model is small,
+else written centre tables):
   members (checkpointed once) JOIN per-canopy centre arrays (current and
   previous round) -> nearest current centre and nearest previous centre for
   every vector (map side, no grouping) -> groupBy(new centre) with partial
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quiver.functions.distance import mean_l1
@@ -38,6 +40,7 @@ class KMeansResult:
     centers: DataFrame  # center_id, canopy_id, v
     rounds: int
     changed: list[int]
+    n_centers: int
 
 
 def centre_arrays(centers: DataFrame, name: str) -> DataFrame:
@@ -72,54 +75,102 @@ def assign(members: DataFrame, centers: DataFrame, dim: int, n_centers: int,
                        F.col("nn.d").alias("dist"))
 
 
-def _round(members: DataFrame, cur: DataFrame, prev: DataFrame | None, dim: int, n_centers: int,
-           broadcast_bytes: int, salts: int) -> DataFrame:
-    """One assign+update round -> (center_id, canopy_id, v, n, changed) for every centre."""
-    arrays = centre_arrays(cur, "cs")
-    factor = 1
-    if prev is not None:
-        arrays = arrays.join(centre_arrays(prev, "ps"), "canopy_id")
-        factor = 2
-    joined = _attach(members, arrays, factor * n_centers * (dim * 8 + 48), broadcast_bytes, salts)
+def _tag_and_aggregate(joined: DataFrame, has_prev: bool, dim: int) -> DataFrame:
+    """Nearest current / previous centre per vector, then per-centre means and change counts."""
     # coalesce: a non-null key stops Spark from inferring an is-not-null join
     # filter that would evaluate the distance lambdas a second time.
     a_cur = F.coalesce(nearest(F.col("cs"), F.col("v"))["cid"], F.lit(-1).cast("long"))
-    a_prev = nearest(F.col("ps"), F.col("v"))["cid"] if prev is not None else F.lit(None).cast("long")
+    a_prev = nearest(F.col("ps"), F.col("v"))["cid"] if has_prev else F.lit(None).cast("long")
     tagged = joined.select(a_cur.alias("center_id"), a_prev.alias("prev_id"), "v")
     means = [F.avg(F.col("v")[j]) for j in range(dim)]
-    stats = tagged.groupBy("center_id").agg(
+    return tagged.groupBy("center_id").agg(
         F.array(*means).alias("new_v"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("prev_id").isNull() | (F.col("prev_id") != F.col("center_id"))).alias("changed"),
     )
-    out = cur.join(stats, "center_id", "left").select(
+
+
+def _round(members: DataFrame, cur: DataFrame, prev: DataFrame | None, dim: int, n_centers: int,
+           broadcast_bytes: int, salts: int) -> DataFrame:
+    """One assign+update round on centre tables -> (center_id, canopy_id, v, n, changed) per centre."""
+    arrays = centre_arrays(cur, "cs")
+    factor = 1
+    if prev is not None:
+        arrays = arrays.join(centre_arrays(prev, "ps"), "canopy_id")
+        factor = 2
+    joined = _attach(members, arrays, factor * n_centers * (dim * 8 + 48), broadcast_bytes, salts)
+    stats = _tag_and_aggregate(joined, prev is not None, dim)
+    return cur.join(stats, "center_id", "left").select(
         "center_id", "canopy_id",
         F.coalesce(F.col("new_v"), F.col("v")).alias("v"),
         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
         F.coalesce(F.col("changed"), F.lit(0)).cast("long").alias("changed"),
     )
-    return out
+
+
+ARRAYS_SCHEMA = ("canopy_id string, cs array<struct<cid: bigint, v: array<double>>>, "
+                 "ps array<struct<cid: bigint, v: array<double>>>")
+
+
+def _model_arrays(spark, cur: list, prev: list | None) -> DataFrame:
+    """Per-canopy centre arrays built from centre rows held on the driver (bounded)."""
+    by_canopy: dict[str, list] = {}
+    for cid, can, v in cur:
+        by_canopy.setdefault(can, [[], []])[0].append((cid, v))
+    for cid, can, v in prev or []:
+        by_canopy[can][1].append((cid, v))
+    rows = [(can, sorted(c), sorted(p) if prev is not None else None) for can, (c, p) in by_canopy.items()]
+    return spark.createDataFrame(rows, ARRAYS_SCHEMA)
 
 
 def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
            broadcast_bytes: int = 64 << 20, salts: int = 64, stop_on_convergence: bool = True,
-           checkpoint_members: bool = True) -> KMeansResult:
-    """Iterate assign/update from ``initial`` (center_id, canopy_id, v) centres."""
+           checkpoint_members: bool = True, model_bytes: int = 16 << 20) -> KMeansResult:
+    """Iterate assign/update from ``initial`` (center_id, canopy_id, v) centres.
+
+    When the model (K centres x d doubles) is under ``model_bytes`` the K new
+    centre rows come back to the driver each round and the next round's
+    per-canopy arrays are built from them (as MLlib's k-means does): one job per
+    round.  Larger models stay in written centre tables, never on the driver.
+    """
+    spark = members.sparkSession
     members = members.select("symbol", "canopy_id", "v")
     if checkpoint_members:
         members = reliable(members)
-    cur = reliable(initial.select(F.col("center_id").cast("long"), "canopy_id", "v"))
-    n_centers = cur.count()
-    prev = None
+    # Cached for the rounds; a lost block is re-read from the written table.
+    members = members.persist(StorageLevel.MEMORY_AND_DISK)
+    cur_df = reliable(initial.select(F.col("center_id").cast("long"), "canopy_id", "v"))
+    n_centers = cur_df.count()
+    on_driver = n_centers * (dim * 8 + 48) <= model_bytes
     changed: list[int] = []
     rounds = 0
+    if on_driver:
+        cur = sorted((r["center_id"], r["canopy_id"], list(r["v"])) for r in cur_df.collect())
+        prev = None
+        for i in range(1, int(max_iter) + 1):
+            arrays = _model_arrays(spark, cur, prev)
+            joined = members.join(F.broadcast(arrays), "canopy_id")
+            stats = {r["center_id"]: r for r in _tag_and_aggregate(joined, prev is not None, dim).collect()}
+            ch = int(sum(r["changed"] for r in stats.values()))
+            changed.append(ch)
+            rounds = i
+            nxt = [(cid, can, list(stats[cid]["new_v"]) if cid in stats else v) for cid, can, v in cur]
+            prev, cur = cur, nxt
+            if stop_on_convergence and i >= 2 and ch == 0:
+                break
+        centers = spark.createDataFrame(cur, "center_id bigint, canopy_id string, v array<double>")
+        last = spark.createDataFrame(prev if prev is not None else cur,
+                                     "center_id bigint, canopy_id string, v array<double>")
+        final = assign(members, last, dim, n_centers, broadcast_bytes, salts)
+        return KMeansResult(final, centers, rounds, changed, n_centers)
+    cur_t, prev_t = cur_df, None
     for i in range(1, int(max_iter) + 1):
-        nxt = reliable(_round(members, cur, prev, dim, n_centers, broadcast_bytes, salts))
+        nxt = reliable(_round(members, cur_t, prev_t, dim, n_centers, broadcast_bytes, salts))
         ch = int(nxt.agg(F.sum("changed")).first()[0] or 0)
         changed.append(ch)
         rounds = i
-        prev, cur = cur, nxt.select("center_id", "canopy_id", "v")
+        prev_t, cur_t = cur_t, nxt.select("center_id", "canopy_id", "v")
         if stop_on_convergence and i >= 2 and ch == 0:
             break
-    final = assign(members, prev if prev is not None else cur, dim, n_centers, broadcast_bytes, salts)
-    return KMeansResult(final, cur, rounds, changed)
+    final = assign(members, prev_t if prev_t is not None else cur_t, dim, n_centers, broadcast_bytes, salts)
+    return KMeansResult(final, cur_t, rounds, changed, n_centers)

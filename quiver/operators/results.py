@@ -8,10 +8,14 @@ from quiver.config import FEATURES
 from quiver.functions.ranking import global_row_number
 
 
-def number_clusters(assignments: DataFrame) -> DataFrame:
-    """(symbol, center_id, ...) -> (cluster_no, symbol); non-empty clusters numbered 1.. by center_id."""
+def number_clusters(assignments: DataFrame, n_centers: int | None = None) -> DataFrame:
+    """(symbol, center_id, ...) -> (cluster_no, symbol); non-empty clusters numbered 1.. by center_id.
+
+    ``n_centers`` (K, an upper bound on the distinct ids) lets the numbering
+    use one small window.
+    """
     used = assignments.select("center_id").distinct()
-    numbered = global_row_number(used, [F.col("center_id")], "cluster_no")
+    numbered = global_row_number(used, [F.col("center_id")], "cluster_no", n_rows=n_centers)
     return assignments.join(numbered, "center_id").select(
         F.col("cluster_no").cast("int").alias("cluster_no"), "symbol")
 

@@ -37,7 +37,7 @@ def seats(sizes: DataFrame, k: int) -> DataFrame:
     leftover = kk - int(based.agg(F.sum("base")).first()[0])
     if leftover <= 0:
         return based.select("canopy_id", "n", F.col("base").alias("seats"))
-    ranked = global_row_number(based, [F.col("rem").desc(), F.col("canopy_id").asc()], "r")
+    ranked = global_row_number(based, [F.col("rem").desc(), F.col("canopy_id").asc()], "r", n_rows=n_canopies)
     extra = F.when(F.col("r") <= F.lit(leftover), F.lit(1)).otherwise(F.lit(0)).cast("long")
     return ranked.select("canopy_id", "n", (F.col("base") + extra).alias("seats"))
 
@@ -49,12 +49,12 @@ def seeds(members: DataFrame, seat_table: DataFrame, seed: str = "42") -> DataFr
     so Spark applies a partial top-k before the shuffle and a canopy holding
     most of the data does not travel whole to one task.
     """
-    kmax_row = seat_table.agg(F.max("seats")).first()[0]
-    kmax = int(kmax_row or 0)
+    agg = seat_table.agg(F.max("seats").alias("kmax"), F.sum("seats").alias("k")).first()
+    kmax, total = int(agg["kmax"] or 0), int(agg["k"] or 0)
     order = F.md5(F.concat(F.lit(str(seed)), F.lit(":"), F.col("symbol")))
     w = Window.partitionBy("canopy_id").orderBy(order, F.col("symbol"))
     top = members.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.lit(kmax))
     chosen = top.join(seat_table.select("canopy_id", "seats"), "canopy_id").where(F.col("r") <= F.col("seats"))
     numbered = global_row_number(chosen.select("canopy_id", "r", "symbol", "v"),
-                                 [F.col("canopy_id"), F.col("r")], "center_id")
+                                 [F.col("canopy_id"), F.col("r")], "center_id", n_rows=total)
     return numbered.select("center_id", "canopy_id", "symbol", "v")

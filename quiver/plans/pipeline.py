@@ -10,6 +10,7 @@ from quiver.config import RunConfig
 from quiver.operators import canopy as canopy_ops
 from quiver.operators import features as feat
 from quiver.operators.kmeans import KMeansResult, kmeans
+from quiver.operators.persist import reliable
 from quiver.operators.results import number_clusters, series
 from quiver.operators.seeding import seats, seeds
 
@@ -37,12 +38,9 @@ def cluster_vectors(vectors: DataFrame, cfg: RunConfig) -> tuple[DataFrame, Data
     """vectors -> (members, seats, seeds, k-means result)."""
     dim = canopy_ops.check_vectors(vectors)
     if cfg.buckets > 0:
-        members = canopy_ops.canopy_bucketed(vectors, cfg.t1, cfg.buckets, cfg.canopy_batch)
+        members = canopy_ops.canopy_bucketed(vectors, cfg.t1, cfg.buckets, cfg.canopy_batch, check=False)
     else:
-        members = canopy_ops.canopy(vectors, cfg.t1, cfg.canopy_batch)
-    from quiver.operators.persist import reliable
-
-    members = reliable(members)
+        members = canopy_ops.canopy(vectors, cfg.t1, cfg.canopy_batch, check=False)
     seat_table = reliable(seats(canopy_ops.canopy_sizes(members), cfg.clusters))
     initial = reliable(seeds(members, seat_table, cfg.seed))
     result = kmeans(members, initial.select("center_id", "canopy_id", "v"), dim, cfg.max_iter,
@@ -54,7 +52,7 @@ def run(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = None) -> Ru
     chosen = select_symbols(bars, symbols, cfg.amount)
     vectors = feat.build_vectors(chosen, cfg.days, cfg.features, cfg.degenerate, cfg.short_history)
     members, seat_table, initial, result = cluster_vectors(vectors, cfg)
-    clusters = number_clusters(result.assignments)
+    clusters = number_clusters(result.assignments, result.n_centers)
     raw = feat.latest_days(chosen, cfg.days, cfg.features)
     return RunResult(vectors, members, seat_table, initial, result, clusters,
                      series(clusters, raw, cfg.features))

@@ -57,7 +57,7 @@ def _vectors(spark: SparkSession, sf: str, days: int = DAYS, degenerate: str = "
 
 
 def _members(spark: SparkSession, sf: str) -> DataFrame:
-    return reliable(canopy_ops.canopy(_vectors(spark, sf), T1))
+    return canopy_ops.canopy(_vectors(spark, sf), T1)
 
 
 def _seeded(spark: SparkSession, sf: str, k: int = K):
@@ -227,7 +227,7 @@ def q_kmeans_3_iter(spark, sf):
 def _clusters(spark, sf):
     members, _, initial = _seeded(spark, sf)
     res = kmeans(members, initial, DIM, max_iter=50, checkpoint_members=False)
-    return reliable(number_clusters(res.assignments))
+    return reliable(number_clusters(res.assignments, res.n_centers))
 
 
 def q_clusters(spark, sf):
@@ -289,7 +289,7 @@ def q_embedding_clusters(spark, sf):
     from quiver.plans.pipeline import cluster_vectors
 
     _, _, _, res = cluster_vectors(vec, cfg)
-    return number_clusters(res.assignments)
+    return number_clusters(res.assignments, res.n_centers)
 
 
 # ---------------------------------------------------------------- oracle SQL

@@ -62,6 +62,8 @@ def test_empty_centre_keeps_vector_and_canopy_restriction(spark):
     centres = spark.createDataFrame(
         [(1, "a", [0.1]), (2, "a", [9.0]), (3, "z", [0.0])], "center_id long, canopy_id string, v array<double>")
     res = kmeans(m, centres, 1, max_iter=5)
+    tab = kmeans(m, centres, 1, max_iter=5, model_bytes=0)
+    assert sorted(tab.centers.collect()) == sorted(res.centers.collect())
     got = {r["center_id"]: r["v"] for r in res.centers.collect()}
     assert got[2] == [9.0]  # lost all members
     assert got[1] == [pytest.approx(0.1)]
@@ -108,9 +110,16 @@ def test_salted_join_matches_broadcast(spark):
     m = canopy(vec_df(spark, rows), 0.35)
     init = seeds(m, seats(canopy_sizes(m), 6))
     a = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False)
-    b = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, broadcast_bytes=0, salts=4)
-    assert sorted(a.assignments.select("symbol", "center_id").collect()) == \
-        sorted(b.assignments.select("symbol", "center_id").collect())
+    b = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, broadcast_bytes=0, salts=4, model_bytes=0)
+    c = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, model_bytes=0)
+    key = ["symbol", "center_id"]
+    assert sorted(a.assignments.select(*key).collect()) == sorted(b.assignments.select(*key).collect())
+    assert sorted(a.assignments.select(*key).collect()) == sorted(c.assignments.select(*key).collect())
+    assert a.changed == b.changed == c.changed
+    ca = {r["center_id"]: r["v"] for r in a.centers.collect()}
+    cb = {r["center_id"]: r["v"] for r in b.centers.collect()}
+    assert ca.keys() == cb.keys()
+    assert all(abs(x - y) < 1e-12 for k in ca for x, y in zip(ca[k], cb[k]))
 
 
 def test_independent_of_shuffle_partitions(spark):
