@@ -137,11 +137,16 @@ def check_vectors(vectors: DataFrame) -> int:
 
 
 def canopy(vectors: DataFrame, t1: float = 0.5, batch: int = 2048, max_batch: int = 32768,
-           check: bool = True) -> DataFrame:
-    """Exact sequential-greedy canopies -> (symbol, canopy_id, v); every part is a written table."""
+           check: bool = True, materialized: bool = False) -> DataFrame:
+    """Exact sequential-greedy canopies -> (symbol, canopy_id, v); every part is a written table.
+
+    ``materialized``: ``vectors`` is already a written table (no copy is made).
+    """
+    undecided = vectors.select("symbol", "v")
+    if not materialized:
+        undecided = reliable(undecided)
     if check:
-        check_vectors(vectors)
-    undecided = reliable(vectors.select("symbol", "v"))
+        check_vectors(undecided)
     parts: list[DataFrame] = []
     size = int(batch)
     while True:

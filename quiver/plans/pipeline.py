@@ -36,11 +36,12 @@ def select_symbols(bars: DataFrame, symbols: DataFrame | None, amount: int | Non
 
 def cluster_vectors(vectors: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame, DataFrame, KMeansResult]:
     """vectors -> (members, seats, seeds, k-means result)."""
+    vectors = reliable(vectors.select("symbol", "v"))
     dim = canopy_ops.check_vectors(vectors)
     if cfg.buckets > 0:
         members = canopy_ops.canopy_bucketed(vectors, cfg.t1, cfg.buckets, cfg.canopy_batch, check=False)
     else:
-        members = canopy_ops.canopy(vectors, cfg.t1, cfg.canopy_batch, check=False)
+        members = canopy_ops.canopy(vectors, cfg.t1, cfg.canopy_batch, check=False, materialized=True)
     seat_table = reliable(seats(canopy_ops.canopy_sizes(members), cfg.clusters))
     initial = reliable(seeds(members, seat_table, cfg.seed))
     result = kmeans(members, initial.select("center_id", "canopy_id", "v"), dim, cfg.max_iter,

@@ -1,16 +1,21 @@
-"""Session helpers: local session for tests/bench and the shared scratch folder."""
+"""Session helpers: local session for tests/bench, the shared checkpoint folder, and
+shipping the package to Python workers."""
 
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL_CKPT: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quiver") -> SparkSession:
-    """Local session used by tests, bench and the entry point when none is given."""
+    """Local session used by tests, bench and tools."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -30,48 +35,65 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-_SHIPPED: set[str] = set()
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect sessions have no SparkContext)
+        return None
+
+
+def _is_local(spark: SparkSession, sc) -> bool:
+    if sc is not None:
+        return sc.master.startswith("local")
+    master = spark.conf.get("spark.master", "") or ""
+    return master.startswith("local")
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Return the shared folder for written intermediate tables.
+
+    On a cluster ``spark.checkpoint.dir`` must name a folder shared by all
+    nodes; it is read from the session.  Only a local-mode session without the
+    setting (tests) gets a fresh temporary folder.
+    """
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        if not _is_local(spark, sc):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
+        key = "local"
+        if key not in _LOCAL_CKPT:
+            _LOCAL_CKPT[key] = tempfile.mkdtemp(prefix="quiver-ckpt-", dir="/tmp")
+        configured = _LOCAL_CKPT[key]
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    return configured
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``quiver`` importable in Python workers (as ``--py-files`` would)."""
-    sc = spark.sparkContext
-    key = sc.applicationId
+    """Make ``quiver`` importable in Python workers (what ``--py-files`` does)."""
+    sc = _context(spark)
+    key = sc.applicationId if sc is not None else f"connect-{id(spark)}"
     if key in _SHIPPED:
         return
-    import shutil
-
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out_dir = tempfile.mkdtemp(prefix="quiver-pyfiles-")
     archive = shutil.make_archive(os.path.join(out_dir, "quiver"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir="quiver")
-    sc.addPyFile(archive)
-    _SHIPPED.add(key)
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting one only where none is configured.
-
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder; it is read
-    from the session.  Only a local-mode session without the setting (tests)
-    gets a fresh temporary folder.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quiver-ckpt-", dir="/tmp"))
+    if sc is not None:
+        sc.addPyFile(archive)
     else:
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
-    return sc.getCheckpointDir()
+        spark.addArtifacts(archive, pyfile=True)
+    _SHIPPED.add(key)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written intermediate tables."""
+    """A fresh folder under the shared checkpoint folder for a written intermediate table."""
     ship_package(spark)
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/quiver-{name}-{uuid.uuid4().hex[:12]}"
