@@ -205,4 +205,13 @@ def canopy_bucketed(vectors: DataFrame, t1: float = 0.5, buckets: int = 4, batch
 
 
 def canopy_sizes(members: DataFrame) -> DataFrame:
+    """(canopy_id, n): members per canopy (partial aggregation)."""
     return members.groupBy("canopy_id").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+def number_canopies(sizes: DataFrame) -> DataFrame:
+    """Add ``canopy_no``: creation order of the canopy centres (= centre symbol order), 1-based."""
+    from quiver.functions.ranking import global_row_number
+
+    n = sizes.count()
+    return global_row_number(sizes, [F.col("canopy_id")], "canopy_no", n_rows=n)

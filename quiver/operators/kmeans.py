@@ -162,6 +162,7 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
         last = spark.createDataFrame(prev if prev is not None else cur,
                                      "center_id bigint, canopy_id string, v array<double>")
         final = assign(members, last, dim, n_centers, broadcast_bytes, salts)
+        members.unpersist(blocking=False)
         return KMeansResult(final, centers, rounds, changed, n_centers)
     cur_t, prev_t = cur_df, None
     for i in range(1, int(max_iter) + 1):
@@ -173,4 +174,5 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
         if stop_on_convergence and i >= 2 and ch == 0:
             break
     final = assign(members, prev_t if prev_t is not None else cur_t, dim, n_centers, broadcast_bytes, salts)
+    members.unpersist(blocking=False)
     return KMeansResult(final, cur_t, rounds, changed, n_centers)

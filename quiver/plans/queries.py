@@ -176,7 +176,7 @@ def q_canopy_members_bucketed(spark, sf):
 
 
 def q_canopy_sizes(spark, sf):
-    return canopy_ops.canopy_sizes(_members(spark, sf))
+    return canopy_ops.number_canopies(canopy_ops.canopy_sizes(_members(spark, sf)))
 
 
 def q_pair_distance(spark, sf):
@@ -344,7 +344,8 @@ def _oracle() -> dict[str, str]:
     q["canopy_members_bucketed"] = O.with_recursive(base, O.canopy_bucketed_ctes(T1, BUCKETS)) + \
         "SELECT symbol, canopy AS canopy_id FROM mem"
     q["canopy_sizes"] = O.with_recursive(base, canopy) + \
-        "SELECT canopy AS canopy_id, CAST(count(*) AS BIGINT) AS n FROM mem GROUP BY canopy"
+        ("SELECT canopy AS canopy_id, CAST(count(*) AS BIGINT) AS n, "
+         "CAST(row_number() OVER (ORDER BY canopy) AS BIGINT) AS canopy_no FROM mem GROUP BY canopy")
     q["pair_distance"] = O.with_recursive(base, canopy) + (
         f"SELECT m.symbol, m.canopy AS canopy_id, round({O.dist('c.v', 'm.v')}, 9) AS dist "
         "FROM mem m JOIN mem c ON c.symbol = m.canopy")
