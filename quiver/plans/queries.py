@@ -40,6 +40,7 @@ AMOUNT = 100
 EMB_T1 = 0.14
 EMB_K = 8
 BUCKETS = 4
+K_LARGE = 40
 DIM = DAYS * len(FEATURES)
 CLUSTER_ROUNDS_SQL = 8
 
@@ -224,8 +225,8 @@ def q_kmeans_3_iter(spark, sf):
     return res.assignments.select("symbol", "center_id")
 
 
-def _clusters(spark, sf):
-    members, _, initial = _seeded(spark, sf)
+def _clusters(spark, sf, k: int = K):
+    members, _, initial = _seeded(spark, sf, k)
     res = kmeans(members, initial, DIM, max_iter=50, checkpoint_members=False)
     return reliable(number_clusters(res.assignments, res.n_centers))
 
@@ -234,6 +235,11 @@ def q_clusters(spark, sf):
     return _clusters(spark, sf)
 
 
+def q_clusters_k40(spark, sf):
+    """Many more centres than canopies: real k-means iterations inside canopies."""
+    return _clusters(spark, sf, K_LARGE)
+
+
 def q_cluster_lines(spark, sf):
     return cluster_text_lines(_clusters(spark, sf))
 
@@ -366,6 +372,8 @@ def _oracle() -> dict[str, str]:
         "SELECT symbol, CAST(cid AS BIGINT) AS center_id FROM a3"
     q["clusters"] = O.with_recursive(clusters_sql) + "SELECT cluster_no, symbol FROM cl"
     q["cluster_text"] = q["clusters"]
+    q["clusters_k40"] = O.with_recursive(O.clusters_ctes(base, T1, K_LARGE, DIM, CLUSTER_ROUNDS_SQL)) + \
+        "SELECT cluster_no, symbol FROM cl"
     q["cluster_sizes"] = O.with_recursive(clusters_sql) + \
         "SELECT cluster_no, CAST(count(*) AS BIGINT) AS n_symbols FROM cl GROUP BY cluster_no"
     q["cluster_lines"] = O.with_recursive(clusters_sql) + (
@@ -416,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "convergence_count": q_convergence_count,
     "kmeans_3_iter": q_kmeans_3_iter,
     "clusters": q_clusters,
+    "clusters_k40": q_clusters_k40,
     "cluster_lines": q_cluster_lines,
     "cluster_text": q_cluster_text,
     "cluster_sizes": q_cluster_sizes,
