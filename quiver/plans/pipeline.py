@@ -49,11 +49,20 @@ def cluster_vectors(vectors: DataFrame, cfg: RunConfig) -> tuple[DataFrame, Data
     return members, seat_table, initial, result
 
 
-def run(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = None) -> RunResult:
+def stage_window(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = None) -> DataFrame:
+    """The latest-D raw bars of every kept symbol, written once.
+
+    Both the vectors and the result series derive from this N x D table, so
+    the (large) bar source is scanned a single time per run.
+    """
     chosen = select_symbols(bars, symbols, cfg.amount)
-    vectors = feat.build_vectors(chosen, cfg.days, cfg.features, cfg.degenerate, cfg.short_history)
+    return reliable(feat.full_history(chosen, cfg.days, cfg.features, cfg.short_history))
+
+
+def run(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = None) -> RunResult:
+    window = stage_window(bars, cfg, symbols)
+    vectors = feat.assemble(feat.normalize(window, cfg.features, degenerate=cfg.degenerate), cfg.features)
     members, seat_table, initial, result = cluster_vectors(vectors, cfg)
     clusters = number_clusters(result.assignments, result.n_centers)
-    raw = feat.latest_days(chosen, cfg.days, cfg.features)
     return RunResult(vectors, members, seat_table, initial, result, clusters,
-                     series(clusters, raw, cfg.features))
+                     series(clusters, window, cfg.features))

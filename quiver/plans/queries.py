@@ -57,12 +57,19 @@ def _vectors(spark: SparkSession, sf: str, days: int = DAYS, degenerate: str = "
     return feat.build_vectors(_bars(spark, sf), days, FEATURES, degenerate)
 
 
-def _members(spark: SparkSession, sf: str) -> DataFrame:
-    return canopy_ops.canopy(_vectors(spark, sf), T1)
+def _window(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest-D raw bars of full-history symbols, written once (shared by vectors and series)."""
+    return reliable(feat.full_history(_bars(spark, sf), DAYS))
 
 
-def _seeded(spark: SparkSession, sf: str, k: int = K):
-    members = _members(spark, sf)
+def _members(spark: SparkSession, sf: str, window: DataFrame | None = None) -> DataFrame:
+    if window is None:
+        return canopy_ops.canopy(_vectors(spark, sf), T1)
+    return canopy_ops.canopy(feat.assemble(feat.normalize(window)), T1)
+
+
+def _seeded(spark: SparkSession, sf: str, k: int = K, window: DataFrame | None = None):
+    members = _members(spark, sf, window)
     seat_table = reliable(seats(canopy_ops.canopy_sizes(members), k))
     initial = reliable(seeds(members, seat_table, SEED))
     return members, seat_table, initial
@@ -225,8 +232,8 @@ def q_kmeans_3_iter(spark, sf):
     return res.assignments.select("symbol", "center_id")
 
 
-def _clusters(spark, sf, k: int = K):
-    members, _, initial = _seeded(spark, sf, k)
+def _clusters(spark, sf, k: int = K, window: DataFrame | None = None):
+    members, _, initial = _seeded(spark, sf, k, window)
     res = kmeans(members, initial, DIM, max_iter=50, checkpoint_members=False)
     return reliable(number_clusters(res.assignments, res.n_centers))
 
@@ -255,9 +262,8 @@ def q_cluster_sizes(spark, sf):
 
 
 def _series(spark, sf):
-    cl = _clusters(spark, sf)
-    raw = feat.full_history(_bars(spark, sf), DAYS)
-    return series(cl, raw)
+    window = _window(spark, sf)
+    return series(_clusters(spark, sf, window=window), window)
 
 
 def q_series(spark, sf):
