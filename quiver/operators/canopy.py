@@ -126,13 +126,16 @@ def label_with_centres(ids: list[str], mat: np.ndarray, t1: float):
 
 
 def check_vectors(vectors: DataFrame) -> int:
-    """Validate one common vector length; return it (0 for an empty frame)."""
+    """Validate unique symbols and one common non-null vector length; return it (0 if empty)."""
     row = vectors.agg(F.min(F.size("v")).alias("lo"), F.max(F.size("v")).alias("hi"),
-                      F.count_if(F.col("v").isNull()).alias("nulls")).first()
-    if row["lo"] is None:
+                      F.count_if(F.col("v").isNull()).alias("nulls"),
+                      F.count(F.lit(1)).alias("n"), F.count_distinct("symbol").alias("symbols")).first()
+    if not row["n"]:
         return 0
     if row["nulls"] or row["lo"] != row["hi"] or row["lo"] < 1:
         raise ValueError(f"vectors must be non-null with one common length, got {row['lo']}..{row['hi']}")
+    if row["symbols"] != row["n"]:
+        raise ValueError(f"symbols must be unique: {row['n']} vectors, {row['symbols']} symbols")
     return int(row["lo"])
 
 

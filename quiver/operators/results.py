@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from quiver.config import FEATURES
 from quiver.functions.ranking import global_row_number
 
+# Fixed value: largest centre count whose id -> number map is broadcast.
+BROADCAST_CENTERS = 2_000_000
+
 
 def number_clusters(assignments: DataFrame, n_centers: int | None = None) -> DataFrame:
     """(symbol, center_id, ...) -> (cluster_no, symbol); non-empty clusters numbered 1.. by center_id.
@@ -16,6 +19,8 @@ def number_clusters(assignments: DataFrame, n_centers: int | None = None) -> Dat
     """
     used = assignments.select("center_id").distinct()
     numbered = global_row_number(used, [F.col("center_id")], "cluster_no", n_rows=n_centers)
+    if n_centers is not None and n_centers <= BROADCAST_CENTERS:
+        numbered = F.broadcast(numbered)  # K rows of two longs
     return assignments.join(numbered, "center_id").select(
         F.col("cluster_no").cast("int").alias("cluster_no"), "symbol")
 

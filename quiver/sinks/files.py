@@ -24,9 +24,13 @@ def write_symbol_directory(symbols: DataFrame, path: str) -> None:
 
 
 def write_price_csv(bars: DataFrame, path: str) -> None:
-    """bars -> one folder of CSV files per symbol (``symbol=<SYM>/``), header row."""
+    """bars -> one folder of CSV files per symbol (``symbol=<SYM>/``), header row, newest first.
+
+    Range partitioning on (symbol, date) keeps most symbols in one file while a
+    symbol with a very long history is split over several tasks and files.
+    """
     (bars.select("symbol", F.date_format("d", "yyyy-MM-dd").alias("date"), "open", "high", "low", "close")
-     .repartition("symbol").sortWithinPartitions("symbol", F.desc("date"))
+     .repartitionByRange("symbol", F.desc("date")).sortWithinPartitions("symbol", F.desc("date"))
      .write.mode("overwrite").partitionBy("symbol").option("header", True).csv(path))
 
 

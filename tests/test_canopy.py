@@ -71,3 +71,9 @@ def test_sizes(spark):
     got = {r["canopy_id"]: r["n"] for r in canopy_sizes(canopy(v, 0.5)).collect()}
     assert got == {"a": 2, "c": 3}
     assert not math.isnan(sum(got.values()))
+
+
+def test_duplicate_symbols_rejected(spark):
+    v = vec_df(spark, [("a", [0.0]), ("a", [1.0])])
+    with pytest.raises(ValueError):
+        canopy(v, 0.5)
