@@ -108,6 +108,7 @@ def _round(members: DataFrame, cur: DataFrame, prev: DataFrame | None, dim: int,
     )
 
 
+CENTERS_SCHEMA = "center_id bigint, canopy_id string, v array<double>"
 ARRAYS_SCHEMA = ("canopy_id string, cs array<struct<cid: bigint, v: array<double>>>, "
                  "ps array<struct<cid: bigint, v: array<double>>>")
 
@@ -125,13 +126,15 @@ def _model_arrays(spark, cur: list, prev: list | None) -> DataFrame:
 
 def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
            broadcast_bytes: int = 64 << 20, salts: int = 64, stop_on_convergence: bool = True,
-           checkpoint_members: bool = True, model_bytes: int = 16 << 20) -> KMeansResult:
+           checkpoint_members: bool = True, model_bytes: int = 16 << 20,
+           centers_path: str | None = None) -> KMeansResult:
     """Iterate assign/update from ``initial`` (center_id, canopy_id, v) centres.
 
     When the model (K centres x d doubles) is under ``model_bytes`` the K new
     centre rows come back to the driver each round and the next round's
     per-canopy arrays are built from them (as MLlib's k-means does): one job per
     round.  Larger models stay in written centre tables, never on the driver.
+    ``centers_path``: also keep every round's centres as ``<path>/iter=<i>``.
     """
     spark = members.sparkSession
     members = members.select("symbol", "canopy_id", "v")
@@ -155,18 +158,21 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
             changed.append(ch)
             rounds = i
             nxt = [(cid, can, list(stats[cid]["new_v"]) if cid in stats else v) for cid, can, v in cur]
+            if centers_path:
+                spark.createDataFrame(nxt, CENTERS_SCHEMA).write.mode("overwrite").parquet(f"{centers_path}/iter={i}")
             prev, cur = cur, nxt
             if stop_on_convergence and i >= 2 and ch == 0:
                 break
-        centers = spark.createDataFrame(cur, "center_id bigint, canopy_id string, v array<double>")
-        last = spark.createDataFrame(prev if prev is not None else cur,
-                                     "center_id bigint, canopy_id string, v array<double>")
+        centers = spark.createDataFrame(cur, CENTERS_SCHEMA)
+        last = spark.createDataFrame(prev if prev is not None else cur, CENTERS_SCHEMA)
         final = assign(members, last, dim, n_centers, broadcast_bytes, salts)
         members.unpersist(blocking=False)
         return KMeansResult(final, centers, rounds, changed, n_centers)
     cur_t, prev_t = cur_df, None
     for i in range(1, int(max_iter) + 1):
         nxt = reliable(_round(members, cur_t, prev_t, dim, n_centers, broadcast_bytes, salts))
+        if centers_path:
+            nxt.select("center_id", "canopy_id", "v").write.mode("overwrite").parquet(f"{centers_path}/iter={i}")
         ch = int(nxt.agg(F.sum("changed")).first()[0] or 0)
         changed.append(ch)
         rounds = i

@@ -34,7 +34,8 @@ def select_symbols(bars: DataFrame, symbols: DataFrame | None, amount: int | Non
     return bars.join(wanted, "symbol", "left_semi")
 
 
-def cluster_vectors(vectors: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame, DataFrame, KMeansResult]:
+def cluster_vectors(vectors: DataFrame, cfg: RunConfig, centers_path: str | None = None
+                    ) -> tuple[DataFrame, DataFrame, DataFrame, KMeansResult]:
     """vectors -> (members, seats, seeds, k-means result)."""
     vectors = reliable(vectors.select("symbol", "v"))
     dim = canopy_ops.check_vectors(vectors)
@@ -45,7 +46,7 @@ def cluster_vectors(vectors: DataFrame, cfg: RunConfig) -> tuple[DataFrame, Data
     seat_table = reliable(seats(canopy_ops.canopy_sizes(members), cfg.clusters))
     initial = reliable(seeds(members, seat_table, cfg.seed))
     result = kmeans(members, initial.select("center_id", "canopy_id", "v"), dim, cfg.max_iter,
-                    checkpoint_members=False)
+                    checkpoint_members=False, centers_path=centers_path)
     return members, seat_table, initial, result
 
 
@@ -59,10 +60,25 @@ def stage_window(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = No
     return reliable(feat.full_history(chosen, cfg.days, cfg.features, cfg.short_history))
 
 
-def run(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = None) -> RunResult:
+def run(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = None,
+        centers_path: str | None = None) -> RunResult:
+    """The whole run; ``centers_path`` keeps each round's centre table (``iter=<i>``)."""
     window = stage_window(bars, cfg, symbols)
     vectors = feat.assemble(feat.normalize(window, cfg.features, degenerate=cfg.degenerate), cfg.features)
-    members, seat_table, initial, result = cluster_vectors(vectors, cfg)
+    members, seat_table, initial, result = cluster_vectors(vectors, cfg, centers_path)
     clusters = number_clusters(result.assignments, result.n_centers)
     return RunResult(vectors, members, seat_table, initial, result, clusters,
                      series(clusters, window, cfg.features))
+
+
+def write_run(res: RunResult, out_dir: str) -> None:
+    """Write every output of a run under ``out_dir`` (each folder overwritten)."""
+    from quiver.sinks import write_assignments, write_canopies, write_cluster_text, write_vector_text
+
+    out = out_dir.rstrip("/")
+    write_vector_text(res.vectors, f"{out}/vectors")
+    write_canopies(res.members, f"{out}/canopies")
+    res.kmeans.centers.write.mode("overwrite").parquet(f"{out}/centers")
+    write_assignments(res.kmeans.assignments, f"{out}/assignments")
+    write_cluster_text(res.clusters, f"{out}/clusters")
+    res.series.write.mode("overwrite").parquet(f"{out}/series")
