@@ -17,7 +17,7 @@ from quiver.plans.queries import QUERIES  # noqa: E402
 from quiver.session import local_session  # noqa: E402
 
 HEADLINE = ["bars", "lineitem_bars", "vectors_long", "canopy_members", "canopy_members_bucketed", "seeds",
-            "kmeans_3_iter", "clusters", "clusters_k40", "series", "embedding_canopy", "embedding_clusters"]
+            "kmeans_3_iter", "clusters", "clusters_k40", "lineitem_clusters", "series", "embedding_canopy", "embedding_clusters"]
 
 
 def main() -> None:

@@ -19,19 +19,15 @@ def within(a: Column | str, b: Column | str, t1: float) -> Column:
     return mean_l1(a, b) < F.lit(float(t1))
 
 
-def mean_l1_rows(rows: np.ndarray, centre: np.ndarray) -> np.ndarray:
-    """Distances of each row of ``rows`` (m x d) to one centre, summed left to right.
+def mean_l1_to_rows(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Distances of vector ``x`` to each row of ``rows`` (c x d), summed left to right.
 
-    Column-by-column accumulation keeps the exact summation order of the SQL
-    expression, so threshold tests agree bit for bit with :func:`mean_l1`.
+    ``cumsum`` accumulates strictly in index order, so threshold tests agree bit
+    for bit with :func:`mean_l1` and with a sequential SQL list sum.
     """
-    d = rows.shape[1]
-    acc = np.zeros(rows.shape[0], dtype=np.float64)
-    for j in range(d):
-        acc = acc + np.abs(centre[j] - rows[:, j])
-    return acc / d
+    return np.cumsum(np.abs(rows - x), axis=1)[:, -1] / rows.shape[1]
 
 
-def mean_l1_to_many(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Distances of one vector to each row of ``centres`` (c x d), same order as above."""
-    return mean_l1_rows(centres, x)
+def mean_l1_matrix(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """(m x c) distances between ``rows`` (m x d) and ``centres`` (c x d), same summation order."""
+    return np.cumsum(np.abs(rows[:, None, :] - centres[None, :, :]), axis=2)[:, :, -1] / rows.shape[1]

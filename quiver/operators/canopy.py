@@ -32,6 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from quiver.functions.distance import mean_l1_matrix, mean_l1_to_rows
 from quiver.operators.persist import reliable
 
 OUT_SCHEMA = "symbol string, canopy_id string, v array<double>"
@@ -39,11 +40,6 @@ OUT_SCHEMA = "symbol string, canopy_id string, v array<double>"
 _BLOCK_DOUBLES = 4_000_000
 
 
-def _dist_to_centres(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Mean-L1 distance of ``x`` to each centre, summed left to right (as SQL does)."""
-    return np.cumsum(np.abs(centres - x), axis=1)[:, -1] / centres.shape[1]
-
-
 class _Centres:
     """Growing centre matrix kept in creation order."""
 
@@ -55,7 +51,7 @@ class _Centres:
     def first_within(self, x: np.ndarray, t1: float) -> str | None:
         if self.n == 0:
             return None
-        hit = np.flatnonzero(_dist_to_centres(x, self.mat[: self.n]) < t1)
+        hit = np.flatnonzero(mean_l1_to_rows(x, self.mat[: self.n]) < t1)
         return self.ids[hit[0]] if hit.size else None
 
     def add(self, sym: str, x: np.ndarray) -> None:
@@ -113,10 +109,7 @@ def label_with_centres(ids: list[str], mat: np.ndarray, t1: float):
                 open_rows = np.flatnonzero(found < 0)
                 if open_rows.size == 0:
                     break
-                blk = mat[start:start + block]
-                diff = np.abs(rows[open_rows, None, :] - blk[None, :, :])
-                dist = np.cumsum(diff, axis=2)[:, :, -1] / d
-                hit = dist < t1
+                hit = mean_l1_matrix(rows[open_rows], mat[start:start + block]) < t1
                 any_hit = hit.any(axis=1)
                 found[open_rows[any_hit]] = start + hit[any_hit].argmax(axis=1)
             labels = [ids[i] if i >= 0 else None for i in found]
@@ -152,7 +145,7 @@ def canopy(vectors: DataFrame, t1: float = 0.5, batch: int = 2048, max_batch: in
         check_vectors(undecided)
     parts: list[DataFrame] = []
     size = int(batch)
-    while True:
+    while not undecided.isEmpty():
         head = undecided.orderBy("symbol").limit(size)
         decided = reliable(head.mapInPandas(greedy_pass(t1), OUT_SCHEMA))
         is_centre = F.col("symbol") == F.col("canopy_id")

@@ -247,6 +247,14 @@ def q_clusters_k40(spark, sf):
     return _clusters(spark, sf, K_LARGE)
 
 
+def q_lineitem_clusters(spark, sf):
+    """The full run on the second bar source (supplier x ship date, long histories)."""
+    from quiver.plans.pipeline import run
+
+    res = run(lineitem_bars(load_table(spark, sf, "lineitem")), RunConfig(days=DAYS, clusters=K, t1=T1))
+    return res.clusters
+
+
 def q_cluster_lines(spark, sf):
     return cluster_text_lines(_clusters(spark, sf))
 
@@ -378,6 +386,8 @@ def _oracle() -> dict[str, str]:
         "SELECT symbol, CAST(cid AS BIGINT) AS center_id FROM a3"
     q["clusters"] = O.with_recursive(clusters_sql) + "SELECT cluster_no, symbol FROM cl"
     q["cluster_text"] = q["clusters"]
+    q["lineitem_clusters"] = O.with_recursive(O.clusters_ctes(P(DAYS, source="lineitem"), T1, K, DIM,
+                                                              CLUSTER_ROUNDS_SQL)) + "SELECT cluster_no, symbol FROM cl"
     q["clusters_k40"] = O.with_recursive(O.clusters_ctes(base, T1, K_LARGE, DIM, CLUSTER_ROUNDS_SQL)) + \
         "SELECT cluster_no, symbol FROM cl"
     q["cluster_sizes"] = O.with_recursive(clusters_sql) + \
@@ -431,6 +441,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_3_iter": q_kmeans_3_iter,
     "clusters": q_clusters,
     "clusters_k40": q_clusters_k40,
+    "lineitem_clusters": q_lineitem_clusters,
     "cluster_lines": q_cluster_lines,
     "cluster_text": q_cluster_text,
     "cluster_sizes": q_cluster_sizes,

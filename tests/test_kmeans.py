@@ -134,3 +134,13 @@ def test_independent_of_shuffle_partitions(spark):
         out.append(sorted((r["symbol"], r["center_id"]) for r in res.assignments.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out[0] == out[1]
+
+
+def test_empty_input_runs(spark):
+    from quiver.config import RunConfig
+    from quiver.plans.pipeline import cluster_vectors
+
+    empty = spark.createDataFrame([], "symbol string, v array<double>")
+    members, seat_table, initial, res = cluster_vectors(empty, RunConfig(clusters=3))
+    assert members.count() == 0 and initial.count() == 0
+    assert res.assignments.count() == 0
