@@ -32,6 +32,8 @@ from quiver.operators.persist import reliable
 
 # Fixed value: decimals kept before comparing distances (near-tie guard).
 DIST_DECIMALS = 12
+# Fixed value: longest vector averaged with one aggregate per element.
+WIDE_DIM = 64
 
 
 @dataclass
@@ -76,17 +78,35 @@ def assign(members: DataFrame, centers: DataFrame, dim: int, n_centers: int,
 
 
 def _tag_and_aggregate(joined: DataFrame, has_prev: bool, dim: int) -> DataFrame:
-    """Nearest current / previous centre per vector, then per-centre means and change counts."""
+    """Nearest current / previous centre per vector, then per-centre means and change counts.
+
+    -> (center_id, new_v, n, changed).  Vectors up to ``WIDE_DIM`` long use one
+    ``avg`` per element; longer ones are exploded to (centre, position) pairs
+    and averaged in one partial aggregation, then reassembled (K x d rows).
+    """
     # coalesce: a non-null key stops Spark from inferring an is-not-null join
     # filter that would evaluate the distance lambdas a second time.
     a_cur = F.coalesce(nearest(F.col("cs"), F.col("v"))["cid"], F.lit(-1).cast("long"))
     a_prev = nearest(F.col("ps"), F.col("v"))["cid"] if has_prev else F.lit(None).cast("long")
     tagged = joined.select(a_cur.alias("center_id"), a_prev.alias("prev_id"), "v")
-    means = [F.avg(F.col("v")[j]) for j in range(dim)]
-    return tagged.groupBy("center_id").agg(
-        F.array(*means).alias("new_v"),
+    moved = F.col("prev_id").isNull() | (F.col("prev_id") != F.col("center_id"))
+    if dim <= WIDE_DIM:
+        means = [F.avg(F.col("v")[j]) for j in range(dim)]
+        return tagged.groupBy("center_id").agg(
+            F.array(*means).alias("new_v"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(moved).alias("changed"),
+        )
+    cells = tagged.select("center_id", moved.alias("moved"), F.posexplode("v").alias("pos", "x"))
+    per_pos = cells.groupBy("center_id", "pos").agg(
+        F.avg("x").alias("x"),
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("prev_id").isNull() | (F.col("prev_id") != F.col("center_id"))).alias("changed"),
+        F.count_if("moved").alias("changed"),
+    )
+    return per_pos.groupBy("center_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda e: e["x"]).alias("new_v"),
+        F.max("n").alias("n"),
+        F.max("changed").alias("changed"),
     )
 
 

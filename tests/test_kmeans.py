@@ -144,3 +144,26 @@ def test_empty_input_runs(spark):
     members, seat_table, initial, res = cluster_vectors(empty, RunConfig(clusters=3))
     assert members.count() == 0 and initial.count() == 0
     assert res.assignments.count() == 0
+
+
+def test_long_vectors_use_exploded_mean(spark):
+    import quiver.operators.kmeans as K
+
+    rng = np.random.default_rng(21)
+    rows = [(f"w{i:03d}", rng.random(90).tolist()) for i in range(50)]
+    m = canopy(vec_df(spark, rows), 0.5)
+    init = seeds(m, seats(canopy_sizes(m), 5))
+    wide = kmeans(m, init, 90, max_iter=3, stop_on_convergence=False)
+    old = K.WIDE_DIM
+    K.WIDE_DIM = 1000
+    try:
+        narrow = kmeans(m, init, 90, max_iter=3, stop_on_convergence=False)
+    finally:
+        K.WIDE_DIM = old
+    assert wide.changed == narrow.changed
+    a = {r["center_id"]: r["v"] for r in wide.centers.collect()}
+    b = {r["center_id"]: r["v"] for r in narrow.centers.collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(x - y) < 1e-12 for k in a for x, y in zip(a[k], b[k]))
+    assert sorted(wide.assignments.select("symbol", "center_id").collect()) == \
+        sorted(narrow.assignments.select("symbol", "center_id").collect())
