@@ -132,11 +132,16 @@ c0 AS (SELECT row_number() OVER (ORDER BY canopy, r) AS cid, canopy, symbol, v
        FROM sd JOIN seats USING (canopy) WHERE r <= k)"""
 
 
+def snap(x: str) -> str:
+    """floor(x * 1e12 + 0.5) / 1e12 in doubles (the near-tie guard of every engine)."""
+    return f"(floor({x} * CAST(1e12 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1e12 AS DOUBLE))"
+
+
 def round_ctes(i: int, dim: int) -> str:
     """Round i: a_i = nearest centre of c_(i-1) in the own canopy; c_i = member means (old if empty)."""
     return f"""a{i} AS (
-  SELECT m.symbol, m.canopy, arg_min(s.cid, (round({dist('s.v', 'm.v')}, 12), s.cid)) AS cid,
-         min(round({dist('s.v', 'm.v')}, 12)) AS dd
+  SELECT m.symbol, m.canopy, arg_min(s.cid, ({snap(dist('s.v', 'm.v'))}, s.cid)) AS cid,
+         min({snap(dist('s.v', 'm.v'))}) AS dd
   FROM mem m JOIN c{i - 1} s USING (canopy) GROUP BY m.symbol, m.canopy),
 e{i} AS (
   SELECT a.cid, gs.p, avg(m.v[gs.p]) AS x

@@ -80,7 +80,7 @@ def kmeans_reference(mem, init, rounds):
         assign_ = {}
         for sym, can, v in mem:
             x = np.array(v)
-            cands = [(round(float(np.cumsum(np.abs(cv - x))[-1] / len(x)), 12), cid)
+            cands = [(float(np.floor(np.cumsum(np.abs(cv - x))[-1] / len(x) * 1e12 + 0.5) / 1e12), cid)
                      for cid, (cc, cv) in cent.items() if cc == can]
             assign_[sym] = min(cands)[1]
         for cid in cent:
@@ -112,7 +112,10 @@ def test_salted_join_matches_broadcast(spark):
     a = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False)
     b = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, broadcast_bytes=0, salts=4, model_bytes=0)
     c = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, model_bytes=0)
+    e = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, engine="jvm")
     key = ["symbol", "center_id"]
+    assert sorted(a.assignments.select(*key).collect()) == sorted(e.assignments.select(*key).collect())
+    assert a.changed == e.changed
     assert sorted(a.assignments.select(*key).collect()) == sorted(b.assignments.select(*key).collect())
     assert sorted(a.assignments.select(*key).collect()) == sorted(c.assignments.select(*key).collect())
     assert a.changed == b.changed == c.changed
@@ -153,11 +156,11 @@ def test_long_vectors_use_exploded_mean(spark):
     rows = [(f"w{i:03d}", rng.random(90).tolist()) for i in range(50)]
     m = canopy(vec_df(spark, rows), 0.5)
     init = seeds(m, seats(canopy_sizes(m), 5))
-    wide = kmeans(m, init, 90, max_iter=3, stop_on_convergence=False)
+    wide = kmeans(m, init, 90, max_iter=3, stop_on_convergence=False, engine="jvm")
     old = K.WIDE_DIM
     K.WIDE_DIM = 1000
     try:
-        narrow = kmeans(m, init, 90, max_iter=3, stop_on_convergence=False)
+        narrow = kmeans(m, init, 90, max_iter=3, stop_on_convergence=False, engine="jvm")
     finally:
         K.WIDE_DIM = old
     assert wide.changed == narrow.changed
@@ -167,3 +170,6 @@ def test_long_vectors_use_exploded_mean(spark):
     assert all(abs(x - y) < 1e-12 for k in a for x, y in zip(a[k], b[k]))
     assert sorted(wide.assignments.select("symbol", "center_id").collect()) == \
         sorted(narrow.assignments.select("symbol", "center_id").collect())
+    fast = kmeans(m, init, 90, max_iter=3, stop_on_convergence=False)
+    assert sorted(fast.assignments.select("symbol", "center_id").collect()) == \
+        sorted(wide.assignments.select("symbol", "center_id").collect())
