@@ -1,30 +1,31 @@
 """k-means restricted to canopies: a vector only considers the centres of its own canopy.
 
-Per round one Spark job (centre rows on the driver when the model is small,
-else written centre tables):
-  members (checkpointed once) JOIN per-canopy centre arrays (current and
-  previous round) -> nearest current centre and nearest previous centre for
-  every vector (map side, no grouping) -> groupBy(new centre) with partial
-  aggregation: element-wise mean and the number of changed assignments.
-Only the K new centre rows are materialised per round (reliable checkpoint),
-so lineage stays flat and members are never rewritten.
-
-Centre arrays are broadcast when their estimated size is under
-``broadcast_bytes`` (the estimate is K * d doubles, known on the driver);
-beyond it the join is a shuffle on (canopy_id, salt) with members spread over
-``salts`` hash salts and each canopy's centre array copied once per salt, so
-a canopy holding a third of all vectors is split across ``salts`` tasks.
-
-Ties: distances are rounded to 12 decimals, then the lowest center_id wins.
+One Spark job per round; members are written once and cached, and only the K
+new centre rows are materialised per round, so lineage stays flat and members
+are never rewritten.  Each round computes, for every vector, its nearest
+current centre and its nearest previous-round centre (to count changed
+assignments), then per-centre means by partial aggregation.
+
+Small model (K x d doubles under ``model_bytes``): centre rows are held on the
+driver (as MLlib's k-means does) and the default engine assigns each Arrow
+batch with vectorised numpy, emitting only per-centre partial sums.
+Large model: centres stay in written tables; per-canopy centre arrays are
+joined to the members with a broadcast while they are under
+``broadcast_bytes``, beyond that with a shuffle on (canopy_id, salt) where
+members spread over ``salts`` hash salts and each canopy's array is copied
+once per salt, so a canopy holding a third of all vectors is split across
+``salts`` tasks; the nearest centre is a JVM array expression.
+
+Ties: distances are snapped to multiples of 1e-12 (identical double arithmetic
+in every engine and in the SQL oracle), then the lowest center_id wins.
 Stop: no assignment changed since the previous round, or ``max_iter``.
 A centre that loses all members keeps its previous vector.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
