@@ -16,27 +16,32 @@ PRICE_SCHEMA = T.StructType([
 
 
 def read_symbol_directory(spark: SparkSession, path: str) -> DataFrame:
-    """Pipe-delimited symbol directory: header line, then ``SYM|...`` lines.
+    """Pipe-delimited symbol directory: a header line, then ``SYM|...`` lines.
 
-    A directory file is read whole so file order is exact (one task per
-    file; exchange directories are small, many files spread across tasks).
-    ``pos`` is 0-based over the data lines of a file, ordered by file name
-    then line.  Empty lines are dropped.
+    -> (symbol, file, block, seq).  The line reader splits large files across
+    tasks; (file, split start offset, id within the partition) is the file
+    order, because a split is read front to back and ids grow along it.  The
+    header is the first line of each file's offset-0 split.  Empty lines are
+    dropped.  :func:`number_directory` turns the order into positions.
     """
-    raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value")
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+        F.col("value").alias("line"),
     )
-    lines = raw.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    data = lines.where((F.col("line_no") >= 1) & (F.length(F.trim("line")) > 0))
+    heads = raw.where(F.col("block") == 0).groupBy("file").agg(F.min("seq").alias("head_seq"))
+    data = raw.join(heads, "file", "left").where(
+        (F.col("block") != 0) | (F.col("seq") != F.col("head_seq"))).where(F.length(F.trim("line")) > 0)
     sym = F.trim(F.split_part(F.col("line"), F.lit("|"), F.lit(1)))
-    return data.select(sym.alias("symbol"), "file", (F.col("line_no") - 1).cast("long").alias("line_no"))
+    return data.select(sym.alias("symbol"), "file", "block", "seq")
 
 
 def number_directory(symbols: DataFrame) -> DataFrame:
-    """(symbol, file, line_no) -> (symbol, pos) with a global 0-based position."""
+    """(symbol, file, block, seq) -> (symbol, pos): global 0-based position in file order."""
     from quiver.functions.ranking import global_row_number
 
-    ranked = global_row_number(symbols, [F.col("file"), F.col("line_no")], "rn")
+    ranked = global_row_number(symbols, [F.col("file"), F.col("block"), F.col("seq")], "rn")
     return ranked.select("symbol", (F.col("rn") - 1).alias("pos"))
 
 

@@ -33,6 +33,20 @@ def test_symbol_directory_skips_header_and_empty_lines(spark, tmp_path):
     assert [(r["symbol"], r["pos"]) for r in back] == [(f"S{i}", i) for i in range(50)]
 
 
+def test_symbol_directory_split_across_tasks(spark, tmp_path):
+    f = tmp_path / "big.txt"
+    f.write_text("Symbol|Name\n" + "".join(f"SYM{i:05d}|name {i}\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        raw = read_symbol_directory(spark, str(f))
+        assert raw.select("block").distinct().count() > 5  # really split
+        got = number_directory(raw).orderBy("pos").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [(r["symbol"], r["pos"]) for r in got] == [(f"SYM{i:05d}", i) for i in range(3000)]
+
+
 def test_price_csv_per_symbol_files_and_bad_rows(spark, tmp_path):
     d = tmp_path / "prices"
     d.mkdir()
