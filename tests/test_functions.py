@@ -42,12 +42,20 @@ def test_minmax_scale_adds_lower_bound(spark):
 
 def test_global_row_number_is_exact(spark):
     rng = np.random.default_rng(3)
-    keys = rng.integers(0, 50, 500).tolist()
+    keys = rng.integers(0, 50, 5000).tolist()
     df = spark.createDataFrame([(int(k), i) for i, k in enumerate(keys)], "k long, i long").repartition(7)
-    got = global_row_number(df, [F.col("k"), F.col("i")], "rn").orderBy("rn").collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = df.orderBy("k", "i").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 1  # the offsets really matter
+        got = global_row_number(df, [F.col("k"), F.col("i")], "rn").orderBy("rn").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     expect = sorted((k, i) for i, k in enumerate(keys))
     assert [(r["k"], r["i"]) for r in got] == expect
-    assert [r["rn"] for r in got] == list(range(1, 501))
+    assert [r["rn"] for r in got] == list(range(1, 5001))
+    small = global_row_number(df, [F.col("k"), F.col("i")], "rn", n_rows=5000).orderBy("rn").collect()
+    assert [(r["k"], r["i"], r["rn"]) for r in small] == [(r["k"], r["i"], r["rn"]) for r in got]
 
 
 def test_vector_equality_groups(spark):
