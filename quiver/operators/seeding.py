@@ -28,11 +28,12 @@ def seats(sizes: DataFrame, k: int) -> DataFrame:
     if n_total == n_canopies:
         return sizes.select("canopy_id", "n", F.lit(1).cast("long").alias("seats"))
     factor, denom = kk - n_canopies, n_total - n_canopies
-    share = F.lit(factor).cast("long") * (F.col("n").cast("long") - F.lit(1))
+    # exact integer arithmetic (ANSI mode raises rather than wraps on overflow)
+    share = f"(cast({factor} as bigint) * (cast(n as bigint) - 1))"
     based = sizes.select(
         "canopy_id", "n",
-        (F.lit(1).cast("long") + F.expr(f"(cast({factor} as bigint) * (n - 1)) div {denom}")).alias("base"),
-        F.pmod(share, F.lit(denom).cast("long")).alias("rem"),
+        F.expr(f"1 + {share} div {denom}").alias("base"),
+        F.expr(f"{share} % {denom}").alias("rem"),
     )
     leftover = kk - int(based.agg(F.sum("base")).first()[0])
     if leftover <= 0:
