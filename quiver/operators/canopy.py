@@ -205,6 +205,22 @@ def canopy_sizes(members: DataFrame) -> DataFrame:
     return members.groupBy("canopy_id").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
+def distance_to_centre(members: DataFrame, dim: int, broadcast_bytes: int = 64 << 20,
+                       salts: int = 64) -> DataFrame:
+    """(symbol, canopy_id, v) -> (symbol, canopy_id, dist): mean-L1 distance to the own canopy centre.
+
+    The centre side has one row per canopy; it is broadcast under a size
+    check, else salted, so a hot canopy never lands in one task.
+    """
+    from quiver.functions.distance import mean_l1
+    from quiver.operators.joins import attach_by_canopy
+
+    centres = members.where(F.col("symbol") == F.col("canopy_id")).select("canopy_id", F.col("v").alias("cv"))
+    n_centres = centres.count()
+    joined = attach_by_canopy(members, centres, n_centres * (dim * 8 + 48), broadcast_bytes, salts)
+    return joined.select("symbol", "canopy_id", mean_l1(F.col("cv"), F.col("v")).alias("dist"))
+
+
 def number_canopies(sizes: DataFrame) -> DataFrame:
     """Add ``canopy_no``: creation order of the canopy centres (= centre symbol order), 1-based."""
     from quiver.functions.ranking import global_row_number

@@ -33,6 +33,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quiver.functions.distance import mean_l1, mean_l1_matrix
+from quiver.operators.joins import attach_by_canopy
 from quiver.operators.persist import reliable
 
 # Fixed value: distances are snapped to multiples of 1e-12 before comparing
@@ -76,11 +77,7 @@ def nearest(cs: Column, v: Column) -> Column:
 
 def _attach(members: DataFrame, arrays: DataFrame, est_bytes: int, broadcast_bytes: int,
             salts: int) -> DataFrame:
-    if est_bytes <= broadcast_bytes:
-        return members.join(F.broadcast(arrays), "canopy_id")
-    salted = members.withColumn("__salt", F.pmod(F.xxhash64("symbol"), F.lit(int(salts))).cast("int"))
-    fanned = arrays.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))))
-    return salted.join(fanned, ["canopy_id", "__salt"]).drop("__salt")
+    return attach_by_canopy(members, arrays, est_bytes, broadcast_bytes, salts)
 
 
 def assign(members: DataFrame, centers: DataFrame, dim: int, n_centers: int,

@@ -188,10 +188,8 @@ def q_canopy_sizes(spark, sf):
 
 
 def q_pair_distance(spark, sf):
-    m = _members(spark, sf)
-    centres = m.where(F.col("symbol") == F.col("canopy_id")).select("canopy_id", F.col("v").alias("cv"))
-    return m.join(centres, "canopy_id").select(
-        "symbol", "canopy_id", _r(mean_l1(F.col("cv"), F.col("v")), 9).alias("dist"))
+    d = canopy_ops.distance_to_centre(_members(spark, sf), DIM)
+    return d.select("symbol", "canopy_id", _r(F.col("dist"), 9).alias("dist"))
 
 
 # ---------------------------------------------------------------- k-means

@@ -77,3 +77,14 @@ def test_duplicate_symbols_rejected(spark):
     v = vec_df(spark, [("a", [0.0]), ("a", [1.0])])
     with pytest.raises(ValueError):
         canopy(v, 0.5)
+
+
+def test_distance_to_centre_broadcast_and_salted(spark):
+    from quiver.operators.canopy import distance_to_centre
+
+    v = vec_df(spark, [("a", [0.0]), ("b", [0.3]), ("c", [0.6]), ("d", [0.9])])
+    m = canopy(v, 0.5)
+    expect = {"a": 0.0, "b": 0.3, "c": 0.0, "d": 0.3}
+    for kw in ({}, {"broadcast_bytes": 0, "salts": 3}):
+        got = {r["symbol"]: round(r["dist"], 12) for r in distance_to_centre(m, 1, **kw).collect()}
+        assert got == expect
