@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quiver.config import FEATURES, RunConfig
-from quiver.functions.distance import mean_l1
 from quiver.operators import canopy as canopy_ops
 from quiver.operators import features as feat
 from quiver.operators.kmeans import assign, kmeans
