@@ -161,9 +161,7 @@ def q_failed_symbols(spark, sf):
 
 
 def q_vector_equality(spark, sf):
-    v = _vectors(spark, sf)
-    groups = v.groupBy("v").agg(F.min("symbol").alias("twin_of"), F.count(F.lit(1)).cast("long").alias("n_same"))
-    return v.join(groups, "v").select("symbol", "twin_of", "n_same")
+    return feat.equal_vector_groups(reliable(_vectors(spark, sf)), DIM)
 
 
 # ---------------------------------------------------------------- canopy

@@ -59,7 +59,11 @@ def test_global_row_number_is_exact(spark):
 
 
 def test_vector_equality_groups(spark):
-    v = vec_df(spark, [("a", [1, 2]), ("b", [1, 2]), ("c", [2, 1])])
-    g = v.groupBy("v").agg(F.min("symbol").alias("twin"), F.count(F.lit(1)).alias("n"))
-    got = {r["symbol"]: (r["twin"], r["n"]) for r in v.join(g, "v").collect()}
-    assert got == {"a": ("a", 2), "b": ("a", 2), "c": ("c", 1)}
+    from quiver.operators.features import equal_vector_groups
+
+    rows = [("a", [1, 2]), ("b", [1, 2]), ("c", [2, 1])] + [(f"h{i:02d}", [5, 5]) for i in range(30)]
+    v = vec_df(spark, rows)
+    expect = {"a": ("a", 2), "b": ("a", 2), "c": ("c", 1), **{f"h{i:02d}": ("h00", 30) for i in range(30)}}
+    for kw in ({"hot": 10_000}, {"hot": 5}, {"hot": 5, "broadcast_bytes": 0, "salts": 4}):
+        got = {r["symbol"]: (r["twin_of"], r["n_same"]) for r in equal_vector_groups(v, 2, **kw).collect()}
+        assert got == expect
