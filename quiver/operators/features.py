@@ -140,8 +140,11 @@ def equal_vector_groups(vectors: DataFrame, dim: int, hot: int = HOT_GROUP,
         hot_part = tagged.where(F.col("__hot").isNotNull()).drop("__hot").join(F.broadcast(hot_groups), "v")
         cold_part = tagged.where(F.col("__hot").isNull()).drop("__hot").join(cold_groups, "v")
     else:
+        # the salted left join tags hot rows with their group facts; only the
+        # untagged (cold) rows then go through the plain join on the vector
         salt = F.pmod(F.xxhash64("symbol"), F.lit(int(salts))).cast("int")
         fanned = hot_groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))))
-        hot_part = vectors.withColumn("__salt", salt).join(fanned, ["v", "__salt"])
-        cold_part = vectors.join(cold_groups, "v")
+        tagged = vectors.withColumn("__salt", salt).join(fanned, ["v", "__salt"], "left").drop("__salt")
+        hot_part = tagged.where(F.col("twin_of").isNotNull())
+        cold_part = tagged.where(F.col("twin_of").isNull()).select("symbol", "v").join(cold_groups, "v")
     return hot_part.select("symbol", "twin_of", "n_same").unionByName(cold_part.select("symbol", "twin_of", "n_same"))
