@@ -90,6 +90,12 @@ def read_canopies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select("symbol", "canopy_id", "v")
 
 
+def read_assignments(spark: SparkSession, path: str) -> DataFrame:
+    """Cluster assignments written by the run: every part file of the folder."""
+    schema = "symbol string, canopy_id string, center_id bigint, dist double"
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_cluster_text(spark: SparkSession, path: str) -> DataFrame:
     """Cluster text: ``<cluster_no> sym sym ...`` per line -> (cluster_no, symbol).
 

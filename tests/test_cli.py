@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from quiver.__main__ import main
 from quiver.session import scratch_path
 from quiver.sinks import write_price_csv, write_symbol_directory, write_vector_text
-from quiver.sources import customer_symbols, events_bars, load_table, read_cluster_text
+from quiver.sources import customer_symbols, events_bars, load_table, read_assignments, read_cluster_text
 from quiver.operators.features import build_vectors
 from conftest import SF0001
 
@@ -23,6 +23,8 @@ def test_run_from_directory_and_price_files(spark):
     assert spark.read.parquet(f"{out}/series").count() == 15 * 5
     assert spark.read.parquet(f"{out}/centers_by_round").select("iter").distinct().count() == res["rounds"]
     assert spark.read.text(f"{out}/failed_symbols").count() == 5
+    a = read_assignments(spark, f"{out}/assignments")
+    assert a.count() == 15 and a.select("center_id").distinct().count() <= res["centers"]
 
 
 def test_cluster_from_vector_text(spark):
