@@ -265,9 +265,10 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
         members = reliable(members)
     # Cached for the rounds; a lost block is re-read from the written table.
     members = members.persist(StorageLevel.MEMORY_AND_DISK)
-    cur_df = reliable(initial.select(F.col("center_id").cast("long"), "canopy_id", "v"))
-    n_centers = cur_df.count()
+    init = initial.select(F.col("center_id").cast("long"), "canopy_id", "v")
+    n_centers = init.count()
     on_driver = n_centers * (dim * 8 + 48) <= model_bytes
+    cur_df = init if on_driver else reliable(init)
     changed: list[int] = []
     rounds = 0
     if engine not in ("auto", "jvm"):
