@@ -189,6 +189,30 @@ def q_pair_distance(spark, sf):
     return d.select("symbol", "canopy_id", _r(F.col("dist"), 9).alias("dist"))
 
 
+def _centre_match(spark, sf, t1):
+    from quiver.operators.matching import match_centres
+
+    m = _members(spark, sf)
+    centres = m.where(F.col("symbol") == F.col("canopy_id")).select(F.col("symbol").alias("centre"), "v")
+    return match_centres(m.select("symbol", "v"), centres, t1)
+
+
+def q_nearest_neighbor(spark, sf):
+    """Nearest canopy centre of every vector (not necessarily its own canopy's)."""
+    r = _centre_match(spark, sf, T1)
+    return r.select("symbol", "nearest", _r(F.col("nearest_dist"), 9).alias("nearest_dist"))
+
+
+def q_fixed_center_match(spark, sf):
+    """First canopy centre (creation order) within T1/2 of every vector, else null."""
+    return _centre_match(spark, sf, T1 / 2).select("symbol", F.col("first").alias("matched"))
+
+
+def q_pairs_within_t1(spark, sf):
+    """Number of canopy centres within T1 of every vector."""
+    return _centre_match(spark, sf, T1).select("symbol", "n_within")
+
+
 # ---------------------------------------------------------------- k-means
 
 def q_canopy_seats(spark, sf):
@@ -364,6 +388,15 @@ def _oracle() -> dict[str, str]:
     q["pair_distance"] = O.with_recursive(base, canopy) + (
         f"SELECT m.symbol, m.canopy AS canopy_id, round({O.dist('c.v', 'm.v')}, 9) AS dist "
         "FROM mem m JOIN mem c ON c.symbol = m.canopy")
+    cen = ("fixed AS (SELECT symbol AS centre, v AS cv FROM mem WHERE symbol = canopy),\n"
+           f"mc AS (SELECT m.symbol, {O.dist('c.cv', 'm.v')} AS dd, c.centre FROM mem m CROSS JOIN fixed c)")
+    q["nearest_neighbor"] = O.with_recursive(base, canopy, cen) + (
+        f"SELECT symbol, arg_min(centre, ({O.snap('dd')}, centre)) AS nearest, "
+        f"round(min({O.snap('dd')}), 9) AS nearest_dist FROM mc GROUP BY symbol")
+    q["fixed_center_match"] = O.with_recursive(base, canopy, cen) + (
+        f"SELECT symbol, min(centre) FILTER (WHERE dd < {T1 / 2!r}) AS matched FROM mc GROUP BY symbol")
+    q["pairs_within_t1"] = O.with_recursive(base, canopy, cen) + (
+        f"SELECT symbol, CAST(count(*) FILTER (WHERE dd < {T1!r}) AS BIGINT) AS n_within FROM mc GROUP BY symbol")
     q["canopy_seats"] = O.with_recursive(base, canopy, O.seats_ctes(K)) + \
         "SELECT canopy AS canopy_id, CAST(n AS BIGINT) AS n, CAST(k AS BIGINT) AS seats FROM seats"
     q["seeds"] = O.with_recursive(seeded) + \
@@ -428,6 +461,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "canopy_members_bucketed": q_canopy_members_bucketed,
     "canopy_sizes": q_canopy_sizes,
     "pair_distance": q_pair_distance,
+    "nearest_neighbor": q_nearest_neighbor,
+    "fixed_center_match": q_fixed_center_match,
+    "pairs_within_t1": q_pairs_within_t1,
     "canopy_seats": q_canopy_seats,
     "seeds": q_seeds,
     "assign_step": q_assign_step,
