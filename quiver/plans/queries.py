@@ -239,10 +239,20 @@ def q_update_step(spark, sf):
 
 
 def q_convergence_count(spark, sf):
+    """Changed assignments per round, recomputed from the per-round centre tables (SNK4)."""
     members, _, initial = _seeded(spark, sf)
-    res = kmeans(members, initial, DIM, max_iter=3, stop_on_convergence=False, checkpoint_members=False)
-    rows = [(i + 1, int(c)) for i, c in enumerate(res.changed)]
-    return spark.createDataFrame(rows, "round int, changed long")
+    path = scratch_path(spark, "centres-by-round")
+    res = kmeans(members, initial, DIM, max_iter=3, stop_on_convergence=False, checkpoint_members=False,
+                 centers_path=path)
+    rounds = [initial.select("center_id", "canopy_id", "v")] + \
+        [spark.read.parquet(f"{path}/iter={i}") for i in (1, 2)]
+    a = [assign(members, c, DIM, res.n_centers).select("symbol", F.col("center_id").alias(f"a{i + 1}"))
+         for i, c in enumerate(rounds)]
+    both = a[0].join(a[1], "symbol").join(a[2], "symbol")
+    counts = both.agg(F.count(F.lit(1)).alias("n1"), F.count_if(F.col("a1") != F.col("a2")).alias("n2"),
+                      F.count_if(F.col("a2") != F.col("a3")).alias("n3"))
+    return counts.selectExpr("stack(3, 1, n1, 2, n2, 3, n3) AS (round, changed)").select(
+        F.col("round").cast("int").alias("round"), F.col("changed").cast("long").alias("changed"))
 
 
 def q_kmeans_3_iter(spark, sf):
