@@ -56,6 +56,32 @@ def full_history(bars: DataFrame, days: int, features=FEATURES, policy: str = "d
     return lat.where(F.col("n_days") == F.lit(int(days))).drop("n_days")
 
 
+def latest_days_recent_first(bars_since, days: int, since, symbols: DataFrame | None = None,
+                             features=FEATURES) -> DataFrame:
+    """Exact latest-D window that reads history only where the recent part falls short.
+
+    ``bars_since(date_or_None)`` builds bars from the source, restricted to
+    days >= the date when one is given (a pushed-down scan filter).  Symbols
+    with D bars on or after ``since`` are complete: their latest D bars are all
+    recent.  The others fall back to their full history through a semi join;
+    they are ``symbols`` minus the complete ones when a requested list is
+    given (nothing older is read when all of them traded recently), else
+    every symbol of the source minus the complete ones.
+    Returns the latest-D rows of every symbol (short symbols keep their < D
+    rows, exactly as :func:`latest_days` over the full source).
+    """
+    recent = with_history_count(latest_days(bars_since(since), days, features))
+    complete = recent.where(F.col("n_days") == F.lit(int(days))).drop("n_days")
+    done = complete.select("symbol").distinct()
+    universe = symbols.select("symbol").distinct() if symbols is not None else \
+        bars_since(None).select("symbol").distinct()
+    short = universe.join(done, "symbol", "left_anti")
+    older = latest_days(bars_since(None).join(short, "symbol", "left_semi"), days, features)
+    if symbols is not None:
+        complete = complete.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    return complete.unionByName(older.select(*complete.columns))
+
+
 def feature_minmax(latest: DataFrame, features=FEATURES) -> DataFrame:
     """Min and max of each feature per symbol over the window."""
     aggs = []

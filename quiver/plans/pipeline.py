@@ -50,20 +50,34 @@ def cluster_vectors(vectors: DataFrame, cfg: RunConfig, centers_path: str | None
     return members, seat_table, initial, result
 
 
-def stage_window(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = None) -> DataFrame:
+def stage_window(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = None,
+                 bars_since=None, since=None) -> DataFrame:
     """The latest-D raw bars of every kept symbol, written once.
 
     Both the vectors and the result series derive from this N x D table, so
-    the (large) bar source is scanned a single time per run.
+    the (large) bar source is scanned a single time per run.  With
+    ``bars_since`` (date -> bars from that day on) and ``since``, the window is
+    built recent-first: history is read only for symbols short of D recent
+    bars (exact, see :func:`features.latest_days_recent_first`).
     """
+    if bars_since is not None and since is not None:
+        wanted = feat.first_n_symbols(symbols, cfg.amount).select("symbol") if symbols is not None else None
+        lat = feat.latest_days_recent_first(bars_since, cfg.days, since, wanted, cfg.features)
+        full = feat.with_history_count(lat)
+        if cfg.short_history == "raise" and full.where(F.col("n_days") < cfg.days).limit(1).count():
+            raise ValueError(f"symbols with fewer than {cfg.days} days")
+        return reliable(full.where(F.col("n_days") == F.lit(int(cfg.days))).drop("n_days"))
     chosen = select_symbols(bars, symbols, cfg.amount)
     return reliable(feat.full_history(chosen, cfg.days, cfg.features, cfg.short_history))
 
 
 def run(bars: DataFrame, cfg: RunConfig, symbols: DataFrame | None = None,
-        centers_path: str | None = None) -> RunResult:
-    """The whole run; ``centers_path`` keeps each round's centre table (``iter=<i>``)."""
-    window = stage_window(bars, cfg, symbols)
+        centers_path: str | None = None, bars_since=None, since=None) -> RunResult:
+    """The whole run; ``centers_path`` keeps each round's centre table (``iter=<i>``).
+
+    ``bars_since``/``since`` switch the window to the recent-first build.
+    """
+    window = stage_window(bars, cfg, symbols, bars_since, since)
     vectors = feat.assemble(feat.normalize(window, cfg.features, degenerate=cfg.degenerate), cfg.features)
     members, seat_table, initial, result = cluster_vectors(vectors, cfg, centers_path)
     clusters = number_clusters(result.assignments, result.n_centers)

@@ -8,6 +8,7 @@ sides.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -40,6 +41,7 @@ EMB_T1 = 0.14
 EMB_K = 8
 BUCKETS = 4
 K_LARGE = 40
+RECENT_DAYS = 7
 DIM = DAYS * len(FEATURES)
 CLUSTER_ROUNDS_SQL = 8
 
@@ -104,6 +106,16 @@ def q_latest_days(spark, sf):
                       F.col("day_index").cast("int").alias("day_index"), *[_r(F.col(f)).alias(f) for f in FEATURES])
 
 
+def q_latest_days_recent(spark, sf):
+    """latest_days computed recent-first: events from the last RECENT_DAYS days, history only where needed."""
+    events = load_table(spark, sf, "events")
+    last = events.agg(F.max(F.to_date("ts"))).first()[0]
+    since = last - dt.timedelta(days=RECENT_DAYS - 1)
+    lat = feat.latest_days_recent_first(lambda d: events_bars(events, d), DAYS, since)
+    return lat.select("symbol", F.date_format("d", "yyyy-MM-dd").alias("d"),
+                      F.col("day_index").cast("int").alias("day_index"), *[_r(F.col(f)).alias(f) for f in FEATURES])
+
+
 def q_short_history(spark, sf):
     return feat.short_history(_bars(spark, sf), SHORT_DAYS)
 
@@ -365,6 +377,7 @@ def _oracle() -> dict[str, str]:
                             f"FROM customer WHERE c_custkey < {AMOUNT}")
     q["latest_days"] = (f"WITH {O.bars_cte()},\n{O.latest_ctes(DAYS)}\n"
                         f"SELECT symbol, CAST(d AS VARCHAR) AS d, CAST(day_index AS INTEGER) AS day_index, {feats6} FROM lat")
+    q["latest_days_recent"] = q["latest_days"]
     q["short_history"] = (f"WITH {O.bars_cte()},\n{O.latest_ctes(SHORT_DAYS)}\n"
                           f"SELECT symbol, CAST(count(*) AS BIGINT) AS n_days FROM lat GROUP BY symbol "
                           f"HAVING count(*) < {SHORT_DAYS}")
@@ -455,6 +468,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_bars": q_lineitem_bars,
     "first_n_symbols": q_first_n_symbols,
     "latest_days": q_latest_days,
+    "latest_days_recent": q_latest_days_recent,
     "short_history": q_short_history,
     "feature_minmax": q_feature_minmax,
     "normalized_long": q_normalized_long,

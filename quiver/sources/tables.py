@@ -14,12 +14,16 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events_bars(events: DataFrame) -> DataFrame:
+def events_bars(events: DataFrame, since=None) -> DataFrame:
     """Daily bars from an event stream: user = symbol, day of ts, first/max/min/last value.
 
     (user_id, ts) is unique, so first/last by ts are deterministic.  The
     aggregation is partial (map-side) so a hot symbol does not load one task.
+    ``since`` (a date) keeps events from that day on, as a filter on the raw
+    ``ts`` column that reaches the parquet scan.
     """
+    if since is not None:
+        events = events.where(F.col("ts") >= F.to_timestamp_ntz(F.lit(str(since))))
     return (
         events.where(F.col("value").isNotNull() & F.col("ts").isNotNull() & F.col("user_id").isNotNull())
         .groupBy(F.col("user_id").cast("string").alias("symbol"), F.to_date("ts").alias("d"))
@@ -32,7 +36,7 @@ def events_bars(events: DataFrame) -> DataFrame:
     )
 
 
-def lineitem_bars(lineitem: DataFrame) -> DataFrame:
+def lineitem_bars(lineitem: DataFrame, since=None) -> DataFrame:
     """Second bar source: supplier x ship date over the extended price.
 
     Open/close are the prices of the first/last line of the day in
@@ -41,6 +45,8 @@ def lineitem_bars(lineitem: DataFrame) -> DataFrame:
     this schema) so the aggregation stays a hash aggregation: a struct
     ordering key would force a sort-based one.  Out-of-range keys fail loudly.
     """
+    if since is not None:
+        lineitem = lineitem.where(F.col("l_shipdate") >= F.to_timestamp_ntz(F.lit(str(since))))
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     fits = (ln >= 0) & (ln < 256) & (ok >= 0) & (ok < F.lit(1 << 55))
     order = F.when(fits, ok * 256 + ln).otherwise(

@@ -51,3 +51,27 @@ def test_feature_subset_keeps_fixed_order(spark):
 def test_first_n_symbols_uses_position(spark):
     syms = spark.createDataFrame([("Z", 0), ("A", 1), ("M", 2)], "symbol string, pos long")
     assert [r["symbol"] for r in feat.first_n_symbols(syms, 2).orderBy("pos").collect()] == ["Z", "A"]
+
+
+def test_recent_first_window_is_exact(spark):
+    from pyspark.sql import functions as F
+
+    rows = []
+    for i in range(10):  # A: trades every day
+        rows.append(("A", day(i), float(i), i + 1.0, i - 1.0, i + 0.5))
+    for i in (0, 1, 2, 8, 9):  # B: only 2 recent days -> needs history
+        rows.append(("B", day(i), 1.0 + i, 2.0 + i, 0.5, 1.5))
+    for i in (0, 1, 2, 3, 4, 5):  # C: nothing recent
+        rows.append(("C", day(i), 3.0, 4.0 + i, 2.0, 3.5))
+    bars = bars_df(spark, rows)
+
+    def since_fn(d):
+        return bars if d is None else bars.where(F.col("d") >= F.lit(d))
+
+    key = ["symbol", "d", "day_index", "open", "high", "low", "close"]
+    expect = sorted(feat.latest_days(bars, 4).select(*key).collect())
+    got = sorted(feat.latest_days_recent_first(since_fn, 4, day(6)).select(*key).collect())
+    assert got == expect
+    req = spark.createDataFrame([("A",), ("C",), ("Z",)], "symbol string")
+    got_req = sorted(feat.latest_days_recent_first(since_fn, 4, day(6), req).select(*key).collect())
+    assert got_req == [r for r in expect if r["symbol"] in ("A", "C")]

@@ -29,3 +29,17 @@ def test_feature_subset_and_policies(spark):
     res = run(bars, RunConfig(clusters=3, features=("close",), degenerate="zero", days=4))
     v = res.vectors.first()["v"]
     assert len(v) == 4
+
+
+def test_recent_first_run_equals_full_run(spark):
+    import datetime as dt
+
+    events = load_table(spark, SF0001, "events")
+    bars = events_bars(events)
+    syms = customer_symbols(load_table(spark, SF0001, "customer"))
+    last = events.agg(F.max(F.to_date("ts"))).first()[0]
+    cfg = RunConfig(clusters=4)
+    full = run(bars, cfg, syms)
+    fast = run(bars, cfg, syms, bars_since=lambda d: events_bars(events, d), since=last - dt.timedelta(days=9))
+    assert sorted(full.clusters.collect()) == sorted(fast.clusters.collect())
+    assert sorted(full.series.collect()) == sorted(fast.series.collect())
