@@ -194,9 +194,13 @@ def canopy_bucketed(vectors: DataFrame, t1: float = 0.5, buckets: int = 4, batch
     merged = canopy(candidates, t1, batch, check=False)
     mapping = merged.select(F.col("symbol").alias("local_id"), F.col("canopy_id").alias("final_id"))
     n_cand = candidates.count()
+    members = local.select("symbol", "v", F.col("canopy_id").alias("local_id"))
     if n_cand <= broadcast_rows:
-        mapping = F.broadcast(mapping)
-    joined = local.withColumnRenamed("canopy_id", "local_id").join(mapping, "local_id")
+        joined = members.join(F.broadcast(mapping), "local_id")
+    else:  # a huge local canopy must not meet in one task
+        from quiver.operators.joins import join_split_hot
+
+        joined = join_split_hot(members, mapping, "local_id")
     return reliable(joined.select("symbol", F.col("final_id").alias("canopy_id"), "v"))
 
 

@@ -138,39 +138,18 @@ def build_vectors(bars: DataFrame, days: int, features=FEATURES, degenerate: str
     return assemble(normalize(full, features, degenerate=degenerate), features)
 
 
-# Fixed value: members per equal-vector group above which the group is "hot".
-HOT_GROUP = 10_000
-
-
-def equal_vector_groups(vectors: DataFrame, dim: int, hot: int = HOT_GROUP,
+def equal_vector_groups(vectors: DataFrame, dim: int, hot: int | None = None,
                         broadcast_bytes: int = 64 << 20, salts: int = 64) -> DataFrame:
     """(symbol, v) -> (symbol, twin_of, n_same): the smallest symbol with an identical vector.
 
-    Groups are found by a partial aggregation on the vector.  Joining the
-    group facts back is split by heat: groups with more than ``hot`` members
-    (at most N / hot of them) are broadcast to the member rows while they fit
-    ``broadcast_bytes``, else joined on (v, salt) with each hot group copied
-    once per salt; the others use an ordinary shuffle join.  A duplicated
-    vector shared by a third of all symbols therefore never sits in one task.
+    Groups are found by a partial aggregation on the vector and joined back
+    with :func:`joins.join_split_hot`, so a duplicated vector shared by a
+    third of all symbols never sits in one task.
     """
-    groups = vectors.groupBy("v").agg(F.min("symbol").alias("twin_of"),
-                                      F.count(F.lit(1)).cast("long").alias("n_same"))
-    groups = reliable(groups)
-    hot_groups = groups.where(F.col("n_same") > F.lit(int(hot)))
-    n_hot = hot_groups.count()
-    if n_hot == 0:
-        return vectors.join(groups, "v").select("symbol", "twin_of", "n_same")
-    cold_groups = groups.where(F.col("n_same") <= F.lit(int(hot)))
-    if n_hot * (dim * 8 + 64) <= broadcast_bytes:
-        tagged = vectors.join(F.broadcast(hot_groups.select("v", F.lit(True).alias("__hot"))), "v", "left")
-        hot_part = tagged.where(F.col("__hot").isNotNull()).drop("__hot").join(F.broadcast(hot_groups), "v")
-        cold_part = tagged.where(F.col("__hot").isNull()).drop("__hot").join(cold_groups, "v")
-    else:
-        # the salted left join tags hot rows with their group facts; only the
-        # untagged (cold) rows then go through the plain join on the vector
-        salt = F.pmod(F.xxhash64("symbol"), F.lit(int(salts))).cast("int")
-        fanned = hot_groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))))
-        tagged = vectors.withColumn("__salt", salt).join(fanned, ["v", "__salt"], "left").drop("__salt")
-        hot_part = tagged.where(F.col("twin_of").isNotNull())
-        cold_part = tagged.where(F.col("twin_of").isNull()).select("symbol", "v").join(cold_groups, "v")
-    return hot_part.select("symbol", "twin_of", "n_same").unionByName(cold_part.select("symbol", "twin_of", "n_same"))
+    from quiver.operators.joins import HOT_KEY_ROWS, join_split_hot
+
+    groups = reliable(vectors.groupBy("v").agg(F.min("symbol").alias("twin_of"),
+                                               F.count(F.lit(1)).cast("long").alias("n_same")))
+    out = join_split_hot(vectors.select("symbol", "v"), groups, "v", hot if hot is not None else HOT_KEY_ROWS,
+                         broadcast_bytes, dim * 8 + 64, salts)
+    return out.select("symbol", "twin_of", "n_same")

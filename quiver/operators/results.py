@@ -20,8 +20,12 @@ def number_clusters(assignments: DataFrame, n_centers: int | None = None) -> Dat
     used = assignments.select("center_id").distinct()
     numbered = global_row_number(used, [F.col("center_id")], "cluster_no", n_rows=n_centers)
     if n_centers is not None and n_centers <= BROADCAST_CENTERS:
-        numbered = F.broadcast(numbered)  # K rows of two longs
-    return assignments.join(numbered, "center_id").select(
+        joined = assignments.join(F.broadcast(numbered), "center_id")  # K rows of two longs
+    else:  # a centre holding a third of all vectors must not meet in one task
+        from quiver.operators.joins import join_split_hot
+
+        joined = join_split_hot(assignments.select("center_id", "symbol"), numbered, "center_id")
+    return joined.select(
         F.col("cluster_no").cast("int").alias("cluster_no"), "symbol")
 
 
