@@ -15,6 +15,10 @@ from quiver.operators.results import number_clusters, series
 from quiver.operators.seeding import seats, seeds
 
 
+# Fixed value: requested-symbol lists up to this many rows are broadcast.
+BROADCAST_SYMBOLS = 2_000_000
+
+
 @dataclass
 class RunResult:
     vectors: DataFrame
@@ -30,7 +34,10 @@ def select_symbols(bars: DataFrame, symbols: DataFrame | None, amount: int | Non
     """Bars of the first ``amount`` requested symbols (all bars when no list is given)."""
     if symbols is None:
         return bars
-    wanted = feat.first_n_symbols(symbols, amount).select("symbol")
+    wanted = feat.first_n_symbols(symbols, amount).select("symbol").distinct()
+    if wanted.count() <= BROADCAST_SYMBOLS:
+        # bounded list: broadcast, so the (large) bar source is never shuffled for it
+        wanted = F.broadcast(wanted)
     return bars.join(wanted, "symbol", "left_semi")
 
 
