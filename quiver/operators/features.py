@@ -56,6 +56,10 @@ def full_history(bars: DataFrame, days: int, features=FEATURES, policy: str = "d
     return lat.where(F.col("n_days") == F.lit(int(days))).drop("n_days")
 
 
+# Fixed value: short-symbol lists up to this many rows are broadcast.
+BROADCAST_SHORT = 2_000_000
+
+
 def latest_days_recent_first(bars_since, days: int, since, symbols: DataFrame | None = None,
                              features=FEATURES) -> DataFrame:
     """Exact latest-D window that reads history only where the recent part falls short.
@@ -75,7 +79,9 @@ def latest_days_recent_first(bars_since, days: int, since, symbols: DataFrame |
     done = complete.select("symbol").distinct()
     universe = symbols.select("symbol").distinct() if symbols is not None else \
         bars_since(None).select("symbol").distinct()
-    short = universe.join(done, "symbol", "left_anti")
+    short = reliable(universe.join(done, "symbol", "left_anti"))
+    if short.count() <= BROADCAST_SHORT:
+        short = F.broadcast(short)  # the full history is then filtered without a shuffle
     older = latest_days(bars_since(None).join(short, "symbol", "left_semi"), days, features)
     if symbols is not None:
         complete = complete.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
