@@ -17,11 +17,13 @@ from quiver.config import FEATURES, RunConfig
 from quiver.operators import canopy as canopy_ops
 from quiver.operators import features as feat
 from quiver.operators.kmeans import assign, kmeans
-from quiver.operators.load import load_report, failed_symbols
+from quiver.operators.load import failed_symbols, load_report
+from quiver.operators.matching import match_centres
 from quiver.operators.persist import reliable
 from quiver.operators.results import cluster_sizes, number_clusters, series, series_min
 from quiver.operators.seeding import seats, seeds
 from quiver.plans import oracle as O
+from quiver.plans.pipeline import cluster_vectors, run
 from quiver.session import scratch_path
 from quiver.sinks import (cluster_text_lines, write_canopies, write_cluster_text, write_price_csv,
                           write_symbol_directory, write_vector_text)
@@ -202,8 +204,6 @@ def q_pair_distance(spark, sf):
 
 
 def _centre_match(spark, sf, t1):
-    from quiver.operators.matching import match_centres
-
     m = _members(spark, sf)
     centres = m.where(F.col("symbol") == F.col("canopy_id")).select(F.col("symbol").alias("centre"), "v")
     return match_centres(m.select("symbol", "v"), centres, t1)
@@ -290,8 +290,6 @@ def q_clusters_k40(spark, sf):
 
 def q_lineitem_clusters(spark, sf):
     """The full run on the second bar source (supplier x ship date, long histories)."""
-    from quiver.plans.pipeline import run
-
     res = run(lineitem_bars(load_table(spark, sf, "lineitem")), RunConfig(days=DAYS, clusters=K, t1=T1))
     return res.clusters
 
@@ -327,8 +325,6 @@ def q_series_min(spark, sf):
 
 def q_pipeline(spark, sf):
     """The whole run through the pipeline API (first AMOUNT requested symbols)."""
-    from quiver.plans.pipeline import run
-
     requested = customer_symbols(load_table(spark, sf, "customer"))
     res = run(_bars(spark, sf), RunConfig(amount=AMOUNT, days=DAYS, clusters=5, t1=T1), requested)
     return res.clusters
@@ -347,8 +343,6 @@ def q_embedding_canopy(spark, sf):
 def q_embedding_clusters(spark, sf):
     vec = _emb(spark, sf)
     cfg = RunConfig(clusters=EMB_K, t1=EMB_T1)
-    from quiver.plans.pipeline import cluster_vectors
-
     _, _, _, res = cluster_vectors(vec, cfg)
     return number_clusters(res.assignments, res.n_centers)
 
