@@ -33,7 +33,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quiver.functions.distance import mean_l1, mean_l1_matrix
-from quiver.operators.joins import attach_by_canopy
+from quiver.operators.joins import attach_by_canopy, join_split_hot
 from quiver.operators.persist import reliable
 
 # Fixed value: distances are snapped to multiples of 1e-12 before comparing
@@ -244,10 +244,103 @@ def _np_assign(model: dict):
     return run
 
 
+# ---------------------------------------------------------------- large models
+# Centres stay in tables.  Members and centres are cogrouped on
+# (canopy_id, salt): canopy i gets ceil(n_i / rows_per_group) salts, members
+# take a salt from their symbol hash, and each canopy's centres (current and
+# previous round) are copied once per salt.  A group therefore holds a bounded
+# slice of one canopy's members plus that canopy's centres, and is processed
+# with the same numpy code as the small-model engine.
+
+
+def _cogroup_stats(dim: int):
+    def run(members: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+        if members.empty or centres.empty:
+            return pd.DataFrame({"center_id": [], "pos": [], "value": []}).astype(
+                {"center_id": "int64", "pos": "int32", "value": "float64"})
+        can = members["canopy_id"].iloc[0]
+
+        def model(which: int) -> dict | None:
+            part = centres[centres["which"] == which].sort_values("center_id")
+            if part.empty:
+                return None
+            return {can: (part["center_id"].to_numpy(dtype=np.int64),
+                          np.stack([np.asarray(v, dtype=np.float64) for v in part["v"]]))}
+
+        cur, prev = model(0), model(1)
+        parts = list(_np_round_stats(cur, prev, dim)(iter([members[["canopy_id", "v"]]])))
+        return parts[0] if parts else pd.DataFrame({"center_id": [], "pos": [], "value": []})
+
+    return run
+
+
+def _salt_members(members: DataFrame, rows_per_group: int) -> tuple[DataFrame, DataFrame]:
+    """Members with a per-canopy salt, hash-partitioned on (canopy_id, salt) once and cached.
+
+    Canopy i gets ceil(n_i / rows_per_group) salts, so a hot canopy spreads
+    over many groups; later cogroups reuse this partitioning and only the
+    small centre side is shuffled per round.
+    """
+    sizes = members.groupBy("canopy_id").agg(F.count(F.lit(1)).alias("__n"))
+    salts = reliable(sizes.select("canopy_id", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(int(rows_per_group))))
+                                  .cast("int").alias("__s")))
+    m = join_split_hot(members, salts, "canopy_id", small_row_bytes=32)
+    m = m.withColumn("__salt", F.pmod(F.xxhash64("symbol"), F.col("__s")).cast("int")).drop("__s")
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    m = m.repartition(parts, "canopy_id", "__salt").persist(StorageLevel.MEMORY_AND_DISK)
+    return m, salts
+
+
+def _centre_side(cur: DataFrame, prev: DataFrame | None, salts: DataFrame) -> DataFrame:
+    both = cur.select("center_id", "canopy_id", "v", F.lit(0).alias("which"))
+    if prev is not None:
+        both = both.unionByName(prev.select("center_id", "canopy_id", "v", F.lit(1).alias("which")))
+    return both.join(salts, "canopy_id").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.col("__s") - 1))).drop("__s")
+
+
+def _round_cogroup(m: DataFrame, salts: DataFrame, cur: DataFrame, prev: DataFrame | None, dim: int) -> DataFrame:
+    """One round on centre tables -> (center_id, canopy_id, v, n, changed) for every centre."""
+    c = _centre_side(cur, prev, salts)
+    stats = (m.groupBy("canopy_id", "__salt").cogroup(c.groupBy("canopy_id", "__salt"))
+             .applyInPandas(_cogroup_stats(dim), STATS_SCHEMA)
+             .groupBy("center_id", "pos").agg(F.sum("value").alias("s")))
+    per = stats.groupBy("center_id").agg(
+        F.max(F.when(F.col("pos") == -2, F.col("s"))).alias("n"),
+        F.max(F.when(F.col("pos") == -1, F.col("s"))).alias("changed"),
+        F.array_sort(F.collect_list(F.when(F.col("pos") >= 0, F.struct("pos", "s")))).alias("cells"),
+    ).select("center_id", "n", "changed", F.transform("cells", lambda e: e["s"]).alias("sums"))
+    return cur.join(per, "center_id", "left").select(
+        "center_id", "canopy_id",
+        F.when(F.col("n") > 0, F.transform("sums", lambda x: x / F.col("n"))).otherwise(F.col("v")).alias("v"),
+        F.coalesce(F.col("n"), F.lit(0.0)).cast("long").alias("n"),
+        F.coalesce(F.col("changed"), F.lit(0.0)).cast("long").alias("changed"),
+    )
+
+
+def _assign_cogroup(m: DataFrame, salts: DataFrame, centers: DataFrame) -> DataFrame:
+    c = _centre_side(centers, None, salts)
+
+    def run(mem: pd.DataFrame, cen: pd.DataFrame) -> pd.DataFrame:
+        if mem.empty:
+            return pd.DataFrame({"symbol": [], "canopy_id": [], "center_id": [], "dist": []})
+        can = mem["canopy_id"].iloc[0]
+        part = cen.sort_values("center_id")
+        model = {can: (part["center_id"].to_numpy(dtype=np.int64),
+                       np.stack([np.asarray(v, dtype=np.float64) for v in part["v"]]))} if not part.empty else {}
+        _, cid, dist = _np_assign_batch(mem[["canopy_id", "v"]], model)
+        return pd.DataFrame({"symbol": mem["symbol"].to_numpy(), "canopy_id": mem["canopy_id"].to_numpy(),
+                             "center_id": cid, "dist": dist})
+
+    return (m.groupBy("canopy_id", "__salt").cogroup(c.groupBy("canopy_id", "__salt"))
+            .applyInPandas(run, ASSIGN_SCHEMA))
+
+
 def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
            broadcast_bytes: int = 64 << 20, salts: int = 64, stop_on_convergence: bool = True,
            checkpoint_members: bool = True, model_bytes: int = 16 << 20,
-           centers_path: str | None = None, engine: str = "auto") -> KMeansResult:
+           centers_path: str | None = None, engine: str = "auto",
+           rows_per_group: int = 1_000_000) -> KMeansResult:
     """Iterate assign/update from ``initial`` (center_id, canopy_id, v) centres.
 
     When the model (K centres x d doubles) is under ``model_bytes`` the K new
@@ -309,8 +402,12 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
         members.unpersist(blocking=False)
         return KMeansResult(final, centers, rounds, changed, n_centers)
     cur_t, prev_t = cur_df, None
+    salted = _salt_members(members, rows_per_group) if engine == "auto" else None
     for i in range(1, int(max_iter) + 1):
-        nxt = reliable(_round(members, cur_t, prev_t, dim, n_centers, broadcast_bytes, salts))
+        if salted is not None:
+            nxt = reliable(_round_cogroup(salted[0], salted[1], cur_t, prev_t, dim))
+        else:
+            nxt = reliable(_round(members, cur_t, prev_t, dim, n_centers, broadcast_bytes, salts))
         if centers_path:
             nxt.select("center_id", "canopy_id", "v").write.mode("overwrite").parquet(f"{centers_path}/iter={i}")
         ch = int(nxt.agg(F.sum("changed")).first()[0] or 0)
@@ -319,6 +416,11 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
         prev_t, cur_t = cur_t, nxt.select("center_id", "canopy_id", "v")
         if stop_on_convergence and i >= 2 and ch == 0:
             break
-    final = assign(members, prev_t if prev_t is not None else cur_t, dim, n_centers, broadcast_bytes, salts)
+    last_t = prev_t if prev_t is not None else cur_t
+    if salted is not None:
+        final = _assign_cogroup(salted[0], salted[1], last_t)
+        salted[0].unpersist(blocking=False)
+    else:
+        final = assign(members, last_t, dim, n_centers, broadcast_bytes, salts)
     members.unpersist(blocking=False)
     return KMeansResult(final, cur_t, rounds, changed, n_centers)

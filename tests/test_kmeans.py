@@ -113,7 +113,13 @@ def test_salted_join_matches_broadcast(spark):
     b = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, broadcast_bytes=0, salts=4, model_bytes=0)
     c = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, model_bytes=0)
     e = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, engine="jvm")
+    f = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, model_bytes=0, engine="jvm",
+               broadcast_bytes=0, salts=4)
+    g = kmeans(m, init, 3, max_iter=3, stop_on_convergence=False, model_bytes=0, rows_per_group=5)
     key = ["symbol", "center_id"]
+    for other in (f, g):
+        assert sorted(a.assignments.select(*key).collect()) == sorted(other.assignments.select(*key).collect())
+        assert a.changed == other.changed
     assert sorted(a.assignments.select(*key).collect()) == sorted(e.assignments.select(*key).collect())
     assert a.changed == e.changed
     assert sorted(a.assignments.select(*key).collect()) == sorted(b.assignments.select(*key).collect())
