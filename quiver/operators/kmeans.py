@@ -9,12 +9,13 @@ assignments), then per-centre means by partial aggregation.
 Small model (K x d doubles under ``model_bytes``): centre rows are held on the
 driver (as MLlib's k-means does) and the default engine assigns each Arrow
 batch with vectorised numpy, emitting only per-centre partial sums.
-Large model: centres stay in written tables; per-canopy centre arrays are
-joined to the members with a broadcast while they are under
-``broadcast_bytes``, beyond that with a shuffle on (canopy_id, salt) where
-members spread over ``salts`` hash salts and each canopy's array is copied
-once per salt, so a canopy holding a third of all vectors is split across
-``salts`` tasks; the nearest centre is a JVM array expression.
+Large model: centres stay in written tables.  Members get a per-canopy salt
+(ceil(n_i / rows_per_group) salts per canopy), are hash-partitioned on
+(canopy_id, salt) once, and each round cogroups them with the canopy's
+centres (copied once per salt), running the same numpy code per group; so a
+canopy holding a third of all vectors is split into bounded groups.
+``engine="jvm"`` instead joins per-canopy centre arrays (broadcast under
+``broadcast_bytes``, else salted) and evaluates a JVM array expression.
 
 Ties: distances are snapped to multiples of 1e-12 (identical double arithmetic
 in every engine and in the SQL oracle), then the lowest center_id wins.
