@@ -76,11 +76,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``quiver`` importable in Python workers (what ``--py-files`` does)."""
+    """Make ``quiver`` importable in Python workers (what ``--py-files`` does).
+
+    The archive is staged in a driver-local folder and served by the driver
+    through ``addPyFile``; no data goes there.  Skipped when the job was
+    submitted with the package already in ``--py-files``.
+    """
     sc = _context(spark)
     key = sc.applicationId if sc is not None else f"connect-{id(spark)}"
     if key in _SHIPPED:
         return
+    if sc is not None and "quiver" in (sc.getConf().get("spark.submit.pyFiles", "") or ""):
+        _SHIPPED.add(key)
+        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out_dir = tempfile.mkdtemp(prefix="quiver-pyfiles-")
     archive = shutil.make_archive(os.path.join(out_dir, "quiver"), "zip",
