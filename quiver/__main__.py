@@ -12,7 +12,7 @@ import json
 from pyspark.sql import SparkSession
 
 from quiver.config import FEATURES, RunConfig
-from quiver.session import checkpoint_dir, ship_package
+from quiver.session import checkpoint_dir, release_scratch, scratch_mark, ship_package
 
 
 def _session() -> SparkSession:
@@ -29,6 +29,7 @@ def _run(args) -> dict:
     from quiver.sources.files import number_directory
 
     spark = _session()
+    mark = scratch_mark()
     cfg = RunConfig(amount=args.amount, days=args.days, clusters=args.clusters,
                     features=tuple(args.features.split(",")), t1=args.t1, seed=args.seed,
                     max_iter=args.max_iter, degenerate=args.degenerate, buckets=args.buckets)
@@ -42,7 +43,9 @@ def _run(args) -> dict:
     report = load_report(requested, bars)
     report.write.mode("overwrite").json(f"{args.out.rstrip('/')}/load_report")
     failed_symbols(requested, bars).write.mode("overwrite").text(f"{args.out.rstrip('/')}/failed_symbols")
-    return {"rounds": res.kmeans.rounds, "centers": res.kmeans.n_centers, **report.first().asDict()}
+    out = {"rounds": res.kmeans.rounds, "centers": res.kmeans.n_centers, **report.first().asDict()}
+    release_scratch(spark, mark)  # outputs are written; this run's intermediate tables are no longer read
+    return out
 
 
 def _cluster(args) -> dict:
@@ -52,10 +55,12 @@ def _cluster(args) -> dict:
     from quiver.sources import read_vector_text
 
     spark = _session()
+    mark = scratch_mark()
     cfg = RunConfig(clusters=args.clusters, t1=args.t1, seed=args.seed, max_iter=args.max_iter,
                     buckets=args.buckets)
     _, _, _, res = cluster_vectors(read_vector_text(spark, args.vectors), cfg)
     write_cluster_text(number_clusters(res.assignments, res.n_centers), args.out)
+    release_scratch(spark, mark)
     return {"rounds": res.rounds, "centers": res.n_centers}
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 _LOCAL_CKPT: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_SCRATCH: list[str] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quiver") -> SparkSession:
@@ -104,4 +105,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for a written intermediate table."""
     ship_package(spark)
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quiver-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/quiver-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """Position in the scratch registry; pass it to :func:`release_scratch`."""
+    return len(_SCRATCH)
+
+
+def release_scratch(spark: SparkSession, mark: int = 0) -> int:
+    """Delete the intermediate tables written since ``mark``; returns how many were removed.
+
+    Call only when no DataFrame that reads them is used again (e.g. after the
+    run's outputs are written).  Uses the Hadoop FileSystem of each path, so it
+    works for any shared folder Spark can write.
+    """
+    sc = _context(spark)
+    if sc is None:
+        return 0
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
+    removed = 0
+    while len(_SCRATCH) > mark:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            removed += 1
+    return removed

@@ -31,7 +31,11 @@ def test_cluster_from_vector_text(spark):
     vec = build_vectors(events_bars(load_table(spark, SF0001, "events")), 5)
     vdir, out = scratch_path(spark, "c-vec"), scratch_path(spark, "c-cl")
     write_vector_text(vec, vdir)
+    from quiver.session import _SCRATCH
+
+    before = list(_SCRATCH)
     res = main(["cluster", "--vectors", vdir, "--out", out, "--clusters", "4"])
+    assert _SCRATCH == before  # the run's own intermediate tables were released
     cl = read_cluster_text(spark, out)
     assert cl.count() == 15
     assert cl.select(F.max("cluster_no")).first()[0] <= res["centers"]
