@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from quiver.plans.queries import QUERIES  # noqa: E402
 from quiver.session import local_session  # noqa: E402
 
-HEADLINE = ["bars", "lineitem_bars", "vectors_long", "canopy_members", "canopy_members_bucketed", "seeds",
+HEADLINE = ["bars", "lineitem_bars", "vectors_long", "latest_days_recent", "canopy_members", "canopy_members_bucketed", "nearest_neighbor", "seeds",
             "kmeans_3_iter", "clusters", "clusters_k40", "lineitem_clusters", "series", "embedding_canopy", "embedding_clusters"]
 
 
