@@ -447,7 +447,7 @@ def _oracle() -> dict[str, str]:
         "SELECT cluster_no, symbol, day_index, round(value, 6) AS value FROM ser"
     q["series_min"] = O.with_recursive(clusters_sql, series_sql) + \
         "SELECT symbol, round(min(value), 6) AS min_value FROM ser GROUP BY symbol"
-    q["pipeline"] = O.with_recursive(O.clusters_ctes(P(DAYS, amount=AMOUNT), T1, 5, DIM, CLUSTER_ROUNDS_SQL)) + \
+    q["stock_pipeline"] = O.with_recursive(O.clusters_ctes(P(DAYS, amount=AMOUNT), T1, 5, DIM, CLUSTER_ROUNDS_SQL)) + \
         "SELECT cluster_no, symbol FROM cl"
     emb = "emb AS (SELECT CAST(vec_id AS VARCHAR) AS symbol, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)"
     q["embedding_clusters"] = O.with_recursive(O.clusters_ctes(emb, EMB_T1, EMB_K, 64, CLUSTER_ROUNDS_SQL, vec="emb")) + \
@@ -496,7 +496,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_sizes": q_cluster_sizes,
     "series": q_series,
     "series_min": q_series_min,
-    "pipeline": q_pipeline,
+    "stock_pipeline": q_pipeline,
     "embedding_canopy": q_embedding_canopy,
     "embedding_clusters": q_embedding_clusters,
 }
