@@ -190,15 +190,16 @@ def links(fps: DataFrame, max_bits: int = 3, cap: int = GROUP_CAP) -> DataFrame:
                .select("fp", "start", F.col("finer").alias("mask")))
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, cap: int) -> DataFrame:
-    """Fingerprinted rows with ``root``, the fingerprint that names their component."""
-    prepare(docs.sparkSession)
-    fps = reliable(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    classes = reliable(fps.select("fp").distinct(), "simhash")
-    comp = components(links(classes, max_bits, cap), "simhash")
-    # fingerprints without a link are alone; a fingerprint that many copies share is one row on the right
-    named = fps.join(comp, fps.fp == comp.node, "left")
-    return named.select("doc_id", "fp", "__sim_a", "__sim_b", F.coalesce("root", "fp").alias("root"))
+def _named(fps: DataFrame, best: Column, max_bits: int, cap: int) -> DataFrame:
+    """``(class, best)``: for each fingerprint the least ``best`` of its component's rows.
+
+    Rows are first aggregated to their fingerprint and fingerprints to their component, so neither a
+    group of copies nor a component is gathered row by row."""
+    classes = reliable(fps.groupBy("fp").agg(F.min(best).alias("best")), "simhash")
+    comp = components(links(classes.select("fp"), max_bits, cap), "simhash")
+    label = classes.join(comp, classes.fp == comp.node, "left").select("fp", "best", F.coalesce("root", "fp").alias("root"))
+    least = label.groupBy("root").agg(F.min("best").alias("least"))
+    return label.join(least, "root").select(F.col("fp").alias("class"), F.col("least").alias("best"))
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3,
@@ -211,18 +212,21 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fingerprint form one class, so copies are never paired. Columns beside ``id_col`` and ``text_col`` are
     not read, whatever their names. An empty table gives an empty result.
     """
-    rows = _grouped(docs, id_col, text_col, shingle, max_bits, cap)
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "root").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    prepare(docs.sparkSession)
+    fps = reliable(fingerprints(docs, id_col, text_col, shingle), "simhash")
+    named = _named(fps, F.col("doc_id"), max_bits, cap)
+    return (fps.join(named, F.col("fp") == F.col("class"))
+            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("best").alias("component_id")))
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3,
                   cap: int = GROUP_CAP) -> DataFrame:
     """One row of ``docs`` of each group of :func:`simhash_groups`, with all its columns: the one with the smallest id
     (a null id only where all are null; of rows with one id that with the smallest hash, of equal rows any)."""
-    rows = _grouped(docs, id_col, text_col, shingle, max_bits, cap)
+    prepare(docs.sparkSession)
+    fps = reliable(fingerprints(docs, id_col, text_col, shingle), "simhash")
     first = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__sim_a", "__sim_b")
-    kept = rows.groupBy("root").agg(F.min(first).alias("f")).select(F.col("f.__sim_a").alias("__sim_a"), F.col("f.__sim_b").alias("__sim_b")).distinct()
+    kept = _named(fps, first, max_bits, cap).select("best.__sim_a", "best.__sim_b").distinct()
     own = docs.select("*", *_row_keys(id_col, text_col)).join(kept, ["__sim_a", "__sim_b"], "left_semi")
     equal = Window.partitionBy("__sim_a", "__sim_b").orderBy("__sim_a")  # as the join deals them: no further shuffle
     return own.withColumn("__sim_n", F.row_number().over(equal)).where("__sim_n = 1").select(*docs.columns)
