@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from quiver.llm.common import prepare, reliable
 
 END_ID = 0
-LANE_ROWS = 200_000  # pieces of one length that are ranked in one task, about
+LANE_ROWS = 1_000  # pieces of one length that are ranked together, about
 _ENCODERS: dict = {}
 
 
@@ -159,8 +159,8 @@ def place(cut: DataFrame, seq_len: int = 2048) -> DataFrame:
     spark = cut.sparkSession
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most seq_len rows
     slots = _slots(plan_bins(counts, seq_len))
-    lanes = max(1, -(-max(counts.values(), default=1) // LANE_ROWS))
-    laned = cut.withColumn("_lane", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(lanes)))
+    lanes = spark.createDataFrame([(length, -(-n // LANE_ROWS)) for length, n in counts.items()], "length long, _lanes long")
+    laned = cut.join(F.broadcast(lanes), "length").withColumn("_lane", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_lanes"))).drop("_lanes")
     per = laned.groupBy("length", "_lane").agg(F.count("*").alias("_n"))
     before = per.withColumn("_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)))
     before = before.select("length", "_lane", F.coalesce("_before", F.lit(0)).alias("_before"))

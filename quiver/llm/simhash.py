@@ -22,6 +22,7 @@ from quiver.llm.common import components, local_stars, prepare, reliable
 
 SEED = 42
 GROUP_CAP = 2048  # fingerprints of a key compared in one go; larger keys are split further, without loss
+FREE_BITS = 11  # bits outside a key that are not split: at most 2 ** 11 fingerprints share it
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -167,7 +168,8 @@ def links(fps: DataFrame, max_bits: int = 3, cap: int = GROUP_CAP) -> DataFrame:
     """Edges ``(a, b)`` that connect exactly the distinct fingerprints ``fps(fp)`` linked at ``max_bits`` or fewer.
 
     Keys that hold more than ``cap`` fingerprints are split again: the bits outside the key go into
-    ``max_bits + 1`` parts, one of which must be equal in a linked pair, until no key is that large."""
+    ``max_bits + 1`` parts, one of which must be equal in a linked pair, until no key is that large or
+    ``FREE_BITS`` bits are left, which bound its size by themselves."""
     spark = fps.sparkSession
     level = [(i, mask) for i, mask in _keys(max_bits)]
     cur = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("start"), F.lit(_signed(m)).alias("mask")) for i, m in level])).alias("k"))
@@ -177,16 +179,17 @@ def links(fps: DataFrame, max_bits: int = 3, cap: int = GROUP_CAP) -> DataFrame:
         keyed = cur.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         size = keyed.groupBy("mask", "key", "start").count().where("count > 1")
         sized = reliable(keyed.join(size, ["mask", "key", "start"]), "simhash")
-        small = sized.where(F.col("count") <= cap).repartition("mask", "key").sortWithinPartitions("mask", "key")
+        large = (F.col("count") > cap) & (F.bit_count("mask") < 64 - FREE_BITS)
+        small = sized.where(~large).repartition("mask", "key").sortWithinPartitions("mask", "key")
         found = small.select("mask", "key", "fp", F.col("start").cast("long")).mapInArrow(_links(max_bits), "a long, b long")
         found = reliable(found, "simhash")
         out = found if out is None else out.union(found)
-        masks = [r for r in sized.where(F.col("count") > cap).select("start", "mask").distinct().collect()]
+        masks = sized.where(large).select("start", "mask").distinct().collect()  # a few per level, whatever the data
         if not masks:
             return out
         finer = {(r.start, r.mask): _finer(r.mask & (1 << 64) - 1, max_bits) for r in masks}
-        table = spark.createDataFrame([(s, m, _signed(f)) for (s, m), fs in finer.items() for f in fs if f != m & (1 << 64) - 1], "start int, mask long, finer long")
-        cur = (sized.where(F.col("count") > cap).join(F.broadcast(table), ["start", "mask"])
+        table = spark.createDataFrame([(s, m, _signed(f)) for (s, m), fs in finer.items() for f in fs], "start int, mask long, finer long")
+        cur = (sized.where(large).join(F.broadcast(table), ["start", "mask"])
                .select("fp", "start", F.col("finer").alias("mask")))
 
 
