@@ -24,7 +24,7 @@ ORDER = 4
 QUANTILE = 0.99
 SLACK = 1.5  # clean documents of other kinds than the trusted ones stay
 HELD_OUT = 5  # one trusted document in so many, by a hash of its id
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 SYMBOLS = 255  # 254 byte values that text, or a mark behind it, can have, rounded up: the uniform distribution below order one
 _START, _END = b"\xff", b"\xfe"  # never part of UTF-8
 _SLICE = 1 << 20
@@ -47,17 +47,43 @@ def _marked(docs: list[bytes], order: int) -> bytes:
     return b"".join(pad + d + _END for d in docs)
 
 
-def _distinct(body: bytes, order: int) -> tuple[np.ndarray, np.ndarray]:
+def _groups(docs: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of about a slice together; a longer document is a range by itself."""
+    at = size = 0
+    for i, d in enumerate(docs):
+        if i > at and size + len(d) > _SLICE:
+            yield at, i
+            at, size = i, 0
+        size += len(d)
+    if docs:
+        yield at, len(docs)
+
+
+def _distinct(docs: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams and their counts."""
     key, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for g in _grams(body, order):
-        k, c = np.unique(g, return_counts=True)
-        both, inv = np.unique(np.concatenate([key, k.astype(np.uint64)]), return_inverse=True)
-        n = np.bincount(inv, weights=np.concatenate([n, c]), minlength=len(both)).astype(np.int64)
-        key = both
+    for lo, hi in _groups(docs):
+        for g in _grams(_marked(docs[lo:hi], order), order):
+            k, c = np.unique(g, return_counts=True)
+            both, inv = np.unique(np.concatenate([key, k.astype(np.uint64)]), return_inverse=True)
+            n = np.bincount(inv, weights=np.concatenate([n, c]), minlength=len(both)).astype(np.int64)
+            key = both
     return key, n
 
 
+def _log_likelihoods(docs: list[bytes], order: int, gram: np.ndarray, lp: np.ndarray) -> np.ndarray:
+    """Each document's sum of ``lp``, the log probabilities of the sorted n-grams ``gram``."""
+    out = np.zeros(len(docs))
+    for lo, hi in _groups(docs):
+        each = (lp[np.searchsorted(gram, g)] for g in _grams(_marked(docs[lo:hi], order), order))
+        if hi - lo == 1:  # of any length: slice by slice
+            out[lo] = sum(float(x.sum()) for x in each)
+        else:
+            start = np.cumsum([0, *(len(d) + 1 for d in docs[lo:hi - 1])])
+            out[lo:hi] = np.add.reduceat(np.concatenate(list(each)), start)
+    return out
+
+
 def _docs(r: dict) -> list[bytes]:
     body, at = texts(r["n_bytes"], np.array(r["sizes"], np.int64), r["texts"])
     return [body[s:e] for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
@@ -127,8 +153,8 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
                 r = {name: b.column(k)[i].as_py() for k, name in enumerate(b.schema.names)}
                 own, all_ = set(r["own"] or ()), _docs(r)
                 known = [d for k, d in enumerate(all_) if k in own]
-                key, n = _distinct(_marked(known, order), order)
-                other, _ = _distinct(_marked([d for k, d in enumerate(all_) if k not in own], order), order)
+                key, n = _distinct(known, order)
+                other, _ = _distinct([d for k, d in enumerate(all_) if k not in own], order)
                 both = np.union1d(key, other)
                 c = np.zeros(len(both), np.int64)
                 c[np.searchsorted(both, key)] = n
@@ -150,8 +176,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
                 gram = gram.astype(np.uint32) if order <= 4 else gram
                 all_, held = _docs(r), set(r["held"] or ())
                 n = np.array([len(d) + 1 for d in all_], np.int64)
-                each = [lp[np.searchsorted(gram, g)] for g in _grams(_marked(all_, order), order)]
-                total = np.add.reduceat(np.concatenate(each), np.concatenate([[0], np.cumsum(n)[:-1]]))
+                total = _log_likelihoods(all_, order, gram, lp)
                 cols = [pa.array(r["ids"], pa.int64()), pa.array(r["tags"], pa.string()), pa.array([k in held for k in range(len(n))]), pa.array(n), pa.array(np.exp(-total / n))]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lang", "held_out", "n_symbols", "perplexity"])
 
