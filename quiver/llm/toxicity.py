@@ -25,6 +25,7 @@ WORDS = 4_000  # distinct words of a labelled text that take part in the fit, at
 FOLDS = 3
 FEATURES = 2_048  # features of a model, at most
 STARTS = (4, 6)  # lengths of the word starts that count as features
+LEAST_DF = 3  # texts that must hold a feature
 LEAST_G = 10.83  # likelihood ratio from which a feature is taken (one in a thousand by chance)
 PRIOR = 10.0  # texts that pull a feature's log odds to none
 RIDGE = 1e-3
@@ -75,7 +76,7 @@ def _select(row: np.ndarray, feat: np.ndarray, y: np.ndarray, dim: int) -> tuple
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12)), 0.0)
 
     g = 2 * (part(hit, df * rate) + part(df - hit, df * (1 - rate)) + part(pos - hit, (n - df) * rate) + part(n - pos - df + hit, (n - df) * (1 - rate)))
-    keep = np.flatnonzero(g >= LEAST_G)
+    keep = np.flatnonzero((g >= LEAST_G) & (df >= LEAST_DF))
     keep = keep[np.argsort(-g[keep], kind="stable")[:FEATURES]]
     odds = np.log((hit[keep] + PRIOR * rate) / (df[keep] - hit[keep] + PRIOR * (1 - rate))) - np.log(rate / (1 - rate))
     return keep, odds
@@ -89,8 +90,8 @@ def _fit(row: np.ndarray, feat: np.ndarray, y: np.ndarray, earlier: np.ndarray,
     if len(y) == 0 or y.min() == y.max():
         return *none, 30.0 if len(y) and y[0] else -30.0
     keep, odds = _select(row, feat, y, dim)
-    place = np.full(dim, -1, np.int64)
-    place[keep] = np.arange(len(keep))
+    place = np.full(dim, -1, np.int32)
+    place[keep] = np.arange(len(keep), dtype=np.int32)
     own = place[feat] >= 0
     r, f = row[own], place[feat[own]]
     v = odds[f]
@@ -114,16 +115,23 @@ def _predict(row: np.ndarray, feat: np.ndarray, n: int, earlier: np.ndarray, dim
     return _sigmoid(np.bincount(row, weights=full[feat], minlength=n) + earlier @ u + b)
 
 
-def fit_local(texts: list[set[str]], labels: np.ndarray, fold: np.ndarray) -> list[Model]:
-    """The chain over the columns of ``labels``, from the words of the bounded sample."""
+def fit_local(texts: list[str], labels: np.ndarray, fold: np.ndarray) -> list[Model]:
+    """The chain over the columns of ``labels``, from the space-joined words of the bounded sample.
+
+    Features of fewer than ``LEAST_DF`` texts get no place: a first pass counts them in a table of fixed
+    size, which never counts too few, so the words of single texts are not held together."""
+    seen = np.zeros(1 << 22, np.int32)
+    mask = len(seen) - 1
+    for t in texts:
+        np.add.at(seen, np.fromiter((hash(x) & mask for x in features(set(t.split()))), np.int64), 1)
     ids: dict[str, int] = {}
     row, feat = [], []
-    for i, own in enumerate(texts):
-        f = [ids.setdefault(x, len(ids)) for x in sorted(features(own))]
-        row.append(np.full(len(f), i))
-        feat.append(np.array(f, np.int64))
-    row = np.concatenate([*row, np.zeros(0, np.int64)]).astype(np.int64)
-    feat = np.concatenate([*feat, np.zeros(0, np.int64)]).astype(np.int64)
+    for i, t in enumerate(texts):
+        f = [ids.setdefault(x, len(ids)) for x in sorted(features(set(t.split()))) if seen[hash(x) & mask] >= LEAST_DF]
+        row.append(np.full(len(f), i, np.int32))
+        feat.append(np.array(f, np.int32))
+    row = np.concatenate([*row, np.zeros(0, np.int32)])
+    feat = np.concatenate([*feat, np.zeros(0, np.int32)])
     dim, n, names = len(ids), len(texts), list(ids)
     earlier, models = np.zeros((n, 0)), []
     for c in range(labels.shape[1]):
@@ -171,7 +179,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         fold = np.array([hash_word(str(i)) % folds for i in pdf["id"]])
-        models = fit_local([set(w.split()) for w in pdf["words"]], pdf[ys].to_numpy(float), fold)
+        models = fit_local(pdf["words"].tolist(), pdf[ys].to_numpy(float), fold)
         return pd.DataFrame([(c, kind, name, float(x)) for c, m in enumerate(models) for kind, items in (
             ("w", m.weights.items()), ("u", ((str(i), x) for i, x in enumerate(m.chain))), ("b", [("", m.bias)])) for name, x in items],
             columns=["category", "kind", "name", "weight"])
