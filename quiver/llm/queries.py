@@ -18,7 +18,7 @@ from quiver.llm.tokens import token_counts
 from quiver.llm.topk import top_k
 from quiver.llm.toxicity import Chain, fit_chain, score
 
-THRESHOLD = 0.4
+THRESHOLD = 0.5
 #: Blocks of each source in a period of the mixture; sources without an entry share one block.
 WEIGHTS = {"src0": 6, "src1": 4, "src2": 4, "src3": 3, "src4": 3, **{f"src{i}": 2 for i in range(5, 20)}}
 REST_WEIGHT = 1
