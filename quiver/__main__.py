@@ -43,7 +43,7 @@ def _run(args) -> dict:
     report = load_report(requested, bars)
     report.write.mode("overwrite").json(f"{args.out.rstrip('/')}/load_report")
     failed_symbols(requested, bars).write.mode("overwrite").text(f"{args.out.rstrip('/')}/failed_symbols")
-    out = {"rounds": res.kmeans.rounds, "centers": res.kmeans.n_centers, **report.first().asDict()}
+    out = {"rounds": res.kmeans.rounds, "converged": res.kmeans.converged, "centers": res.kmeans.n_centers, **report.first().asDict()}
     release_scratch(spark, mark)  # outputs are written; this run's intermediate tables are no longer read
     return out
 
@@ -61,7 +61,7 @@ def _cluster(args) -> dict:
     _, _, _, res = cluster_vectors(read_vector_text(spark, args.vectors), cfg)
     write_cluster_text(number_clusters(res.assignments, res.n_centers), args.out)
     release_scratch(spark, mark)
-    return {"rounds": res.rounds, "centers": res.n_centers}
+    return {"rounds": res.rounds, "converged": res.converged, "centers": res.n_centers}
 
 
 def main(argv: list[str] | None = None) -> dict:

@@ -14,11 +14,6 @@ def mean_l1(a: Column | str, b: Column | str) -> Column:
     return total / F.size(b)
 
 
-def within(a: Column | str, b: Column | str, t1: float) -> Column:
-    """Strict threshold predicate ``mean_l1(a, b) < t1``; NaN never qualifies."""
-    return mean_l1(a, b) < F.lit(float(t1))
-
-
 def mean_l1_to_rows(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Distances of vector ``x`` to each row of ``rows`` (c x d), summed left to right.
 
@@ -30,4 +25,7 @@ def mean_l1_to_rows(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def mean_l1_matrix(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """(m x c) distances between ``rows`` (m x d) and ``centres`` (c x d), same summation order."""
-    return np.cumsum(np.abs(rows[:, None, :] - centres[None, :, :]), axis=2)[:, :, -1] / rows.shape[1]
+    total = np.zeros((len(rows), len(centres)))
+    for k in range(centres.shape[1]):  # left to right, as a sequential sum
+        total += np.abs(rows[:, k, None] - centres[None, :, k])
+    return total / centres.shape[1]

@@ -22,8 +22,8 @@ def first_n_symbols(symbols: DataFrame, n: int | None) -> DataFrame:
 
 
 def latest_days(bars: DataFrame, days: int, features=FEATURES) -> DataFrame:
-    """Keep the latest ``days`` bars per symbol; day_index 1 = latest (date descending)."""
-    w = Window.partitionBy("symbol").orderBy(F.col("d").desc())
+    """Keep the latest ``days`` bars per symbol; day_index 1 = latest (date descending, then the features)."""
+    w = Window.partitionBy("symbol").orderBy(F.col("d").desc(), *features)
     return (
         bars.select("symbol", "d", *features)
         .withColumn("day_index", F.row_number().over(w))

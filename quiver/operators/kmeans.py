@@ -25,6 +25,7 @@ A centre that loses all members keeps its previous vector.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,11 @@ class KMeansResult:
     changed: list[int]
     n_centers: int
 
+    @property
+    def converged(self) -> bool:
+        """Whether the last round changed no assignment."""
+        return len(self.changed) > 1 and self.changed[-1] == 0
+
 
 def centre_arrays(centers: DataFrame, name: str) -> DataFrame:
     """(center_id, canopy_id, v) -> (canopy_id, name: array<struct<cid, v>>) sorted by cid."""
@@ -337,6 +343,12 @@ def _assign_cogroup(m: DataFrame, salts: DataFrame, centers: DataFrame) -> DataF
             .applyInPandas(run, ASSIGN_SCHEMA))
 
 
+def _warn_unless_converged(result: KMeansResult, stop_on_convergence: bool) -> KMeansResult:
+    if stop_on_convergence and result.n_centers and not result.converged:
+        warnings.warn(f"k-means stopped after {result.rounds} rounds without converging; raise max_iter", RuntimeWarning, stacklevel=3)
+    return result
+
+
 def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
            broadcast_bytes: int = 64 << 20, salts: int = 64, stop_on_convergence: bool = True,
            checkpoint_members: bool = True, model_bytes: int = 16 << 20,
@@ -401,7 +413,7 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
             final = assign(members, spark.createDataFrame(last_rows, CENTERS_SCHEMA), dim, n_centers,
                            broadcast_bytes, salts)
         members.unpersist(blocking=False)
-        return KMeansResult(final, centers, rounds, changed, n_centers)
+        return _warn_unless_converged(KMeansResult(final, centers, rounds, changed, n_centers), stop_on_convergence)
     cur_t, prev_t = cur_df, None
     salted = _salt_members(members, rows_per_group) if engine == "auto" else None
     for i in range(1, int(max_iter) + 1):
@@ -424,4 +436,4 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
     else:
         final = assign(members, last_t, dim, n_centers, broadcast_bytes, salts)
     members.unpersist(blocking=False)
-    return KMeansResult(final, cur_t, rounds, changed, n_centers)
+    return _warn_unless_converged(KMeansResult(final, cur_t, rounds, changed, n_centers), stop_on_convergence)

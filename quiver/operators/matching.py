@@ -34,7 +34,7 @@ def _block_pass(ids: list[str], mat: np.ndarray, t1: float):
             rows = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["v"]])
             m = rows.shape[0]
             best_d = np.full(m, np.inf)
-            best_j = np.full(m, -1, dtype=np.int64)
+            best_j = np.zeros(m, dtype=np.int64)  # without any comparable distance the first centre stays
             first_j = np.full(m, -1, dtype=np.int64)
             count = np.zeros(m, dtype=np.int64)
             step = max(1, _TILE_DOUBLES // max(1, m * mat.shape[1]))
@@ -52,8 +52,8 @@ def _block_pass(ids: list[str], mat: np.ndarray, t1: float):
                 best_j[better] = a + j[better]
             yield pd.DataFrame({
                 "symbol": pdf["symbol"],
-                "nearest": np.where(best_j >= 0, id_arr[np.maximum(best_j, 0)], None),
-                "nearest_dist": np.where(best_j >= 0, best_d, np.nan),
+                "nearest": id_arr[best_j],
+                "nearest_dist": np.where(np.isinf(best_d), np.nan, best_d),
                 "first": np.where(first_j >= 0, id_arr[np.maximum(first_j, 0)], None),
                 "n_within": count,
             })

@@ -184,6 +184,11 @@ def q_canopy_members(spark, sf):
     return _members(spark, sf).select("symbol", "canopy_id")
 
 
+def q_canopy_members_rounds(spark, sf):
+    """Canopies in many rounds of a small batch: what decides vectors beyond the first batch."""
+    return canopy_ops.canopy(_vectors(spark, sf), T1, batch=16, max_batch=32).select("symbol", "canopy_id")
+
+
 def q_canopy_files(spark, sf):
     path = scratch_path(spark, "canopies")
     write_canopies(_members(spark, sf), path)
@@ -273,6 +278,22 @@ def q_kmeans_3_iter(spark, sf):
     return res.assignments.select("symbol", "center_id")
 
 
+def q_kmeans_tables(spark, sf):
+    """Three rounds with the centres held in written tables and small member groups."""
+    members, _, initial = _seeded(spark, sf)
+    res = kmeans(members, initial, DIM, max_iter=3, stop_on_convergence=False, checkpoint_members=False,
+                 model_bytes=0, rows_per_group=20)
+    return res.assignments.select("symbol", "center_id")
+
+
+def q_kmeans_jvm(spark, sf):
+    """Three rounds by the JVM expression, centres in tables and joined by salt."""
+    members, _, initial = _seeded(spark, sf)
+    res = kmeans(members, initial, DIM, max_iter=3, stop_on_convergence=False, checkpoint_members=False,
+                 model_bytes=0, broadcast_bytes=0, salts=4, engine="jvm")
+    return res.assignments.select("symbol", "center_id")
+
+
 def _clusters(spark, sf, k: int = K, window: DataFrame | None = None):
     members, _, initial = _seeded(spark, sf, k, window)
     res = kmeans(members, initial, DIM, max_iter=50, checkpoint_members=False)
@@ -340,6 +361,11 @@ def q_embedding_canopy(spark, sf):
     return canopy_ops.canopy(_emb(spark, sf), EMB_T1).select("symbol", "canopy_id")
 
 
+def q_embedding_canopy_rounds(spark, sf):
+    """Canopies of the embeddings in rounds of a batch far below their number."""
+    return canopy_ops.canopy(_emb(spark, sf), EMB_T1, batch=64, max_batch=128).select("symbol", "canopy_id")
+
+
 def q_embedding_clusters(spark, sf):
     vec = _emb(spark, sf)
     cfg = RunConfig(clusters=EMB_K, t1=EMB_T1)
@@ -396,6 +422,7 @@ def _oracle() -> dict[str, str]:
                             "(SELECT v, min(symbol) AS twin_of, CAST(count(*) AS BIGINT) AS n_same FROM vec GROUP BY v) g "
                             "ON a.v = g.v")
     q["canopy_members"] = O.with_recursive(base, canopy) + "SELECT symbol, canopy AS canopy_id FROM mem"
+    q["canopy_members_rounds"] = q["canopy_members"]
     q["canopy_files"] = q["canopy_members"]
     q["canopy_members_bucketed"] = O.with_recursive(base, O.canopy_bucketed_ctes(T1, BUCKETS)) + \
         "SELECT symbol, canopy AS canopy_id FROM mem"
@@ -429,6 +456,7 @@ def _oracle() -> dict[str, str]:
         "SELECT 3, CAST(count(*) FILTER (WHERE a2.cid <> a3.cid) AS BIGINT) FROM a2 JOIN a3 USING (symbol)")
     q["kmeans_3_iter"] = O.with_recursive(seeded, O.kmeans_ctes(3, DIM)) + \
         "SELECT symbol, CAST(cid AS BIGINT) AS center_id FROM a3"
+    q["kmeans_tables"] = q["kmeans_jvm"] = q["kmeans_3_iter"]
     q["clusters"] = O.with_recursive(clusters_sql) + "SELECT cluster_no, symbol FROM cl"
     q["cluster_text"] = q["clusters"]
     q["lineitem_clusters"] = O.with_recursive(O.clusters_ctes(P(DAYS, source="lineitem"), T1, K, DIM,
@@ -438,9 +466,9 @@ def _oracle() -> dict[str, str]:
     q["cluster_sizes"] = O.with_recursive(clusters_sql) + \
         "SELECT cluster_no, CAST(count(*) AS BIGINT) AS n_symbols FROM cl GROUP BY cluster_no"
     q["cluster_lines"] = O.with_recursive(clusters_sql) + (
-        "SELECT cluster_no, CAST((g - 1) // 10000 AS BIGINT) AS chunk, "
+        "SELECT cluster_no, CAST(0 AS BIGINT) AS chunk, "
         "CAST(cluster_no AS VARCHAR) || ' ' || string_agg(symbol, ' ' ORDER BY symbol) AS line "
-        "FROM (SELECT *, row_number() OVER (ORDER BY cluster_no, symbol) AS g FROM cl) GROUP BY 1, 2")
+        "FROM cl GROUP BY cluster_no")
     series_sql = ("ser AS (SELECT cl.cluster_no, f.symbol, CAST(f.day_index AS INTEGER) AS day_index, "
                   "(f.open + f.high + f.low + f.close) / CAST(4.0 AS DOUBLE) AS value FROM cl JOIN fh f USING (symbol))")
     q["series"] = O.with_recursive(clusters_sql, series_sql) + \
@@ -454,6 +482,7 @@ def _oracle() -> dict[str, str]:
         "SELECT cluster_no, symbol FROM cl"
     q["embedding_canopy"] = O.with_recursive(emb, O.canopy_ctes(EMB_T1, "emb")) + \
         "SELECT symbol, canopy AS canopy_id FROM mem"
+    q["embedding_canopy_rounds"] = q["embedding_canopy"]
     return q
 
 
@@ -475,6 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "failed_symbols": q_failed_symbols,
     "vector_equality": q_vector_equality,
     "canopy_members": q_canopy_members,
+    "canopy_members_rounds": q_canopy_members_rounds,
     "canopy_files": q_canopy_files,
     "canopy_members_bucketed": q_canopy_members_bucketed,
     "canopy_sizes": q_canopy_sizes,
@@ -498,7 +528,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "series_min": q_series_min,
     "stock_pipeline": q_pipeline,
     "embedding_canopy": q_embedding_canopy,
+    "embedding_canopy_rounds": q_embedding_canopy_rounds,
     "embedding_clusters": q_embedding_clusters,
+    "kmeans_tables": q_kmeans_tables,
+    "kmeans_jvm": q_kmeans_jvm,
 }
 
 ORACLE: dict[str, str] = _oracle()

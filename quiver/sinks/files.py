@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quiver.functions.ranking import global_row_number
 from quiver.functions.vectors import format_vector_line
 
 # Fixed value: longest cluster-text line, in symbols; larger clusters continue
 # on further lines with the same cluster number.
-MAX_LINE_SYMBOLS = 10000
+MAX_LINE_SYMBOLS = 1_000_000  # symbols of a cluster in one line; only a larger cluster is continued on further lines
 
 
 def write_symbol_directory(symbols: DataFrame, path: str) -> None:
@@ -48,14 +48,18 @@ def write_assignments(assignments: DataFrame, path: str) -> None:
 
 
 def cluster_text_lines(clusters: DataFrame, max_symbols: int = MAX_LINE_SYMBOLS) -> DataFrame:
-    """(cluster_no, symbol) -> (cluster_no, chunk, line) with at most ``max_symbols`` per line.
+    """(cluster_no, symbol) -> (cluster_no, chunk, line): one line per cluster of up to ``max_symbols``.
 
     Symbols are numbered globally in (cluster_no, symbol) order by a distributed
-    sort; a line gathers one cluster's symbols inside one global chunk, so no
-    group is larger than ``max_symbols`` however large a cluster is.
+    sort and cut by their rank inside their own cluster, so one task never gathers
+    more than ``max_symbols`` and no smaller cluster is ever cut.
     """
     ranked = global_row_number(clusters.select("cluster_no", "symbol"), [F.col("cluster_no"), F.col("symbol")], "g")
-    chunked = ranked.withColumn("chunk", F.floor((F.col("g") - 1) / max_symbols).cast("long"))
+    first = clusters.groupBy("cluster_no").agg(F.count(F.lit(1)).alias("n"))
+    first = first.select(F.col("cluster_no").alias("k"), F.sum("n").over(
+        Window.orderBy("cluster_no").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))  # one row per cluster
+    ranked = ranked.join(first, F.col("cluster_no") == F.col("k")).withColumn("before", F.coalesce("before", F.lit(0)))
+    chunked = ranked.withColumn("chunk", F.floor((F.col("g") - F.col("before") - 1) / max_symbols).cast("long"))
     return chunked.groupBy("cluster_no", "chunk").agg(
         F.concat_ws(" ", F.array_sort(F.collect_list("symbol"))).alias("members")
     ).select("cluster_no", "chunk",

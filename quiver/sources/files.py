@@ -54,8 +54,10 @@ def read_price_csv(spark: SparkSession, path: str) -> DataFrame:
     """One CSV per symbol (``<SYM>.csv`` or a ``symbol=<SYM>/`` folder), header row.
 
     Columns are positional: date, open, high, low, close; further columns are
-    ignored.  A row whose date or prices do not parse is dropped (the
-    reference skips what it cannot load).
+    ignored.  A symbol with a row whose date or prices do not parse fails as a
+    whole, so a window never silently reaches further back; ``load_report`` and
+    ``failed_symbols`` show it.  Of rows with one symbol and date the one with the
+    smallest (open, high, low, close) counts.
     """
     raw = (
         spark.read.schema(PRICE_SCHEMA)
@@ -68,13 +70,13 @@ def read_price_csv(spark: SparkSession, path: str) -> DataFrame:
     part_sym = F.regexp_extract(fpath, r"/symbol=([^/]+)/[^/]*$", 1)
     file_sym = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
     symbol = F.when(part_sym != "", _unescape(_unescape(part_sym))).otherwise(file_sym)
-    good = raw.where(F.to_date("date").isNotNull() & F.col("open").isNotNull() & F.col("high").isNotNull()
-                     & F.col("low").isNotNull() & F.col("close").isNotNull())
-    return good.select(
-        symbol.alias("symbol"),
-        F.to_date("date").alias("d"),
-        "open", "high", "low", "close",
-    )
+    parsed = raw.select(symbol.alias("symbol"), F.to_date("date").alias("d"), "open", "high", "low", "close")
+    whole = F.lit(True)
+    for c in ("d", "open", "high", "low", "close"):
+        whole = whole & F.col(c).isNotNull()
+    corrupt = parsed.where(~whole).select("symbol").distinct()
+    day = F.min(F.struct("open", "high", "low", "close")).alias("p")
+    return parsed.join(corrupt, "symbol", "left_anti").groupBy("symbol", "d").agg(day).select("symbol", "d", "p.*")
 
 
 def read_vector_text(spark: SparkSession, path: str) -> DataFrame:

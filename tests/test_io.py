@@ -51,10 +51,10 @@ def test_price_csv_per_symbol_files_and_bad_rows(spark, tmp_path):
     d = tmp_path / "prices"
     d.mkdir()
     (d / "AAA.csv").write_text("Date,Open,High,Low,Close,Volume\n2024-01-02,1,2,0.5,1.5,100\n2024-01-01,1,2,0.5,x,9\n")
-    (d / "BBB.csv").write_text("Date,Open,High,Low,Close\n2024-01-02,3,4,2,3.5\n")
+    (d / "BBB.csv").write_text("Date,Open,High,Low,Close\n2024-01-02,3,4,2,3.5\n2024-01-02,5,6,4,5.5\n")
     got = read_price_csv(spark, str(d)).collect()
-    assert sorted((r["symbol"], str(r["d"]), r["close"]) for r in got) == [
-        ("AAA", "2024-01-02", 1.5), ("BBB", "2024-01-02", 3.5)]
+    # a symbol with a corrupt row fails as a whole; of one day's rows the smallest counts
+    assert sorted((r["symbol"], str(r["d"]), r["close"]) for r in got) == [("BBB", "2024-01-02", 3.5)]
 
 
 def test_price_csv_round_trip(spark):
@@ -69,7 +69,7 @@ def test_price_csv_round_trip(spark):
 def test_cluster_text_round_trip_with_bounded_lines(spark):
     cl = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (1, "d"), (3, "e")], "cluster_no int, symbol string")
     lines = {(r["cluster_no"], r["chunk"]): r["line"] for r in cluster_text_lines(cl, 2).collect()}
-    assert lines == {(1, 0): "1 a b", (1, 1): "1 d", (2, 1): "2 c", (3, 2): "3 e"}
+    assert lines == {(1, 0): "1 a b", (1, 1): "1 d", (2, 0): "2 c", (3, 0): "3 e"}
     path = scratch_path(spark, "t-cl")
     write_cluster_text(cl, path, max_symbols=2)
     assert sorted(read_cluster_text(spark, path).collect()) == sorted(cl.collect())
