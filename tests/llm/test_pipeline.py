@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from quiver.llm import pii
 from quiver.llm.simhash import fingerprint
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 def test_stages_against_brute_force(spark):
