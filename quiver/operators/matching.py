@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from quiver.functions.distance import mean_l1_matrix
+from quiver.operators.persist import reliable
 from quiver.operators.kmeans import snap_np
 
 OUT_SCHEMA = "symbol string, nearest string, nearest_dist double, first string, n_within long"
@@ -61,30 +62,36 @@ def _block_pass(ids: list[str], mat: np.ndarray, t1: float):
     return run
 
 
-def match_centres(vectors: DataFrame, centres: DataFrame, t1: float, block_bytes: int = 32 << 20,
-                  driver_bytes: int = 256 << 20) -> DataFrame:
+def _centre_blocks(centres: DataFrame, rows: int) -> Iterator[list[tuple[str, list[float]]]]:
+    """The centres in id order, ``rows`` at a time; the driver holds one block."""
+    part = centres.select("centre", "v")
+    while block := [(r["centre"], r["v"]) for r in part.orderBy("centre").limit(rows).collect()]:
+        yield block
+        if len(block) < rows:
+            return
+        part = centres.select("centre", "v").where(F.col("centre") > F.lit(block[-1][0]))
+
+
+def match_centres(vectors: DataFrame, centres: DataFrame, t1: float, block_bytes: int = 32 << 20) -> DataFrame:
     """(symbol, v) x centres (centre string, v) -> OUT_SCHEMA, one row per vector.
 
-    The centre set passes through the driver, so its size is checked first
-    (``driver_bytes``); matching N vectors against a larger set is O(N x C)
-    distance work and is refused rather than attempted.
+    The centres come in blocks of ``block_bytes``, so the set may have any size; the
+    result of each block is written before the next one is fetched.  Matching N
+    vectors against C centres is O(N x C) distance work however it is laid out.
     """
-    stats = centres.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
-    if stats["n"] and stats["n"] * (stats["d"] * 8 + 64) > driver_bytes:
-        raise ValueError(f"centre set of {stats['n']} x {stats['d']} exceeds {driver_bytes} bytes")
-    rows = sorted((r["centre"], r["v"]) for r in centres.select("centre", "v").collect())
-    if not rows:
+    dim = centres.agg(F.max(F.size("v"))).first()[0]
+    if dim is None:
         return vectors.select("symbol", F.lit(None).cast("string").alias("nearest"),
                               F.lit(None).cast("double").alias("nearest_dist"),
                               F.lit(None).cast("string").alias("first"), F.lit(0).cast("long").alias("n_within"))
-    dim = len(rows[0][1])
-    per_block = max(1, block_bytes // (dim * 8 + 64))
-    parts = []
-    for a in range(0, len(rows), per_block):
-        blk = rows[a:a + per_block]
+    per_block = max(1, block_bytes // (max(dim, 1) * 8 + 64))
+    parts, held = [], None
+    for blk in _centre_blocks(centres, per_block):
+        if held is not None:
+            parts.append(reliable(held))
         mat = np.asarray([v for _, v in blk], dtype=np.float64)
-        parts.append(vectors.select("symbol", "v").mapInPandas(_block_pass([c for c, _ in blk], mat, float(t1)),
-                                                              OUT_SCHEMA))
+        held = vectors.select("symbol", "v").mapInPandas(_block_pass([c for c, _ in blk], mat, float(t1)), OUT_SCHEMA)
+    parts.append(reliable(held) if parts else held)
     if len(parts) == 1:
         return parts[0]
     allp = parts[0]

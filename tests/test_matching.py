@@ -27,3 +27,11 @@ def test_match_centres_one_and_many_blocks(spark):
         got = {r["symbol"]: (r["nearest"], round(r["nearest_dist"], 9), r["first"], r["n_within"])
                for r in match_centres(v, c, 0.3, block_bytes=block).collect()}
         assert got == expect
+
+
+def test_nan_vector_keeps_the_first_centre_in_every_block_layout(spark):
+    v = vec_df(spark, [("a", [float("nan"), 1.0]), ("b", [0.9, 0.9])])
+    c = vec_df(spark, [("c2", [1.0, 1.0]), ("c1", [5.0, 5.0]), ("c3", [float("nan"), 0.9])]).withColumnRenamed("symbol", "centre")
+    for block in (32 << 20, 1):
+        got = {r["symbol"]: (r["nearest"], r["n_within"]) for r in match_centres(v, c, 0.5, block_bytes=block).collect()}
+        assert got == {"a": ("c1", 0), "b": ("c2", 1)}
