@@ -92,12 +92,15 @@ def match_centres(vectors: DataFrame, centres: DataFrame, t1: float, block_bytes
         mat = np.asarray([v for _, v in blk], dtype=np.float64)
         held = vectors.select("symbol", "v").mapInPandas(_block_pass([c for c, _ in blk], mat, float(t1)), OUT_SCHEMA)
     parts.append(reliable(held) if parts else held)
-    if len(parts) == 1:
-        return parts[0]
+    nan = F.lit(float("nan"))
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
-    best = F.min(F.when(F.col("nearest").isNotNull(), F.struct("nearest_dist", "nearest")))
+    # pandas hands NaN on as null
+    allp = allp.withColumn("nearest_dist", F.coalesce("nearest_dist", nan))
+    if len(parts) == 1:
+        return allp
+    best = F.min(F.struct("nearest_dist", "nearest"))  # NaN is the largest double
     return allp.groupBy("symbol").agg(
         best.alias("b"), F.min("first").alias("first"), F.sum("n_within").cast("long").alias("n_within"),
     ).select("symbol", F.col("b.nearest").alias("nearest"), F.col("b.nearest_dist").alias("nearest_dist"),
