@@ -1,8 +1,8 @@
 """Exact global row numbers without funnelling rows into one task.
 
 ``row_number() over (order by ...)`` with no partition moves every row to a
-single task.  Here the rows are range-partitioned by a distributed sort, each
-partition numbers its own rows, and per-partition offsets (one row per
+single task.  Here the rows are range-partitioned by a distributed sort and keep
+their place inside the sorted partition; per-partition offsets (one row per
 partition, bounded by the partition count) shift them to global positions.
 """
 
@@ -28,20 +28,19 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
     """
     if n_rows is not None and n_rows <= SMALL_ROWS:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    pid = "__pid"
-    local = "__local_rn"
-    sorted_df = reliable(df.orderBy(*order).withColumn(pid, F.spark_partition_id()))
-    counts = sorted_df.groupBy(pid).agg(F.count(F.lit(1)).alias("__n")).collect()
+    # after the sort a row's id is (partition, place in the partition): one exchange numbers everything
+    sorted_df = reliable(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
+    pid = F.shiftright("__id", 33).cast("int")
+    counts = sorted_df.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n")).collect()
     offsets, running = [], 0
-    for row in sorted(counts, key=lambda r: r[pid]):
-        offsets.append((row[pid], running))
+    for row in sorted(counts, key=lambda r: r["__pid"]):
+        offsets.append((row["__pid"], running))
         running += row["__n"]
-    spark = df.sparkSession
-    off_df = spark.createDataFrame(offsets or [(0, 0)], f"{pid} int, __off long")
-    w = Window.partitionBy(pid).orderBy(*order)
+    off_df = df.sparkSession.createDataFrame(offsets, "__pid int, __off long")
+    place = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
     return (
-        sorted_df.withColumn(local, F.row_number().over(w))
-        .join(F.broadcast(off_df), pid)
-        .withColumn(name, (F.col("__off") + F.col(local)).cast("long"))
-        .drop(pid, local, "__off")
+        sorted_df.withColumn("__pid", pid)
+        .join(F.broadcast(off_df), "__pid")  # one row per partition
+        .withColumn(name, (F.col("__off") + place).cast("long"))
+        .drop("__pid", "__id", "__off")
     )

@@ -1,7 +1,9 @@
-"""Vector text format ``SYM v1,v2,...`` (write and parse)."""
+"""Vector text format ``SYM v1,v2,...`` (write and parse) and vectors inside Arrow batches."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 
@@ -19,3 +21,14 @@ def parse_vector_line(line: Column | str) -> tuple[Column, Column]:
     rest = F.substr(line, F.instr(line, " ") + 1)
     values = F.transform(F.split(rest, ","), lambda s: F.trim(s).cast("double"))
     return symbol, values
+
+
+def arrow_matrix(column: pa.Array) -> np.ndarray:
+    """A column of equally long lists as an (n x d) matrix; a null element becomes NaN."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+
+
+def has_nan(v: Column | str) -> Column:
+    """Whether a vector holds a NaN or null element, so that no distance to it is a number."""
+    return F.exists(v, lambda x: x.isNull() | F.isnan(x))

@@ -4,18 +4,21 @@ Semantics (sequential greedy): visit vectors in symbol order; a vector joins
 the first existing centre (creation order) within T1, otherwise it becomes a
 centre.  ``canopy_id`` is the centre's symbol.
 
-Exact distributed form (``canopy``): rounds over the undecided vectors.
-  1. take the B smallest undecided symbols (distributed top-B) and run the
-     greedy pass over them in one bounded task;
-  2. broadcast that round's new centres (at most B) and label every remaining
-     undecided vector in parallel with the first new centre within T1.
+Exact distributed form (``canopy``): vectors with NaN are their own canopies and are
+set aside in one filter; the others are written once in ranges of symbols, then
+rounds over the undecided ones:
+  1. take the B smallest undecided symbols and run the greedy pass over them in
+     one bounded task.  Counts per range tell which ranges hold them, so only
+     those are read and fewer than B rows beyond the batch meet in that task;
+  2. label every remaining undecided vector in parallel with the first of that
+     round's new centres (at most B) within T1.
 Every undecided vector is farther than T1 from all earlier centres, so step 1
 decides its batch exactly as the sequential pass would, and step 2 is the
-sequential rule for later vectors (centres created later have larger symbols
-than any of them... and cannot be their "first" centre).  Each round decides
-at least B vectors; the batch doubles up to ``max_batch`` when rounds are
-centre-heavy.  Intermediate frames are reliable checkpoints, so a lost
-executor recomputes from the shared folder, not from the start.
+sequential rule for later vectors.  Each round decides at least B vectors; the
+batch doubles up to ``max_batch`` when rounds are centre-heavy.  A round is
+written to its own folder of one table, split into decided and undecided rows, so
+the result is one scan however many rounds there were and a lost executor
+recomputes from the shared folder, not from the start.
 
 Bucketed form (``canopy_bucketed``, the local pass + merge of the original
 design): vectors are hashed into buckets, each bucket runs the greedy pass
@@ -29,11 +32,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quiver.functions.distance import mean_l1_matrix, mean_l1_to_rows
+from quiver.functions.vectors import arrow_matrix, has_nan
 from quiver.operators.persist import reliable
+from quiver.session import scratch_path
 
 OUT_SCHEMA = "symbol string, canopy_id string, v array<double>"
 # Upper bound on the working set of one distance block, in doubles.
@@ -64,44 +69,46 @@ class _Centres:
         self.n += 1
 
 
+def _with_canopies(batch: pa.RecordBatch, labels: list) -> pa.RecordBatch:
+    """(symbol, canopy_id, v, other columns) in the order of the output schemas."""
+    cols = {"symbol": batch.column("symbol"), "canopy_id": pa.array(labels, type=pa.string()), "v": batch.column("v")}
+    cols.update({c: batch.column(c) for c in batch.schema.names if c not in cols})
+    return pa.RecordBatch.from_pydict(cols)
+
+
 def greedy_pass(t1: float, reset_on: str | None = None):
-    """mapInPandas body: sequential greedy canopy over rows already sorted by symbol.
+    """mapInArrow body: sequential greedy canopy over rows already sorted by symbol.
 
     With ``reset_on`` the centre set restarts whenever that column changes
     (one independent pass per bucket).  State is the centre set only.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = _Centres()
         current = object()
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[reset_on].tolist() if reset_on else [None] * len(pdf)
-            out = []
-            for key, sym, v in zip(keys, pdf["symbol"].tolist(), pdf["v"].tolist()):
+        for batch in batches:
+            keys = batch.column(reset_on).to_pylist() if reset_on else [None] * batch.num_rows
+            labels = []
+            for key, sym, x in zip(keys, batch.column("symbol").to_pylist(), arrow_matrix(batch.column("v"))):
                 if reset_on and key != current:
                     centres, current = _Centres(), key
-                x = np.asarray(v, dtype=np.float64)
                 cid = centres.first_within(x, t1)
                 if cid is None:
                     centres.add(sym, x)
                     cid = sym
-                out.append(cid)
-            yield pdf.assign(canopy_id=out)
+                labels.append(cid)
+            yield _with_canopies(batch, labels)
 
     return run
 
 
 def label_with_centres(ids: list[str], mat: np.ndarray, t1: float):
-    """mapInPandas body: first centre (in the given order) within T1, else null."""
+    """mapInArrow body: first centre (in the given order) within T1, else null."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, d = mat.shape
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            rows = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["v"]])
+        for batch in batches:
+            rows = arrow_matrix(batch.column("v"))
             m = rows.shape[0]
             found = np.full(m, -1, dtype=np.int64)
             block = max(1, _BLOCK_DOUBLES // max(1, m * d))
@@ -112,8 +119,7 @@ def label_with_centres(ids: list[str], mat: np.ndarray, t1: float):
                 hit = mean_l1_matrix(rows[open_rows], mat[start:start + block]) < t1
                 any_hit = hit.any(axis=1)
                 found[open_rows[any_hit]] = start + hit[any_hit].argmax(axis=1)
-            labels = [ids[i] if i >= 0 else None for i in found]
-            yield pdf.assign(canopy_id=labels)
+            yield _with_canopies(batch, [ids[i] if i >= 0 else None for i in found])
 
     return run
 
@@ -132,44 +138,77 @@ def check_vectors(vectors: DataFrame) -> int:
     return int(row["lo"])
 
 
+_ROUND_SCHEMA = "symbol string, canopy_id string, v array<double>, rng int, decided int"
+
+
 def canopy(vectors: DataFrame, t1: float = 0.5, batch: int = 2048, max_batch: int = 32768,
-           check: bool = True, materialized: bool = False) -> DataFrame:
-    """Exact sequential-greedy canopies -> (symbol, canopy_id, v); every part is a written table.
+           check: bool = True, materialized: bool = False, batch_bytes: int = 64 << 20) -> DataFrame:
+    """Exact sequential-greedy canopies -> (symbol, canopy_id, v), read from written tables.
 
     ``materialized``: ``vectors`` is already a written table (no copy is made).
+    ``batch`` and ``max_batch`` bound the rows and ``batch_bytes`` the bytes that one task and
+    the driver hold of a round; none of them changes the result.
     """
-    undecided = vectors.select("symbol", "v")
+    spark = vectors.sparkSession
+    source = vectors.select("symbol", "v")
     if not materialized:
-        undecided = reliable(undecided)
+        source = reliable(source)
     if check:
-        check_vectors(undecided)
-    parts: list[DataFrame] = []
-    size = int(batch)
-    while not undecided.isEmpty():
-        head = undecided.orderBy("symbol").limit(size)
-        decided = reliable(head.mapInPandas(greedy_pass(t1), OUT_SCHEMA))
-        is_centre = F.col("symbol") == F.col("canopy_id")
-        # At most ``size`` rows: symbols, plus vectors of the new centres.
-        batch_rows = decided.select("symbol", F.when(is_centre, F.col("v")).alias("cv")).collect()
-        if not batch_rows:
+        check_vectors(source)
+    stats = source.agg(F.count_if(has_nan("v")).alias("nan"), F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
+    alone = source.where(has_nan("v")).select("symbol", F.col("symbol").alias("canopy_id"), "v")
+    left = stats["n"] - stats["nan"]
+    if not left:
+        return alone
+    row_limit = max(1, batch_bytes // (stats["d"] * 8 + 64))
+    undecided = source.where(~has_nan("v")) if stats["nan"] else source
+    if left > min(batch, row_limit):  # more than one batch: written once in ranges of symbols
+        undecided = reliable(undecided.repartitionByRange("symbol").withColumn("rng", F.spark_partition_id()))
+    else:
+        undecided = undecided.withColumn("rng", F.lit(0))
+    root, size, step = scratch_path(spark, "canopy"), int(batch), 0
+
+    def write(df: DataFrame) -> DataFrame:
+        nonlocal step
+        path, step = f"{root}/round={step}", step + 1
+        df.withColumn("decided", F.col("canopy_id").isNotNull().cast("int")).write.partitionBy("decided").parquet(path)
+        return spark.read.schema(_ROUND_SCHEMA).parquet(path)
+
+    round_schema = f"{OUT_SCHEMA}, rng int"
+    while left:
+        take = min(size, row_limit)
+        head = _head(undecided, take, left)
+        decided = write(head.mapInArrow(greedy_pass(t1), round_schema))
+        new = decided.where(F.col("symbol") == F.col("canopy_id"))
+        centre_rows = sorted((r["symbol"], r["v"]) for r in new.select("symbol", "v").collect())  # at most a batch
+        if left <= take:
             break
-        last = max(r["symbol"] for r in batch_rows)
-        parts.append(decided)
-        centre_rows = sorted((r["symbol"], r["cv"]) for r in batch_rows if r["cv"] is not None)
+        last = decided.agg(F.max("symbol")).first()[0]
         ids = [sym for sym, _ in centre_rows]
         mat = np.asarray([cv for _, cv in centre_rows], dtype=np.float64)
-        rest = undecided.where(F.col("symbol") > F.lit(last))
-        labelled = reliable(rest.mapInPandas(label_with_centres(ids, mat, float(t1)), OUT_SCHEMA))
-        parts.append(labelled.where(F.col("canopy_id").isNotNull()))
-        undecided = labelled.where(F.col("canopy_id").isNull()).select("symbol", "v")
+        rest = undecided.where(F.col("symbol") > F.lit(last)).select("symbol", "v", "rng")
+        undecided = write(rest.mapInArrow(label_with_centres(ids, mat, float(t1)), round_schema)).where(
+            F.col("decided") == 0).select("symbol", "v", "rng")
+        left = undecided.count()
         if len(centre_rows) * 2 > size:
             size = min(size * 2, int(max_batch))
-    if not parts:
-        return vectors.sparkSession.createDataFrame([], OUT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    out = spark.read.schema(_ROUND_SCHEMA + ", round int").parquet(root).where(F.col("decided") == 1).select(
+        "symbol", "canopy_id", "v")
+    return out.unionByName(alone) if stats["nan"] else out
+
+
+def _head(undecided: DataFrame, take: int, left: int) -> DataFrame:
+    """The ``take`` smallest undecided symbols, read from the ranges that hold them."""
+    if left > take:
+        # one row per range; ranges are in symbol order
+        counts = sorted(tuple(r) for r in undecided.groupBy("rng").agg(F.count(F.lit(1))).collect())
+        seen = 0
+        for last_range, n in counts:
+            seen += n
+            if seen >= take:
+                break
+        undecided = undecided.where(F.col("rng") <= F.lit(last_range))
+    return undecided.select("symbol", "v", "rng").orderBy("symbol").limit(take)
 
 
 def bucket_of(symbol_col, buckets: int):
@@ -181,15 +220,19 @@ def bucket_of(symbol_col, buckets: int):
 def canopy_bucketed(vectors: DataFrame, t1: float = 0.5, buckets: int = 4, batch: int = 2048,
                     broadcast_rows: int = 1_000_000, check: bool = True) -> DataFrame:
     """Local greedy pass per hash bucket, then merge of the local centres -> (symbol, canopy_id, v)."""
+    vectors = reliable(vectors.select("symbol", "v"))
     if check:
         check_vectors(vectors)
     schema = "symbol string, canopy_id string, v array<double>, bucket int"
-    local = reliable(
-        vectors.select("symbol", "v", bucket_of(F.col("symbol"), buckets).alias("bucket"))
-        .repartition(int(buckets), "bucket")
+    bucket = bucket_of(F.col("symbol"), buckets)
+    passed = (
+        vectors.where(~has_nan("v")).select("symbol", "v", bucket.alias("bucket"))
+        .repartitionByRange(int(buckets), "bucket")  # by range: hashing the few ids would put several into one task
         .sortWithinPartitions("bucket", "symbol")
-        .mapInPandas(greedy_pass(t1, reset_on="bucket"), schema)
+        .mapInArrow(greedy_pass(t1, reset_on="bucket"), schema)
     )
+    alone = vectors.where(has_nan("v")).select("symbol", F.col("symbol").alias("canopy_id"), "v", bucket.alias("bucket"))
+    local = reliable(passed.unionByName(alone))
     candidates = local.where(F.col("symbol") == F.col("canopy_id")).select("symbol", "v")
     merged = canopy(candidates, t1, batch, check=False)
     mapping = merged.select(F.col("symbol").alias("local_id"), F.col("canopy_id").alias("final_id"))

@@ -61,7 +61,7 @@ BROADCAST_SHORT = 2_000_000
 
 
 def latest_days_recent_first(bars_since, days: int, since, symbols: DataFrame | None = None,
-                             features=FEATURES) -> DataFrame:
+                             features=FEATURES, universe: DataFrame | None = None) -> DataFrame:
     """Exact latest-D window that reads history only where the recent part falls short.
 
     ``bars_since(date_or_None)`` builds bars from the source, restricted to
@@ -69,22 +69,28 @@ def latest_days_recent_first(bars_since, days: int, since, symbols: DataFrame |
     with D bars on or after ``since`` are complete: their latest D bars are all
     recent.  The others fall back to their full history through a semi join;
     they are ``symbols`` minus the complete ones when a requested list is
-    given (nothing older is read when all of them traded recently), else
-    every symbol of the source minus the complete ones.
+    given, else every symbol of the source (``universe``, a cheap listing of its
+    symbols, spares building all bars for it) minus the complete ones.  Nothing
+    older is read when every symbol is complete.
     Returns the latest-D rows of every symbol (short symbols keep their < D
     rows, exactly as :func:`latest_days` over the full source).
     """
     recent = with_history_count(latest_days(bars_since(since), days, features))
-    complete = recent.where(F.col("n_days") == F.lit(int(days))).drop("n_days")
+    complete = reliable(recent.where(F.col("n_days") == F.lit(int(days))).drop("n_days"))
     done = complete.select("symbol").distinct()
-    universe = symbols.select("symbol").distinct() if symbols is not None else \
-        bars_since(None).select("symbol").distinct()
-    short = reliable(universe.join(done, "symbol", "left_anti"))
-    if short.count() <= BROADCAST_SHORT:
-        short = F.broadcast(short)  # the full history is then filtered without a shuffle
-    older = latest_days(bars_since(None).join(short, "symbol", "left_semi"), days, features)
+    if symbols is not None:
+        universe = symbols
+    elif universe is None:
+        universe = bars_since(None)
+    short = reliable(universe.select("symbol").distinct().join(done, "symbol", "left_anti"))
+    n_short = short.count()
     if symbols is not None:
         complete = complete.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    if n_short == 0:
+        return complete
+    if n_short <= BROADCAST_SHORT:
+        short = F.broadcast(short)  # the full history is then filtered without a shuffle
+    older = latest_days(bars_since(None).join(short, "symbol", "left_semi"), days, features)
     return complete.unionByName(older.select(*complete.columns))
 
 

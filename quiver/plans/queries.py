@@ -113,7 +113,9 @@ def q_latest_days_recent(spark, sf):
     events = load_table(spark, sf, "events")
     last = events.agg(F.max(F.to_date("ts"))).first()[0]
     since = last - dt.timedelta(days=RECENT_DAYS - 1)
-    lat = feat.latest_days_recent_first(lambda d: events_bars(events, d), DAYS, since)
+    listed = events.where(F.col("value").isNotNull() & F.col("ts").isNotNull() & F.col("user_id").isNotNull()).select(
+        F.col("user_id").cast("string").alias("symbol"))
+    lat = feat.latest_days_recent_first(lambda d: events_bars(events, d), DAYS, since, universe=listed)
     return lat.select("symbol", F.date_format("d", "yyyy-MM-dd").alias("d"),
                       F.col("day_index").cast("int").alias("day_index"), *[_r(F.col(f)).alias(f) for f in FEATURES])
 

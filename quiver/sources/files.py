@@ -107,5 +107,5 @@ def read_cluster_text(spark: SparkSession, path: str) -> DataFrame:
     toks = lines.select(F.split(F.trim("value"), " +").alias("t"))
     return toks.select(
         F.col("t")[0].cast("int").alias("cluster_no"),
-        F.explode(F.slice("t", 2, 1 << 30)).alias("symbol"),
+        F.explode(F.slice("t", F.lit(2), F.size("t"))).alias("symbol"),
     )
