@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from quiver.operators.persist import reliable
+
 
 def attach_by_canopy(members: DataFrame, side: DataFrame, est_bytes: int, broadcast_bytes: int = 64 << 20,
                      salts: int = 64) -> DataFrame:
@@ -55,3 +57,11 @@ def join_split_hot(big: DataFrame, small: DataFrame, key: str, hot: int = HOT_KE
     cold_small = small.join(hot_small.select(key), key, "left_anti")
     cols = hot_part.columns
     return hot_part.unionByName(cold.join(cold_small, key).select(*cols))
+
+
+def salt_by_count(rows: DataFrame, key: str, rows_per_salt: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``__salt``, and (key, __s): a key of n rows gets ceil(n / rows_per_salt) salts by symbol."""
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    salts = reliable(sizes.select(key, F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(int(rows_per_salt)))).cast("int").alias("__s")))
+    salted = join_split_hot(rows, salts, key, small_row_bytes=32)
+    return salted.withColumn("__salt", F.pmod(F.xxhash64("symbol"), F.col("__s")).cast("int")).drop("__s"), salts

@@ -3,8 +3,10 @@
 One Spark job per round; members are written once and cached, and only the K
 new centre rows are materialised per round, so lineage stays flat and members
 are never rewritten.  Each round computes, for every vector, its nearest
-current centre and its nearest previous-round centre (to count changed
-assignments), then per-centre means by partial aggregation.
+current centre, counts changed assignments, and averages per centre by partial
+aggregation.  The numpy engines search the previous round's centres only in
+canopies whose centres moved, and no distance at all in canopies of one centre.
+The final assignment is computed once and written.
 
 Small model (K x d doubles under ``model_bytes``): centre rows are held on the
 driver (as MLlib's k-means does) and the default engine assigns each Arrow
@@ -30,12 +32,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quiver.functions.distance import mean_l1, mean_l1_matrix
-from quiver.operators.joins import attach_by_canopy, join_split_hot
+from quiver.functions.vectors import arrow_matrix
+from quiver.operators.joins import attach_by_canopy, salt_by_count
 from quiver.operators.persist import reliable
 
 # Fixed value: distances are snapped to multiples of 1e-12 before comparing
@@ -82,16 +86,11 @@ def nearest(cs: Column, v: Column) -> Column:
         snap(mean_l1(c["v"], v)).alias("d"), c["cid"].alias("cid"))))
 
 
-def _attach(members: DataFrame, arrays: DataFrame, est_bytes: int, broadcast_bytes: int,
-            salts: int) -> DataFrame:
-    return attach_by_canopy(members, arrays, est_bytes, broadcast_bytes, salts)
-
-
 def assign(members: DataFrame, centers: DataFrame, dim: int, n_centers: int,
            broadcast_bytes: int = 64 << 20, salts: int = 64) -> DataFrame:
     """Nearest centre of the own canopy -> (symbol, canopy_id, center_id, dist)."""
     arrays = centre_arrays(centers, "cs")
-    joined = _attach(members, arrays, n_centers * (dim * 8 + 48), broadcast_bytes, salts)
+    joined = attach_by_canopy(members, arrays, n_centers * (dim * 8 + 48), broadcast_bytes, salts)
     near = joined.select("symbol", "canopy_id", nearest(F.col("cs"), F.col("v")).alias("nn"))
     return near.select("symbol", "canopy_id", F.col("nn.cid").cast("long").alias("center_id"),
                        F.col("nn.d").alias("dist"))
@@ -138,7 +137,7 @@ def _round(members: DataFrame, cur: DataFrame, prev: DataFrame | None, dim: int,
     if prev is not None:
         arrays = arrays.join(centre_arrays(prev, "ps"), "canopy_id")
         factor = 2
-    joined = _attach(members, arrays, factor * n_centers * (dim * 8 + 48), broadcast_bytes, salts)
+    joined = attach_by_canopy(members, arrays, factor * n_centers * (dim * 8 + 48), broadcast_bytes, salts)
     stats = _tag_and_aggregate(joined, prev is not None, dim)
     return cur.join(stats, "center_id", "left").select(
         "center_id", "canopy_id",
@@ -174,6 +173,8 @@ def _model_arrays(spark, cur: list, prev: list | None) -> DataFrame:
 
 STATS_SCHEMA = "center_id long, pos int, value double"
 ASSIGN_SCHEMA = "symbol string, canopy_id string, center_id long, dist double"
+_STATS_ARROW = pa.schema([("center_id", pa.int64()), ("pos", pa.int32()), ("value", pa.float64())])
+_ASSIGN_ARROW = pa.schema([("symbol", pa.string()), ("canopy_id", pa.string()), ("center_id", pa.int64()), ("dist", pa.float64())])
 _BLOCK_DOUBLES = 4_000_000
 
 
@@ -188,65 +189,98 @@ def _np_model(rows: list) -> dict:
 
 
 def _np_nearest(rows: np.ndarray, ids: np.ndarray, mat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest centre id and snapped distance per row; argmin takes the first (lowest id) of ties."""
+    """Nearest centre id and snapped distance per row; ties and rows without a distance take the lowest id."""
     out_id = np.empty(rows.shape[0], dtype=np.int64)
     out_d = np.empty(rows.shape[0], dtype=np.float64)
-    step = max(1, _BLOCK_DOUBLES // max(1, mat.shape[0] * mat.shape[1]))
+    step = max(1, _BLOCK_DOUBLES // max(1, mat.shape[0]))
     for a in range(0, rows.shape[0], step):
         dist = snap_np(mean_l1_matrix(rows[a:a + step], mat))
-        j = np.argmin(dist, axis=1)
+        j = np.argmin(np.where(np.isnan(dist), np.inf, dist), axis=1)
         out_id[a:a + step] = ids[j]
         out_d[a:a + step] = dist[np.arange(dist.shape[0]), j]
     return out_id, out_d
 
 
-def _np_assign_batch(pdf: pd.DataFrame, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    vecs = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["v"]])
-    cans = pdf["canopy_id"].to_numpy()
-    cid = np.full(len(pdf), -1, dtype=np.int64)
-    dist = np.full(len(pdf), np.nan)
-    for can in np.unique(cans):
-        if can not in model:
+def _by_canopy(cans: np.ndarray) -> Iterator[tuple[str, np.ndarray]]:
+    """(canopy, row numbers) of a batch, each row once."""
+    names, inv = np.unique(cans, return_inverse=True)
+    order = np.argsort(inv, kind="stable")
+    for can, idx in zip(names, np.split(order, np.cumsum(np.bincount(inv, minlength=len(names)))[:-1])):
+        yield can, idx
+
+
+def _np_ids(vecs: np.ndarray, cans: np.ndarray, cur: dict, prev: dict | None) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest current centre of every row (-1 without one) and whether the previous centres gave another."""
+    cid = np.full(len(vecs), -1, dtype=np.int64)
+    moved = np.full(len(vecs), prev is None)
+    for can, idx in _by_canopy(cans):
+        if can not in cur:
             continue
-        idx = np.flatnonzero(cans == can)
-        cid[idx], dist[idx] = _np_nearest(vecs[idx], *model[can])
-    return vecs, cid, dist
+        ids, mat = cur[can]
+        if len(ids) == 1:
+            cid[idx] = ids[0]
+            continue
+        cid[idx] = _np_nearest(vecs[idx], ids, mat)[0]
+        if prev is not None and not np.array_equal(mat, prev[can][1], equal_nan=True):
+            moved[idx] = _np_nearest(vecs[idx], *prev[can])[0] != cid[idx]
+    return cid, moved
+
+
+def _np_sums(vecs: np.ndarray, cid: np.ndarray, moved: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centre ids and one row (count, changed, element sums) per id."""
+    uniq, inv = np.unique(cid, return_inverse=True)
+    order = np.argsort(inv, kind="stable")
+    starts = np.searchsorted(inv[order], np.arange(len(uniq)))
+    n = np.bincount(inv, minlength=len(uniq)).astype(np.float64)
+    ch = np.bincount(inv, weights=moved.astype(np.float64), minlength=len(uniq))
+    return uniq, np.concatenate([n[:, None], ch[:, None], np.add.reduceat(vecs[order], starts, axis=0)], axis=1)
+
+
+def _cells(ids: np.ndarray, sums: np.ndarray) -> dict:
+    """(center_id, pos, value) columns; pos -2 = count, -1 = changed."""
+    width = sums.shape[1]
+    return {"center_id": np.repeat(ids, width), "pos": np.tile(np.arange(-2, width - 2, dtype=np.int32), len(ids)),
+            "value": sums.ravel()}
 
 
 def _np_round_stats(cur: dict, prev: dict | None, dim: int):
-    """mapInPandas body: (center_id, pos, value) partial sums; pos -2 = count, -1 = changed."""
+    """mapInArrow body: the (center_id, pos, value) sums of a whole task."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_ids = np.sort(np.concatenate([ids for ids, _ in cur.values()]))
+        total = np.zeros((len(all_ids), dim + 2))
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            vecs, cid, _ = _np_assign_batch(pdf, cur)
-            if prev is None:
-                moved = np.ones(len(pdf), dtype=bool)
-            else:
-                moved = _np_assign_batch(pdf, prev)[1] != cid
-            uniq, inv = np.unique(cid, return_inverse=True)
-            order = np.argsort(inv, kind="stable")
-            starts = np.searchsorted(inv[order], np.arange(len(uniq)))
-            sums = np.add.reduceat(vecs[order], starts, axis=0)
-            n = np.bincount(inv, minlength=len(uniq)).astype(np.float64)
-            ch = np.bincount(inv, weights=moved.astype(np.float64), minlength=len(uniq))
-            vals = np.concatenate([n[:, None], ch[:, None], sums], axis=1)
-            yield pd.DataFrame({"center_id": np.repeat(uniq, dim + 2),
-                                "pos": np.tile(np.arange(-2, dim, dtype=np.int32), len(uniq)),
-                                "value": vals.ravel()})
+            vecs = arrow_matrix(batch.column("v"))
+            cid, moved = _np_ids(vecs, batch.column("canopy_id").to_numpy(zero_copy_only=False), cur, prev)
+            known = cid >= 0
+            if known.any():
+                ids, sums = _np_sums(vecs[known], cid[known], moved[known])
+                total[np.searchsorted(all_ids, ids)] += sums
+        seen = total[:, 0] > 0
+        yield pa.RecordBatch.from_pydict(_cells(all_ids[seen], total[seen]), schema=_STATS_ARROW)
 
     return run
 
 
+def _np_assigned(symbols, cans: np.ndarray, vecs: np.ndarray, model: dict) -> dict:
+    cid, dist = np.full(len(vecs), -1, dtype=np.int64), np.full(len(vecs), np.nan)
+    for can, idx in _by_canopy(cans):
+        if can in model:
+            cid[idx], dist[idx] = _np_nearest(vecs[idx], *model[can])
+    return {"symbol": symbols, "canopy_id": cans, "center_id": cid, "dist": dist}
+
+
 def _np_assign(model: dict):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            _, cid, dist = _np_assign_batch(pdf, model)
-            yield pd.DataFrame({"symbol": pdf["symbol"], "canopy_id": pdf["canopy_id"],
-                                "center_id": cid, "dist": dist})
+    """mapInArrow body: the nearest centre of every member and its distance (NaN stays NaN)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                cans = batch.column("canopy_id").to_numpy(zero_copy_only=False)
+                out = _np_assigned(batch.column("symbol"), cans, arrow_matrix(batch.column("v")), model)
+                yield pa.RecordBatch.from_pydict(out, schema=_ASSIGN_ARROW)
 
     return run
 
@@ -260,23 +294,26 @@ def _np_assign(model: dict):
 # with the same numpy code as the small-model engine.
 
 
-def _cogroup_stats(dim: int):
-    def run(members: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
-        if members.empty or centres.empty:
-            return pd.DataFrame({"center_id": [], "pos": [], "value": []}).astype(
-                {"center_id": "int64", "pos": "int32", "value": "float64"})
-        can = members["canopy_id"].iloc[0]
+def _group_model(centres: pa.Table, which: int) -> dict:
+    """The centres of one group's canopy in one round, as the small-model engine holds them."""
+    part = centres.filter(pc.equal(centres["which"], which)).sort_by("center_id").combine_chunks()
+    if not part.num_rows:
+        return {}
+    return {part["canopy_id"][0].as_py(): (part["center_id"].to_numpy(), _table_matrix(part))}
+
+
+def _table_matrix(table: pa.Table) -> np.ndarray:
+    return np.concatenate([arrow_matrix(c) for c in table["v"].chunks if len(c)])
 
-        def model(which: int) -> dict | None:
-            part = centres[centres["which"] == which].sort_values("center_id")
-            if part.empty:
-                return None
-            return {can: (part["center_id"].to_numpy(dtype=np.int64),
-                          np.stack([np.asarray(v, dtype=np.float64) for v in part["v"]]))}
 
-        cur, prev = model(0), model(1)
-        parts = list(_np_round_stats(cur, prev, dim)(iter([members[["canopy_id", "v"]]])))
-        return parts[0] if parts else pd.DataFrame({"center_id": [], "pos": [], "value": []})
+def _cogroup_stats(has_prev: bool):
+    def run(members: pa.Table, centres: pa.Table) -> pa.Table:
+        cur = _group_model(centres, 0)
+        if not members.num_rows or not cur:
+            return _STATS_ARROW.empty_table()
+        vecs = _table_matrix(members)
+        cid, moved = _np_ids(vecs, members["canopy_id"].to_numpy(), cur, _group_model(centres, 1) if has_prev else None)
+        return pa.Table.from_pydict(_cells(*_np_sums(vecs, cid, moved)), schema=_STATS_ARROW)
 
     return run
 
@@ -284,15 +321,10 @@ def _cogroup_stats(dim: int):
 def _salt_members(members: DataFrame, rows_per_group: int) -> tuple[DataFrame, DataFrame]:
     """Members with a per-canopy salt, hash-partitioned on (canopy_id, salt) once and cached.
 
-    Canopy i gets ceil(n_i / rows_per_group) salts, so a hot canopy spreads
-    over many groups; later cogroups reuse this partitioning and only the
-    small centre side is shuffled per round.
+    Later cogroups reuse this partitioning and only the small centre side is
+    shuffled per round.
     """
-    sizes = members.groupBy("canopy_id").agg(F.count(F.lit(1)).alias("__n"))
-    salts = reliable(sizes.select("canopy_id", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(int(rows_per_group))))
-                                  .cast("int").alias("__s")))
-    m = join_split_hot(members, salts, "canopy_id", small_row_bytes=32)
-    m = m.withColumn("__salt", F.pmod(F.xxhash64("symbol"), F.col("__s")).cast("int")).drop("__s")
+    m, salts = salt_by_count(members, "canopy_id", rows_per_group)
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     m = m.repartition(parts, "canopy_id", "__salt").persist(StorageLevel.MEMORY_AND_DISK)
     return m, salts
@@ -310,7 +342,7 @@ def _round_cogroup(m: DataFrame, salts: DataFrame, cur: DataFrame, prev: DataFra
     """One round on centre tables -> (center_id, canopy_id, v, n, changed) for every centre."""
     c = _centre_side(cur, prev, salts)
     stats = (m.groupBy("canopy_id", "__salt").cogroup(c.groupBy("canopy_id", "__salt"))
-             .applyInPandas(_cogroup_stats(dim), STATS_SCHEMA)
+             .applyInArrow(_cogroup_stats(prev is not None), STATS_SCHEMA)
              .groupBy("center_id", "pos").agg(F.sum("value").alias("s")))
     per = stats.groupBy("center_id").agg(
         F.max(F.when(F.col("pos") == -2, F.col("s"))).alias("n"),
@@ -328,19 +360,14 @@ def _round_cogroup(m: DataFrame, salts: DataFrame, cur: DataFrame, prev: DataFra
 def _assign_cogroup(m: DataFrame, salts: DataFrame, centers: DataFrame) -> DataFrame:
     c = _centre_side(centers, None, salts)
 
-    def run(mem: pd.DataFrame, cen: pd.DataFrame) -> pd.DataFrame:
-        if mem.empty:
-            return pd.DataFrame({"symbol": [], "canopy_id": [], "center_id": [], "dist": []})
-        can = mem["canopy_id"].iloc[0]
-        part = cen.sort_values("center_id")
-        model = {can: (part["center_id"].to_numpy(dtype=np.int64),
-                       np.stack([np.asarray(v, dtype=np.float64) for v in part["v"]]))} if not part.empty else {}
-        _, cid, dist = _np_assign_batch(mem[["canopy_id", "v"]], model)
-        return pd.DataFrame({"symbol": mem["symbol"].to_numpy(), "canopy_id": mem["canopy_id"].to_numpy(),
-                             "center_id": cid, "dist": dist})
+    def run(mem: pa.Table, cen: pa.Table) -> pa.Table:
+        if not mem.num_rows:
+            return _ASSIGN_ARROW.empty_table()
+        out = _np_assigned(mem["symbol"], mem["canopy_id"].to_numpy(), _table_matrix(mem), _group_model(cen, 0))
+        return pa.Table.from_pydict(out, schema=_ASSIGN_ARROW)
 
     return (m.groupBy("canopy_id", "__salt").cogroup(c.groupBy("canopy_id", "__salt"))
-            .applyInPandas(run, ASSIGN_SCHEMA))
+            .applyInArrow(run, ASSIGN_SCHEMA))
 
 
 def _warn_unless_converged(result: KMeansResult, stop_on_convergence: bool) -> KMeansResult:
@@ -384,9 +411,9 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
         cur = sorted((r["center_id"], r["canopy_id"], list(r["v"])) for r in cur_df.collect())
         prev = None
         for i in range(1, int(max_iter) + 1):
-            if use_numpy:
+            if use_numpy and cur:
                 fn = _np_round_stats(_np_model(cur), _np_model(prev) if prev is not None else None, dim)
-                parts = (members.mapInPandas(fn, STATS_SCHEMA)
+                parts = (members.mapInArrow(fn, STATS_SCHEMA)
                          .groupBy("center_id", "pos").agg(F.sum("value").alias("s")).collect())
                 acc: dict[int, np.ndarray] = {}
                 for r in parts:
@@ -408,10 +435,11 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
         centers = spark.createDataFrame(cur, CENTERS_SCHEMA)
         last_rows = prev if prev is not None else cur
         if use_numpy:
-            final = members.mapInPandas(_np_assign(_np_model(last_rows)), ASSIGN_SCHEMA)
+            final = members.mapInArrow(_np_assign(_np_model(last_rows)), ASSIGN_SCHEMA)
         else:
             final = assign(members, spark.createDataFrame(last_rows, CENTERS_SCHEMA), dim, n_centers,
                            broadcast_bytes, salts)
+        final = reliable(final)  # computed once, while the members are cached
         members.unpersist(blocking=False)
         return _warn_unless_converged(KMeansResult(final, centers, rounds, changed, n_centers), stop_on_convergence)
     cur_t, prev_t = cur_df, None
@@ -431,9 +459,9 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
             break
     last_t = prev_t if prev_t is not None else cur_t
     if salted is not None:
-        final = _assign_cogroup(salted[0], salted[1], last_t)
+        final = reliable(_assign_cogroup(salted[0], salted[1], last_t))
         salted[0].unpersist(blocking=False)
     else:
-        final = assign(members, last_t, dim, n_centers, broadcast_bytes, salts)
+        final = reliable(assign(members, last_t, dim, n_centers, broadcast_bytes, salts))
     members.unpersist(blocking=False)
     return _warn_unless_converged(KMeansResult(final, cur_t, rounds, changed, n_centers), stop_on_convergence)

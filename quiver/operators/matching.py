@@ -15,30 +15,33 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quiver.functions.distance import mean_l1_matrix
+from quiver.functions.vectors import arrow_matrix
 from quiver.operators.persist import reliable
 from quiver.operators.kmeans import snap_np
 
 OUT_SCHEMA = "symbol string, nearest string, nearest_dist double, first string, n_within long"
+_OUT_ARROW = pa.schema([("symbol", pa.string()), ("nearest", pa.string()), ("nearest_dist", pa.float64()),
+                        ("first", pa.string()), ("n_within", pa.int64())])
 _TILE_DOUBLES = 4_000_000
 
 
 def _block_pass(ids: list[str], mat: np.ndarray, t1: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         id_arr = np.asarray(ids, dtype=object)
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            rows = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["v"]])
+            rows = arrow_matrix(batch.column("v"))
             m = rows.shape[0]
             best_d = np.full(m, np.inf)
             best_j = np.zeros(m, dtype=np.int64)  # without any comparable distance the first centre stays
             first_j = np.full(m, -1, dtype=np.int64)
             count = np.zeros(m, dtype=np.int64)
-            step = max(1, _TILE_DOUBLES // max(1, m * mat.shape[1]))
+            step = max(1, _TILE_DOUBLES // max(1, m))
             for a in range(0, mat.shape[0], step):
                 raw = mean_l1_matrix(rows, mat[a:a + step])
                 within = raw < t1
@@ -51,13 +54,13 @@ def _block_pass(ids: list[str], mat: np.ndarray, t1: float):
                 better = dj < best_d  # strict: earlier (smaller id) centre wins ties
                 best_d[better] = dj[better]
                 best_j[better] = a + j[better]
-            yield pd.DataFrame({
-                "symbol": pdf["symbol"],
+            yield pa.RecordBatch.from_pydict({
+                "symbol": batch.column("symbol"),
                 "nearest": id_arr[best_j],
                 "nearest_dist": np.where(np.isinf(best_d), np.nan, best_d),
                 "first": np.where(first_j >= 0, id_arr[np.maximum(first_j, 0)], None),
                 "n_within": count,
-            })
+            }, schema=_OUT_ARROW)
 
     return run
 
@@ -90,14 +93,11 @@ def match_centres(vectors: DataFrame, centres: DataFrame, t1: float, block_bytes
         if held is not None:
             parts.append(reliable(held))
         mat = np.asarray([v for _, v in blk], dtype=np.float64)
-        held = vectors.select("symbol", "v").mapInPandas(_block_pass([c for c, _ in blk], mat, float(t1)), OUT_SCHEMA)
+        held = vectors.select("symbol", "v").mapInArrow(_block_pass([c for c, _ in blk], mat, float(t1)), OUT_SCHEMA)
     parts.append(reliable(held) if parts else held)
-    nan = F.lit(float("nan"))
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
-    # pandas hands NaN on as null
-    allp = allp.withColumn("nearest_dist", F.coalesce("nearest_dist", nan))
     if len(parts) == 1:
         return allp
     best = F.min(F.struct("nearest_dist", "nearest"))  # NaN is the largest double

@@ -13,7 +13,7 @@ the first k_i become centres.  center_id numbers the seeds 1..K in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quiver.functions.ranking import global_row_number
 
@@ -43,19 +43,28 @@ def seats(sizes: DataFrame, k: int) -> DataFrame:
     return ranked.select("canopy_id", "n", (F.col("base") + extra).alias("seats"))
 
 
-def seeds(members: DataFrame, seat_table: DataFrame, seed: str = "42") -> DataFrame:
+def seeds(members: DataFrame, seat_table: DataFrame, seed: str = "42", rows_per_group: int = 1_000_000) -> DataFrame:
     """Pick seats[canopy] members per canopy -> (center_id, canopy_id, symbol, v).
 
-    The per-canopy ranking is limited by the largest seat count, a literal,
-    so Spark applies a partial top-k before the shuffle and a canopy holding
-    most of the data does not travel whole to one task.
+    The ranking is limited by the largest seat count, a literal, so Spark applies
+    a partial top-k before each shuffle.  With canopies over ``rows_per_group``
+    members it has two levels: first within salted parts of a canopy, then over
+    the parts' first rows, so no task ranks a hot canopy whole.
     """
-    agg = seat_table.agg(F.max("seats").alias("kmax"), F.sum("seats").alias("k")).first()
+    agg = seat_table.agg(F.max("seats").alias("kmax"), F.sum("seats").alias("k"), F.max("n").alias("n")).first()
     kmax, total = int(agg["kmax"] or 0), int(agg["k"] or 0)
+    parts = -(-int(agg["n"] or 0) // int(rows_per_group))
     order = F.md5(F.concat(F.lit(str(seed)), F.lit(":"), F.col("symbol")))
-    w = Window.partitionBy("canopy_id").orderBy(order, F.col("symbol"))
-    top = members.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.lit(kmax))
+    top = members
+    if parts > 1:
+        top = _first(top.withColumn("__p", F.pmod(F.xxhash64("symbol"), F.lit(parts))), ["canopy_id", "__p"], order, kmax).drop("r", "__p")
+    top = _first(top, ["canopy_id"], order, kmax)
     chosen = top.join(seat_table.select("canopy_id", "seats"), "canopy_id").where(F.col("r") <= F.col("seats"))
     numbered = global_row_number(chosen.select("canopy_id", "r", "symbol", "v"),
                                  [F.col("canopy_id"), F.col("r")], "center_id", n_rows=total)
     return numbered.select("center_id", "canopy_id", "symbol", "v")
+
+
+def _first(rows: DataFrame, keys: list[str], order: Column, k: int) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(order, F.col("symbol"))
+    return rows.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.lit(k))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from quiver.functions.ranking import global_row_number
 from quiver.functions.vectors import format_vector_line
+from quiver.operators.joins import salt_by_count
 
 # Fixed value: longest cluster-text line, in symbols; larger clusters continue
 # on further lines with the same cluster number.
@@ -38,9 +39,13 @@ def write_vector_text(vectors: DataFrame, path: str) -> None:
     vectors.select(format_vector_line("symbol", "v").alias("value")).write.mode("overwrite").text(path)
 
 
-def write_canopies(members: DataFrame, path: str) -> None:
-    """One folder per canopy (``canopy_id=<SYM>``)."""
-    members.select("symbol", "v", "canopy_id").write.mode("overwrite").partitionBy("canopy_id").parquet(path)
+def write_canopies(members: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """One folder per canopy (``canopy_id=<SYM>``) with about one file per ``rows_per_file`` members.
+
+    Members meet by (canopy, salt), so a task writes few folders and a hot canopy many tasks.
+    """
+    salted, _ = salt_by_count(members.select("symbol", "v", "canopy_id"), "canopy_id", rows_per_file)
+    salted.repartition("canopy_id", "__salt").drop("__salt").write.mode("overwrite").partitionBy("canopy_id").parquet(path)
 
 
 def write_assignments(assignments: DataFrame, path: str) -> None:
