@@ -59,15 +59,14 @@ def vectors_ctes(feats=FEATS) -> str:
         "vec AS (SELECT symbol, list(x ORDER BY pos) AS v FROM vl GROUP BY symbol)"
 
 
-def pipeline_prefix(days: int = 5, degenerate: str = "nan", source: str = "events", amount: int | None = None) -> str:
-    return ",\n".join([bars_cte(source, amount), latest_ctes(days), scaled_cte(degenerate), vectors_ctes()])
+def pipeline_prefix(days: int = 5, degenerate: str = "nan", source: str = "events", amount: int | None = None,
+                    feats=FEATS) -> str:
+    return ",\n".join([bars_cte(source, amount), latest_ctes(days), scaled_cte(degenerate, feats), vectors_ctes(feats)])
 
 
-def clusters_ctes(prefix: str, t1: float, k: int, dim: int, rounds: int, seed: str = "42", vec: str = "vec") -> str:
-    """prefix (defining ``vec``) -> ... -> cl(cluster_no, symbol) after ``rounds`` k-means rounds."""
-    return ",\n".join([prefix, canopy_ctes(t1, vec), seats_ctes(k), seeds_ctes(seed), kmeans_ctes(rounds, dim),
-                       f"cl AS (SELECT CAST(dense_rank() OVER (ORDER BY cid) AS INTEGER) AS cluster_no, symbol "
-                       f"FROM a{rounds})"])
+def clusters_ctes(prefix: str, t1: float, k: int, dim: int, seed: str = "42", vec: str = "vec") -> str:
+    """prefix (defining ``vec``) -> ... -> cl(cluster_no, symbol) of the converged k-means."""
+    return ",\n".join([prefix, canopy_ctes(t1, vec), seats_ctes(k), seeds_ctes(seed), converged_ctes(dim)])
 
 
 def canopy_ctes(t1: float, vec: str = "vec", p: str = "", order: str = "symbol", group: str | None = None) -> str:
@@ -156,5 +155,29 @@ def kmeans_ctes(rounds: int, dim: int) -> str:
     return ",\n".join(round_ctes(i, dim) for i in range(1, rounds + 1))
 
 
+def converged_ctes(dim: int) -> str:
+    """k-means rounds from c0 until no centre moves -> af (last assignment), cl(cluster_no, symbol)."""
+    d = snap(dist("s.v", "m.v"))
+    same = "list_transform({0}, lambda x: round(x, 10))"
+    return f"""rounds(it, cid, canopy, v, moving) AS (
+  SELECT 0, cid, canopy, v, true FROM c0
+  UNION ALL
+  SELECT it + 1, cid, canopy, nv, bool_or({same.format("v")} IS DISTINCT FROM {same.format("nv")}) OVER ()
+  FROM (
+    SELECT o.it, o.cid, o.canopy, o.v, coalesce(n.v, o.v) AS nv
+    FROM rounds o LEFT JOIN (
+      SELECT cid, list(x ORDER BY p) AS v FROM (
+        SELECT a.cid, gs.p, avg(a.v[gs.p]) AS x
+        FROM (SELECT m.symbol, any_value(m.v) AS v, arg_min(s.cid, ({d}, s.cid)) AS cid
+              FROM mem m JOIN rounds s ON s.canopy = m.canopy GROUP BY m.symbol) a
+        CROSS JOIN generate_series(1, {dim}) gs(p) GROUP BY a.cid, gs.p)
+      GROUP BY cid) n ON n.cid = o.cid
+    WHERE o.moving)),
+fixed_c AS (SELECT cid, canopy, v FROM rounds WHERE it = (SELECT max(it) FROM rounds)),
+af AS (SELECT m.symbol, m.canopy, arg_min(s.cid, ({d}, s.cid)) AS cid, min({d}) AS dd
+  FROM mem m JOIN fixed_c s ON s.canopy = m.canopy GROUP BY m.symbol, m.canopy),
+cl AS (SELECT CAST(dense_rank() OVER (ORDER BY cid) AS INTEGER) AS cluster_no, symbol FROM af)"""
+
+
 def with_recursive(*ctes: str) -> str:
     return "WITH RECURSIVE\n" + ",\n".join(ctes) + "\n"

@@ -25,10 +25,10 @@ from quiver.operators.seeding import seats, seeds
 from quiver.plans import oracle as O
 from quiver.plans.pipeline import cluster_vectors, run
 from quiver.session import scratch_path
-from quiver.sinks import (cluster_text_lines, write_canopies, write_cluster_text, write_price_csv,
+from quiver.sinks import (cluster_text_lines, write_assignments, write_canopies, write_cluster_text, write_price_csv,
                           write_symbol_directory, write_vector_text)
 from quiver.sources import (customer_symbols, embedding_vectors, events_bars, lineitem_bars, load_table,
-                            read_canopies, read_cluster_text, read_price_csv, read_symbol_directory,
+                            read_assignments, read_canopies, read_cluster_text, read_price_csv, read_symbol_directory,
                             read_vector_text)
 from quiver.sources.files import number_directory
 
@@ -45,7 +45,7 @@ BUCKETS = 4
 K_LARGE = 40
 RECENT_DAYS = 7
 DIM = DAYS * len(FEATURES)
-CLUSTER_ROUNDS_SQL = 8
+SUBSET = ("open", "close")
 
 
 def _r(c, n: int = 6):
@@ -148,6 +148,11 @@ def q_vectors_long(spark, sf):
     return _long(_vectors(spark, sf), ["symbol"])
 
 
+def q_vectors_subset(spark, sf):
+    """Vectors of a feature subset."""
+    return _long(feat.build_vectors(_bars(spark, sf), DAYS, SUBSET), ["symbol"])
+
+
 def q_vector_text(spark, sf):
     path = scratch_path(spark, "vectors-text")
     write_vector_text(_vectors(spark, sf), path)
@@ -160,6 +165,17 @@ def q_price_csv(spark, sf):
     return _bars_out(read_price_csv(spark, path))
 
 
+def q_price_csv_corrupt(spark, sf):
+    """Price files where every symbol that closed its last day lower has an unreadable row: those symbols fail whole."""
+    path = scratch_path(spark, "prices")
+    bars = reliable(_bars(spark, sf))
+    write_price_csv(bars, path)
+    falling = feat.latest_days(bars, 1).where(F.col("close") < F.col("open"))
+    bad = falling.select("symbol", F.date_format("d", "yyyy-MM-dd").alias("date"), F.lit("?").alias("open"), "high", "low", "close")
+    bad.write.mode("append").partitionBy("symbol").option("header", True).csv(path)
+    return _bars_out(read_price_csv(spark, path))
+
+
 def q_symbol_directory(spark, sf):
     path = scratch_path(spark, "symbols")
     write_symbol_directory(customer_symbols(load_table(spark, sf, "customer")), path)
@@ -222,6 +238,14 @@ def q_nearest_neighbor(spark, sf):
     return r.select("symbol", "nearest", _r(F.col("nearest_dist"), 9).alias("nearest_dist"))
 
 
+def q_nearest_neighbor_constant(spark, sf):
+    """Nearest centre of vectors without any distance (one-day window, constant features): the first one."""
+    m = canopy_ops.canopy(_vectors(spark, sf, 1), T1)
+    centres = m.where(F.col("symbol") == F.col("canopy_id")).select(F.col("symbol").alias("centre"), "v")
+    r = match_centres(m.select("symbol", "v"), centres, T1)
+    return r.select("symbol", "nearest", _r(F.col("nearest_dist"), 9).alias("nearest_dist"))
+
+
 def q_fixed_center_match(spark, sf):
     """First canopy centre (creation order) within T1/2 of every vector, else null."""
     return _centre_match(spark, sf, T1 / 2).select("symbol", F.col("first").alias("matched"))
@@ -258,20 +282,12 @@ def q_update_step(spark, sf):
 
 
 def q_convergence_count(spark, sf):
-    """Changed assignments per round, recomputed from the per-round centre tables (SNK4)."""
+    """Changed assignments per round, as the loop counted them into the per-round centre tables (SNK4)."""
     members, _, initial = _seeded(spark, sf)
     path = scratch_path(spark, "centres-by-round")
-    res = kmeans(members, initial, DIM, max_iter=3, stop_on_convergence=False, checkpoint_members=False,
-                 centers_path=path)
-    rounds = [initial.select("center_id", "canopy_id", "v")] + \
-        [spark.read.parquet(f"{path}/iter={i}") for i in (1, 2)]
-    a = [assign(members, c, DIM, res.n_centers).select("symbol", F.col("center_id").alias(f"a{i + 1}"))
-         for i, c in enumerate(rounds)]
-    both = a[0].join(a[1], "symbol").join(a[2], "symbol")
-    counts = both.agg(F.count(F.lit(1)).alias("n1"), F.count_if(F.col("a1") != F.col("a2")).alias("n2"),
-                      F.count_if(F.col("a2") != F.col("a3")).alias("n3"))
-    return counts.selectExpr("stack(3, 1, n1, 2, n2, 3, n3) AS (round, changed)").select(
-        F.col("round").cast("int").alias("round"), F.col("changed").cast("long").alias("changed"))
+    kmeans(members, initial, DIM, max_iter=3, stop_on_convergence=False, checkpoint_members=False, centers_path=path)
+    return spark.read.parquet(path).groupBy(F.col("iter").cast("int").alias("round")).agg(
+        F.sum("changed").cast("long").alias("changed"))
 
 
 def q_kmeans_3_iter(spark, sf):
@@ -311,6 +327,22 @@ def q_clusters_k40(spark, sf):
     return _clusters(spark, sf, K_LARGE)
 
 
+def q_clusters_constant(spark, sf):
+    """Clusters of vectors without any distance: every one its own canopy and cluster."""
+    res = run(_bars(spark, sf), RunConfig(days=1, clusters=K, t1=T1))
+    return res.clusters
+
+
+def q_assignments_roundtrip(spark, sf):
+    """The assignment table written and read back (SNK6, SRC7)."""
+    members, _, initial = _seeded(spark, sf)
+    res = kmeans(members, initial, DIM, max_iter=50, checkpoint_members=False)
+    path = scratch_path(spark, "assignments")
+    write_assignments(res.assignments, path)
+    a = read_assignments(spark, path)
+    return a.select("symbol", "canopy_id", "center_id", _r(F.col("dist"), 9).alias("dist"))
+
+
 def q_lineitem_clusters(spark, sf):
     """The full run on the second bar source (supplier x ship date, long histories)."""
     res = run(lineitem_bars(load_table(spark, sf, "lineitem")), RunConfig(days=DAYS, clusters=K, t1=T1))
@@ -341,6 +373,12 @@ def q_series(spark, sf):
     return s.select("cluster_no", "symbol", "day_index", _r(F.col("value")).alias("value"))
 
 
+def q_series_subset(spark, sf):
+    """Per-day mean of a feature subset, clustered on that subset."""
+    res = run(_bars(spark, sf), RunConfig(days=DAYS, clusters=K, t1=T1, features=SUBSET))
+    return res.series.select("cluster_no", "symbol", "day_index", _r(F.col("value")).alias("value"))
+
+
 def q_series_min(spark, sf):
     m = series_min(_series(spark, sf))
     return m.select("symbol", _r(F.col("min_value")).alias("min_value"))
@@ -389,9 +427,7 @@ def _oracle() -> dict[str, str]:
     base = P(DAYS)
     canopy = O.canopy_ctes(T1)
     seeded = ",\n".join([base, canopy, O.seats_ctes(K), O.seeds_ctes(SEED)])
-    clusters_sql = ",\n".join([seeded, O.kmeans_ctes(CLUSTER_ROUNDS_SQL, DIM),
-                               f"cl AS (SELECT CAST(dense_rank() OVER (ORDER BY cid) AS INTEGER) AS cluster_no, symbol "
-                               f"FROM a{CLUSTER_ROUNDS_SQL})"])
+    clusters_sql = ",\n".join([seeded, O.converged_ctes(DIM)])
     q: dict[str, str] = {}
     q["bars"] = f"WITH {O.bars_cte()}\nSELECT symbol, CAST(d AS VARCHAR) AS d, {feats6} FROM bars"
     q["lineitem_bars"] = f"WITH {O.bars_cte('lineitem')}\nSELECT symbol, CAST(d AS VARCHAR) AS d, {feats6} FROM bars"
@@ -410,7 +446,11 @@ def _oracle() -> dict[str, str]:
     q["vectors_long"] = (f"WITH {base}\nSELECT symbol, CAST(p - 1 AS INTEGER) AS pos, round(v[p], 6) AS x "
                          f"FROM vec, generate_series(1, {DIM}) g(p)")
     q["vector_text"] = q["vectors_long"]
+    q["vectors_subset"] = (f"WITH {P(DAYS, feats=SUBSET)}\nSELECT symbol, CAST(p - 1 AS INTEGER) AS pos, round(v[p], 6) AS x "
+                           f"FROM vec, generate_series(1, {DAYS * len(SUBSET)}) g(p)")
     q["price_csv"] = q["bars"]
+    q["price_csv_corrupt"] = (f"WITH {O.bars_cte()},\n{O.latest_ctes(1)}\nSELECT symbol, CAST(d AS VARCHAR) AS d, {feats6} FROM bars "
+                              "WHERE symbol NOT IN (SELECT symbol FROM lat WHERE close < open)")
     q["symbol_directory"] = ("SELECT CAST(c_custkey AS VARCHAR) AS symbol, "
                              "CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS pos FROM customer")
     q["load_report"] = (f"WITH {O.bars_cte()},\nreq AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS symbol FROM customer),\n"
@@ -439,6 +479,10 @@ def _oracle() -> dict[str, str]:
     q["nearest_neighbor"] = O.with_recursive(base, canopy, cen) + (
         f"SELECT symbol, arg_min(centre, ({O.snap('dd')}, centre)) AS nearest, "
         f"round(min({O.snap('dd')}), 9) AS nearest_dist FROM mc GROUP BY symbol")
+    one_day = P(1)
+    q["nearest_neighbor_constant"] = O.with_recursive(one_day, canopy, cen) + (
+        f"SELECT symbol, arg_min(centre, ({O.snap('dd')}, centre)) AS nearest, "
+        f"round(min({O.snap('dd')}), 9) AS nearest_dist FROM mc GROUP BY symbol")
     q["fixed_center_match"] = O.with_recursive(base, canopy, cen) + (
         f"SELECT symbol, min(centre) FILTER (WHERE dd < {T1 / 2!r}) AS matched FROM mc GROUP BY symbol")
     q["pairs_within_t1"] = O.with_recursive(base, canopy, cen) + (
@@ -461,10 +505,13 @@ def _oracle() -> dict[str, str]:
     q["kmeans_tables"] = q["kmeans_jvm"] = q["kmeans_3_iter"]
     q["clusters"] = O.with_recursive(clusters_sql) + "SELECT cluster_no, symbol FROM cl"
     q["cluster_text"] = q["clusters"]
-    q["lineitem_clusters"] = O.with_recursive(O.clusters_ctes(P(DAYS, source="lineitem"), T1, K, DIM,
-                                                              CLUSTER_ROUNDS_SQL)) + "SELECT cluster_no, symbol FROM cl"
-    q["clusters_k40"] = O.with_recursive(O.clusters_ctes(base, T1, K_LARGE, DIM, CLUSTER_ROUNDS_SQL)) + \
+    q["lineitem_clusters"] = O.with_recursive(O.clusters_ctes(P(DAYS, source="lineitem"), T1, K, DIM)) + "SELECT cluster_no, symbol FROM cl"
+    q["clusters_k40"] = O.with_recursive(O.clusters_ctes(base, T1, K_LARGE, DIM)) + \
+        "SELECT cluster_no, symbol FROM cl"
+    q["clusters_constant"] = O.with_recursive(O.clusters_ctes(one_day, T1, K, len(FEATURES))) + \
         "SELECT cluster_no, symbol FROM cl"
+    q["assignments_roundtrip"] = O.with_recursive(clusters_sql) + \
+        "SELECT symbol, canopy AS canopy_id, CAST(cid AS BIGINT) AS center_id, round(dd, 9) AS dist FROM af"
     q["cluster_sizes"] = O.with_recursive(clusters_sql) + \
         "SELECT cluster_no, CAST(count(*) AS BIGINT) AS n_symbols FROM cl GROUP BY cluster_no"
     q["cluster_lines"] = O.with_recursive(clusters_sql) + (
@@ -475,12 +522,16 @@ def _oracle() -> dict[str, str]:
                   "(f.open + f.high + f.low + f.close) / CAST(4.0 AS DOUBLE) AS value FROM cl JOIN fh f USING (symbol))")
     q["series"] = O.with_recursive(clusters_sql, series_sql) + \
         "SELECT cluster_no, symbol, day_index, round(value, 6) AS value FROM ser"
+    subset_mean = " + ".join(f"f.{c}" for c in SUBSET)
+    q["series_subset"] = O.with_recursive(O.clusters_ctes(P(DAYS, feats=SUBSET), T1, K, DAYS * len(SUBSET))) + (
+        f"SELECT cl.cluster_no, f.symbol, CAST(f.day_index AS INTEGER) AS day_index, "
+        f"round(({subset_mean}) / CAST({len(SUBSET)} AS DOUBLE), 6) AS value FROM cl JOIN fh f USING (symbol)")
     q["series_min"] = O.with_recursive(clusters_sql, series_sql) + \
         "SELECT symbol, round(min(value), 6) AS min_value FROM ser GROUP BY symbol"
-    q["stock_pipeline"] = O.with_recursive(O.clusters_ctes(P(DAYS, amount=AMOUNT), T1, 5, DIM, CLUSTER_ROUNDS_SQL)) + \
+    q["stock_pipeline"] = O.with_recursive(O.clusters_ctes(P(DAYS, amount=AMOUNT), T1, 5, DIM)) + \
         "SELECT cluster_no, symbol FROM cl"
     emb = "emb AS (SELECT CAST(vec_id AS VARCHAR) AS symbol, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)"
-    q["embedding_clusters"] = O.with_recursive(O.clusters_ctes(emb, EMB_T1, EMB_K, 64, CLUSTER_ROUNDS_SQL, vec="emb")) + \
+    q["embedding_clusters"] = O.with_recursive(O.clusters_ctes(emb, EMB_T1, EMB_K, 64, vec="emb")) + \
         "SELECT cluster_no, symbol FROM cl"
     q["embedding_canopy"] = O.with_recursive(emb, O.canopy_ctes(EMB_T1, "emb")) + \
         "SELECT symbol, canopy AS canopy_id FROM mem"
@@ -499,8 +550,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalized_long": q_normalized_long,
     "normalized_constant": q_normalized_constant,
     "vectors_long": q_vectors_long,
+    "vectors_subset": q_vectors_subset,
     "vector_text": q_vector_text,
     "price_csv": q_price_csv,
+    "price_csv_corrupt": q_price_csv_corrupt,
     "symbol_directory": q_symbol_directory,
     "load_report": q_load_report,
     "failed_symbols": q_failed_symbols,
@@ -512,6 +565,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "canopy_sizes": q_canopy_sizes,
     "pair_distance": q_pair_distance,
     "nearest_neighbor": q_nearest_neighbor,
+    "nearest_neighbor_constant": q_nearest_neighbor_constant,
     "fixed_center_match": q_fixed_center_match,
     "pairs_within_t1": q_pairs_within_t1,
     "canopy_seats": q_canopy_seats,
@@ -522,11 +576,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_3_iter": q_kmeans_3_iter,
     "clusters": q_clusters,
     "clusters_k40": q_clusters_k40,
+    "clusters_constant": q_clusters_constant,
+    "assignments_roundtrip": q_assignments_roundtrip,
     "lineitem_clusters": q_lineitem_clusters,
     "cluster_lines": q_cluster_lines,
     "cluster_text": q_cluster_text,
     "cluster_sizes": q_cluster_sizes,
     "series": q_series,
+    "series_subset": q_series_subset,
     "series_min": q_series_min,
     "stock_pipeline": q_pipeline,
     "embedding_canopy": q_embedding_canopy,
