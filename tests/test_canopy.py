@@ -88,3 +88,17 @@ def test_distance_to_centre_broadcast_and_salted(spark):
     for kw in ({}, {"broadcast_bytes": 0, "salts": 3}):
         got = {r["symbol"]: round(r["dist"], 12) for r in distance_to_centre(m, 1, **kw).collect()}
         assert got == expect
+
+
+@pytest.mark.parametrize("batch_bytes", [64 << 20, 500])
+def test_rounds_with_many_nan_vectors(spark, batch_bytes):
+    rng = np.random.default_rng(3)
+    rows = [(f"n{i:03d}", [float("nan")] * 3 if i % 4 == 0 else rng.random(3).tolist()) for i in range(200)]
+    got = members(canopy(vec_df(spark, rows), 0.2, batch=8, max_batch=16, batch_bytes=batch_bytes))
+    assert got == greedy_reference(rows, 0.2)
+
+
+def test_bucketed_nan_vectors_stay_alone(spark):
+    rows = [(f"n{i}", [float("nan")] if i % 2 else [0.1]) for i in range(8)]
+    assert members(canopy_bucketed(vec_df(spark, rows), 0.5, buckets=2)) == {
+        f"n{i}": f"n{i}" if i % 2 else "n0" for i in range(8)}

@@ -179,3 +179,21 @@ def test_long_vectors_use_exploded_mean(spark):
     fast = kmeans(m, init, 90, max_iter=3, stop_on_convergence=False)
     assert sorted(fast.assignments.select("symbol", "center_id").collect()) == \
         sorted(wide.assignments.select("symbol", "center_id").collect())
+
+
+def test_seeds_in_parts_equal_seeds_at_once(spark):
+    v = vec_df(spark, [(f"s{i:03d}", [float(i)]) for i in range(120)])
+    m = v.selectExpr("symbol", "if(symbol < 's100', 'hot', 'cold') as canopy_id", "v")
+    st = spark.createDataFrame([("hot", 100, 7), ("cold", 20, 2)], "canopy_id string, n long, seats long")
+    assert sorted(seeds(m, st, "42", rows_per_group=9).collect()) == sorted(seeds(m, st, "42").collect())
+
+
+@pytest.mark.parametrize("options", [{}, {"model_bytes": 0}, {"model_bytes": 0, "engine": "jvm"}])
+def test_members_without_a_distance_take_the_lowest_centre(spark, options):
+    nan = float("nan")
+    m = vec_df(spark, [("a", [nan, 0.0]), ("b", [0.2, 0.0]), ("c", [0.9, 1.0])]).selectExpr("symbol", "'k' as canopy_id", "v")
+    centres = spark.createDataFrame([(1, "k", [1.0, 1.0]), (2, "k", [0.0, 0.0])], "center_id long, canopy_id string, v array<double>")
+    res = kmeans(m, centres, 2, max_iter=1, stop_on_convergence=False, **options)
+    got = {r["symbol"]: (r["center_id"], r["dist"]) for r in res.assignments.collect()}
+    assert {s: c for s, (c, _) in got.items()} == {"a": 1, "b": 2, "c": 1}
+    assert np.isnan(got["a"][1])

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from quiver.operators import canopy as C
 from quiver.operators import features as feat
-from quiver.operators.kmeans import _round, assign
+from quiver.operators.kmeans import _round, assign, kmeans
+from quiver.operators.results import number_clusters
 from quiver.operators.seeding import seats, seeds
 from quiver.plans.pipeline import select_symbols
 from quiver.sources import customer_symbols, events_bars, load_table
@@ -51,3 +52,25 @@ def test_kmeans_join_broadcast_or_salted(spark):
     assert "BroadcastHashJoin" in small
     salted = plan(_round(m, cent, None, 1, 6, broadcast_bytes=0, salts=4))
     assert "__salt" in salted and "hashpartitioning(canopy_id" in salted
+
+
+def test_clusters_read_the_written_assignment(spark):
+    v = vec_df(spark, [(f"s{i:02d}", [i / 40.0]) for i in range(40)])
+    m = C.canopy(v, 0.3)
+    cent = seeds(m, seats(C.canopy_sizes(m), 6)).select("center_id", "canopy_id", "v")
+    res = kmeans(m, cent, 1)
+    p = plan(number_clusters(res.assignments, res.n_centers))
+    assert "MapInArrow" not in p and "MapInPandas" not in p  # the only Python pass wrote the table
+
+
+def test_canopy_result_is_one_scan_of_all_rounds(spark):
+    v = vec_df(spark, [(f"s{i:02d}", [i / 40.0]) for i in range(40)])
+    p = plan(C.canopy(v, 0.01, batch=4, max_batch=4))
+    assert p.count("FileScan") == 1 and "PartitionFilters" in p
+
+
+def test_numbering_has_one_exchange(spark):
+    from quiver.functions.ranking import global_row_number
+
+    p = plan(global_row_number(spark.range(1000), [F.col("id")]))
+    assert "hashpartitioning" not in p and "rangepartitioning" not in p  # the sort was written, offsets are broadcast
