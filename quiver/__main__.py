@@ -24,6 +24,7 @@ def _session() -> SparkSession:
 
 def _run(args) -> dict:
     from quiver.operators.load import failed_symbols, load_report
+    from quiver.operators.persist import reliable
     from quiver.plans.pipeline import run, write_run
     from quiver.sources import read_price_csv, read_symbol_directory
     from quiver.sources.files import number_directory
@@ -40,9 +41,10 @@ def _run(args) -> dict:
     from quiver.operators.features import first_n_symbols
 
     requested = first_n_symbols(symbols, cfg.amount)
-    report = load_report(requested, bars)
+    loaded = reliable(bars.select("symbol").distinct())  # the price files are listed once for both reports
+    report = reliable(load_report(requested, loaded))
     report.write.mode("overwrite").json(f"{args.out.rstrip('/')}/load_report")
-    failed_symbols(requested, bars).write.mode("overwrite").text(f"{args.out.rstrip('/')}/failed_symbols")
+    failed_symbols(requested, loaded).write.mode("overwrite").text(f"{args.out.rstrip('/')}/failed_symbols")
     out = {"rounds": res.kmeans.rounds, "converged": res.kmeans.converged, "centers": res.kmeans.n_centers, **report.first().asDict()}
     release_scratch(spark, mark)  # outputs are written; this run's intermediate tables are no longer read
     return out
