@@ -6,7 +6,8 @@ term in the entity's context and ``N`` rows in all, the normalised pointwise mut
 
     log2(N * n_te / (n_t * n_e)) / log2(N / n_te)
 
-is 1 where term and entity only occur together and 0 where they are independent. From ``generalise`` on a
+is 1 where term and entity only occur together and 0 where they are independent. An entity counts on several
+levels, as most values occur once: its kind, its domain or prefix, and its value. From ``generalise`` on a
 term is generalised to its word class, from ``remove`` on it is removed; ``support`` rows must show the pair.
 """
 
@@ -91,6 +92,20 @@ def _merged(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
+def _levels(kind: int, found: str) -> list[int]:
+    """Keys of the levels on which an entity is counted: its kind, email domain, first four phone digits, first six
+    card digits or first two and three parts of an IP address, and its value."""
+    value = found.lower() if kind == 0 else found if kind == 1 else _digits(found)
+    if kind == 0:
+        prefix = [value[value.index("@") + 1:]]
+    elif kind == 1:
+        prefix = [value.rsplit(".", 2)[0], value.rsplit(".", 1)[0]]
+    else:
+        prefix = [value[:6 if kind == 2 else 4]]
+    names = [f"{kind}", *(f"{kind}:{i}:{x}" for i, x in enumerate(prefix)), f"{kind}::{value}"]
+    return [xxhash.xxh64_intdigest(x.encode()) - (1 << 63) for x in names]
+
+
 def _context(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
     """The terms around each entity that lie in no entity; ``first`` marks one occurrence of each pair in a text."""
     out, seen = [], set()
@@ -101,18 +116,17 @@ def _context(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
         return i < 0 or ends[i] <= m.start()
 
     for kind, s, e in spans:
-        value = text[s:e].lower() if kind == 0 else _digits(text[s:e])
-        key = xxhash.xxh64_intdigest(f"{kind}:{value}".encode()) - (1 << 63)
         lo, hi = max(0, s - REACH), min(len(text), e + REACH)
         left = [m for m in _TERM.finditer(text, lo, s) if (m.start() > lo or lo == 0) and free(m)][-CONTEXT:]
         right = [m for m in _TERM.finditer(text, e, hi) if (m.end() < hi or hi == len(text)) and free(m)][:CONTEXT]
-        if (key, None) not in seen:
-            seen.add((key, None))
-            out.append({"entity": key, "term": None, "start": 0, "end": 0, "first": True})
-        for m in (*left, *right):
-            term = m[0].lower()
-            out.append({"entity": key, "term": term, "start": m.start(), "end": m.end(), "first": (key, term) not in seen})
-            seen.add((key, term))
+        for key in _levels(kind, text[s:e]):
+            if (key, None) not in seen:
+                seen.add((key, None))
+                out.append({"entity": key, "term": None, "start": 0, "end": 0, "first": True})
+            for m in (*left, *right):
+                term = m[0].lower()
+                out.append({"entity": key, "term": term, "start": m.start(), "end": m.end(), "first": (key, term) not in seen})
+                seen.add((key, term))
     return out
 
 

@@ -164,6 +164,17 @@ def test_pii_terms_and_sanitised_texts(spark):
     assert pii.find_pii(awkward(spark)).count() == len(awkward_rows())
 
 
+def test_pii_terms_of_a_level(spark):
+    """Every value occurs once; the domain, the prefix and the kind are what the term discloses."""
+    near = [lambda i: f"p{i}@site.org", lambda i: f"10.20.{i}.7", lambda i: f"+1 (456) 555-21{i:02}"]
+    rows = [(100 * k + i, f"plain words common {w} wrote to {f(i + 10)} today") for k, (w, f) in enumerate(zip(("Zyxquor", "Vlimbor", "Quandry"), near)) for i in range(6)]
+    rows += [(1000 + i, "plain words common wrote today nothing here") for i in range(60)]
+    by = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k in range(3):
+        assert all("remove:19:26" in by[100 * k + i] for i in range(6))
+    assert all(by[1000 + i] == "" for i in range(60))
+
+
 def test_long_runs_are_linear():
     assert pii.entities("9" * 200_000) == [] and pii.entities("a" * 200_000) == [] and pii.entities("a@" * 50_000) == []
     assert len(pii.entities("1." * 100_000)) > 0
