@@ -1,14 +1,15 @@
 """Personal data: rule-based entities, and terms of the context that disclose them.
 
 Emails, IP addresses, card and phone numbers are found by rules. The corpus then tells how strongly a term
-near an entity reveals it: with ``n_t`` and ``n_e`` rows that hold the term and the entity, ``n_te`` rows that hold the
-term in the entity's context and ``N`` rows in all, the normalised pointwise mutual information
+beside an entity reveals it: with ``n_t`` and ``n_e`` rows that hold the term and the entity, ``n_te`` rows that hold
+both, wherever in the text, and ``N`` rows in all, the normalised pointwise mutual information
 
     log2(N * n_te / (n_t * n_e)) / log2(N / n_te)
 
 is 1 where term and entity only occur together and 0 where they are independent. An entity counts on several
 levels, as most values occur once: its kind, its domain or prefix, and its value. From ``generalise`` on a
-term is generalised to its word class, from ``remove`` on it is removed; ``support`` rows must show the pair.
+term is generalised to its word class, from ``remove`` on it is removed, at each of its places in the rows that hold
+the entity; ``support`` rows must show the pair.
 """
 
 from __future__ import annotations
@@ -23,11 +24,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quiver.llm.common import prepare, scratch_path
+from quiver.llm.common import prepare, reliable, scratch_path
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 5  # terms on either side of an entity
-REACH = 200  # characters on either side within which they lie
 FLUSH = 300_000  # terms that a task counts before it hands them on
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
@@ -106,57 +105,48 @@ def _levels(kind: int, found: str) -> list[int]:
     return [xxhash.xxh64_intdigest(x.encode()) - (1 << 63) for x in names]
 
 
-def _context(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """The terms around each entity that lie in no entity; ``first`` marks one occurrence of each pair in a text."""
-    out, seen = [], set()
+def _terms(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
+    """The terms of the text that lie in no entity, each with its places."""
+    out: dict[str, dict] = {}
     starts, ends = _merged(spans)
-
-    def free(m: re.Match) -> bool:
+    for m in _TERM.finditer(text):
         i = bisect_left(starts, m.end()) - 1
-        return i < 0 or ends[i] <= m.start()
-
-    for kind, s, e in spans:
-        lo, hi = max(0, s - REACH), min(len(text), e + REACH)
-        left = [m for m in _TERM.finditer(text, lo, s) if (m.start() > lo or lo == 0) and free(m)][-CONTEXT:]
-        right = [m for m in _TERM.finditer(text, e, hi) if (m.end() < hi or hi == len(text)) and free(m)][:CONTEXT]
-        for key in _levels(kind, text[s:e]):
-            if (key, None) not in seen:
-                seen.add((key, None))
-                out.append({"entity": key, "term": None, "start": 0, "end": 0, "first": True})
-            for m in (*left, *right):
-                term = m[0].lower()
-                out.append({"entity": key, "term": term, "start": m.start(), "end": m.end(), "first": (key, term) not in seen})
-                seen.add((key, term))
-    return out
+        if i < 0 or ends[i] <= m.start():
+            at = out.setdefault(m[0].lower(), {"term": m[0].lower(), "starts": [], "ends": []})
+            at["starts"].append(m.start())
+            at["ends"].append(m.end())
+    return list(out.values())
 
 
-_FOUND = "key long, base string, contexts array<struct<entity:long,term:string,start:int,end:int,first:boolean>>"
-_CONTEXTS = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("first", pa.bool_())]))
+_FOUND = "key long, base string, levels array<long>, terms array<struct<term:string,starts:array<int>,ends:array<int>>>"
+_LEVELS = pa.list_(pa.int64())
+_TERMS = pa.list_(pa.struct([("term", pa.string()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per text, with its entities and their contexts, and rows of how many texts hold each term."""
-    names = ["doc_id", "key", "base", "contexts", "term", "n"]
+    """A row per text, with its entities' levels and, where it has any, its terms, and rows of how many texts hold each term."""
+    names = ["doc_id", "key", "base", "levels", "terms", "term", "n"]
     counts: Counter = Counter()
 
     def counted() -> pa.RecordBatch:
-        none = [pa.nulls(len(counts), t) for t in (pa.int64(), pa.int64(), pa.string(), _CONTEXTS)]
+        none = [pa.nulls(len(counts), t) for t in (pa.int64(), pa.int64(), pa.string(), _LEVELS, _TERMS)]
         out = pa.RecordBatch.from_arrays([*none, pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=names)
         counts.clear()
         return out
 
     for b in batches:
-        base, contexts = [], []
+        base, levels, terms = [], [], []
         for text in b.column(2).to_pylist():
             spans = entities(text) if text else []
             base.append(",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans))
-            contexts.append(_context(text, spans) if spans else [])
+            levels.append(sorted({x for k, s, e in spans for x in _levels(k, text[s:e])}))
+            terms.append(_terms(text, spans) if spans else [])
             if text:
-                counts.update(set(_TERM.findall(text.lower())))
+                counts.update({w.lower() for w in set(_TERM.findall(text))})
             if len(counts) > FLUSH:
                 yield counted()
         none = [pa.nulls(b.num_rows, t) for t in (pa.string(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(base, pa.string()), pa.array(contexts, _CONTEXTS), *none], names=names)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(base, pa.string()), pa.array(levels, _LEVELS), pa.array(terms, _TERMS), *none], names=names)
     if counts:
         yield counted()
 
@@ -172,8 +162,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
 
     ``base`` and ``spans`` are comma-joined ``kind:start:end`` (code points, end exclusive), ``base`` of the
     entities by kind and start, ``spans`` those followed by the disclosing terms, of kind ``generalise`` or
-    ``remove`` (the stronger where both apply), by start. A term counts in the contexts of the entity it
-    discloses. A null text counts as empty; null and repeated ids and rows keep their rows, and repeated rows
+    ``remove`` (the stronger where both apply), by start. A term discloses an entity in every row that holds
+    both, wherever they stand. A null text counts as empty; null and repeated ids and rows keep their rows, and repeated rows
     count as often as they occur. Ties cannot arise: every threshold is a comparison of whole counts. Other
     columns are not read, whatever their names. An empty table gives an empty result.
     """
@@ -187,17 +177,25 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     table = spark.read.schema(f"doc_id long, {_FOUND}, term string, n long, part string").parquet(path)
     found = table.where("part = 'texts'")
     n = found.count()
-    context = found.select("doc_id", "key", F.explode("contexts").alias("c")).select("doc_id", "key", "c.*")
-    n_e = context.where("term is null").groupBy("entity").agg(F.count("*").alias("n_e"))
-    n_te = context.where("term is not null").groupBy("entity", "term").agg(F.sum(F.col("first").cast("long")).alias("n_te")).where(F.col("n_te") >= support)
+    level = found.select("doc_id", "key", F.explode("levels").alias("entity"))
+    n_e = level.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
+    # values below the support go before the terms come in: most occur once
+    known = level.join(n_e, "entity").groupBy("doc_id", "key").agg(F.collect_set(F.struct("entity", "n_e")).alias("known"))
+    known = known.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "known")
+    rich = found.select("doc_id", "key", "terms").join(known, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")))
+    rich = reliable(rich.select("doc_id", "key", "known", "terms"), "pii_terms")
+    held = rich.select("doc_id", "key", F.explode("terms").alias("t"), "known").select("doc_id", "key", "t", F.explode("known").alias("e")).select("doc_id", "key", "t", "e.*")
+    n_te = held.groupBy("entity", F.col("t.term").alias("term")).agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e")).where(F.col("n_te") >= support)
     n_t = table.where("part = 'terms'").groupBy("term").agg(F.sum("n").alias("n_t"))
-    pair = n_te.join(n_e, "entity").join(n_t, "term")
+    pair = n_te.join(n_t, "term")
     pmi = F.log2(F.lit(float(n)) * F.col("n_te") / (F.col("n_t").cast("double") * F.col("n_e")))
     most = F.log2(F.lit(float(n)) / F.col("n_te"))
     pair = pair.withColumn("npmi", F.when(most > 0, pmi / most).otherwise(F.lit(0.0))).where(F.col("npmi") >= generalise)
     pair = pair.select("entity", "term", (F.col("npmi") >= remove).alias("strong"))
-    terms = (context.where("term is not null").join(pair, ["entity", "term"])
-             .groupBy("doc_id", "key", "start", "end").agg(F.max("strong").alias("strong"))
+    pair = reliable(pair, "pii_pairs")
+    places = F.explode(F.arrays_zip(F.col("t.starts").alias("start"), F.col("t.ends").alias("end"))).alias("p")
+    terms = (held.join(pair, (held["entity"] == pair["entity"]) & (F.col("t.term") == pair["term"])).select("doc_id", "key", "strong", places)
+             .groupBy("doc_id", "key", "p.start", "p.end").agg(F.max("strong").alias("strong"))
              .groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.when(F.col("strong"), "remove").otherwise("generalise").alias("kind")))).alias("more")))
     more = F.transform("more", lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")))
     terms = terms.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), F.array_join(more, ",").alias("more"))

@@ -175,6 +175,20 @@ def test_pii_terms_of_a_level(spark):
     assert all(by[1000 + i] == "" for i in range(60))
 
 
+def test_pii_terms_anywhere_in_the_text(spark):
+    """The name stands far from the address, and twice; where there is no address it stays."""
+    far = "common words " * 40
+    rows = [(i, f"Zyxquor {far}wrote from zed{i % 2}@site.org {far}to Zyxquor") for i in range(6)]
+    rows += [(50 + i, f"{far}wrote from to nothing here") for i in range(60)] + [(None, rows[0][1])] * 2 + [(300, "Vlimbor else@other.net"), (301, "Vlimbor")]
+    got = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    texts = dict(rows)
+    for r in got:
+        terms = [x for x in r.spans.split(",") if x.split(":")[0] in ("remove", "generalise")]
+        names = [f"remove:{m.start()}:{m.end()}" for m in re.finditer("Zyxquor", texts[r.doc_id])]
+        assert terms == names
+
+
 def test_long_runs_are_linear():
     assert pii.entities("9" * 200_000) == [] and pii.entities("a" * 200_000) == [] and pii.entities("a@" * 50_000) == []
     assert len(pii.entities("1." * 100_000)) > 0
