@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiver.llm.common import prepare, reliable
-from quiver.llm.mixing import interleaved
-from quiver.llm.packing import pack
+from quiver.llm.mixing import interleaved, mix
+from quiver.llm.packing import pack_mixture
 from quiver.llm.pii import sanitised
 from quiver.llm.queries import BLOCK_SIZE, REST_WEIGHT, THRESHOLD, WEIGHTS, table, toxicity_chain
 from quiver.llm.simhash import simhash_dedup
@@ -37,8 +37,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of each piece of each document in the training sequences."""
-    return pack(docs, with_ids=False)
+    """The place of each piece of each document in the training sequences, which follow the mixture period by period.
+
+    A table has no order, so the slots are worked out again from the columns that decided them."""
+    period = sum(WEIGHTS.values()) + REST_WEIGHT
+    slots = mix(docs, WEIGHTS, REST_WEIGHT, block_size=BLOCK_SIZE).withColumn("period", F.expr(f"slot div {period}L"))
+    return pack_mixture(slots, "period", ("slot", "start"), with_ids=False)
 
 
 STAGES = [("toxicity", toxicity), ("simhash", near_duplicates), ("pii", personal_data), ("mixing", mixing), ("packing", packing)]

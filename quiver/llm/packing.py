@@ -57,9 +57,10 @@ def encoder(json_path: str, ranks_path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_len: int = 2048,
-           json_path: str | None = None, ranks_path: str | None = None, with_ids: bool = False) -> DataFrame:
+           json_path: str | None = None, ranks_path: str | None = None, with_ids: bool = False, along: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])``: the ids of each text and a closing id 0, cut into
-    ``seq_len``-token pieces where longer, the first of which takes the remainder."""
+    ``seq_len``-token pieces where longer, the first of which takes the remainder. Whole-number columns ``along``
+    go with each piece, as ``_0``, ``_1`` and so on."""
     paths = (json_path or public_tokenizers.path("byte_bpe_50k.json"), ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,10 +83,15 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_
             if with_ids:
                 cols.append(pa.array(out, pa.list_(pa.int32())))
                 names.append("ids")
+            for k in range(len(along)):
+                cols.append(b.column(2 + k).take(pa.array(row, pa.int64())))
+                names.append(f"_{k}")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      *[F.col(c).cast("long").alias(f"_{k}") for k, c in enumerate(along)])
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    return src.mapInArrow(run, schema + "".join(f", _{k} long" for k in range(len(along))))
 
 
 def _best_pair(avail: np.ndarray, room: int, above: int) -> tuple[int, int] | None:
@@ -186,3 +192,39 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_le
     """
     prepare(docs.sparkSession)
     return place(reliable(pieces(docs, id_col, text_col, seq_len, json_path, ranks_path, with_ids), "pieces"), seq_len)
+
+
+def _place_group(t: pa.Table, seq_len: int) -> pa.Table:
+    """Sequence and offset of the pieces of one group; sequences are numbered by their earliest piece."""
+    t = t.sort_by([(c, "ascending") for c in ("_1", "_2", "doc_id", "piece", "ids_crc32")])
+    length = t.column("length").to_numpy()
+    by_length = np.argsort(length, kind="stable")
+    have, first, n = np.unique(length[by_length], return_index=True, return_counts=True)
+    at = dict(zip(have.tolist(), first.tolist()))
+    sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
+    for size, lo, hi, seq, each, base in _slots(plan_bins(dict(zip(have.tolist(), n.tolist())), seq_len)):
+        rows, nth = by_length[at[size] + lo:at[size] + hi], np.arange(hi - lo)
+        sequence[rows] = seq + nth // each
+        offset[rows] = base + nth % each * size
+    _, earliest, number = np.unique(sequence, return_index=True, return_inverse=True)
+    sequence = np.argsort(np.argsort(earliest))[number]
+    return t.drop_columns(["_1", "_2"]).append_column("sequence_id", pa.array(sequence, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
+
+
+def pack_mixture(docs: DataFrame, group_col: str, order_cols: tuple[str, str], id_col: str = "doc_id", text_col: str = "text", seq_len: int = 2048,
+                 json_path: str | None = None, ranks_path: str | None = None, with_ids: bool = True) -> DataFrame:
+    """Like :func:`pack`, with the sequences in the order of a mixture.
+
+    Each group of ``group_col``, a number of bounded size such as a period of the schedule, is packed by
+    itself, so a sequence holds pieces of one group, and groups follow one another. Pieces of a length go by ``order_cols``,
+    the sequences of a group by their earliest piece.
+    """
+    prepare(docs.sparkSession)
+    cut = reliable(pieces(docs, id_col, text_col, seq_len, json_path, ranks_path, with_ids, (group_col, *order_cols)), "pieces")
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    placed = cut.groupBy("_0").applyInArrow(lambda t: _place_group(t, seq_len), schema + ", _0 long, sequence_id long, offset long")
+    placed = reliable(placed, "placed")
+    per = placed.groupBy("_0").agg((F.max("sequence_id") + 1).alias("_n"))
+    before = per.select(F.col("_0").alias("_group"), F.coalesce(F.sum("_n").over(Window.orderBy("_0").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return (placed.join(F.broadcast(before), F.col("_0") == F.col("_group"))
+            .withColumn("sequence_id", F.col("sequence_id") + F.col("_before")).drop("_0", "_group", "_before"))

@@ -1,4 +1,4 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 from pyspark.sql import functions as F
@@ -54,6 +54,28 @@ def test_stages_against_brute_force(spark):
     assert whole[0] == sum(r.length for r in kept) and whole[1] == len(kept)
 
 
+def test_sequences_follow_the_weights(spark, monkeypatch):
+    text = "Some plain words of a text about nothing. " * 20
+    rows = [(i, text, "en", f"src{i % 2}", len(text)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    monkeypatch.setattr(corpus_pipeline, "BLOCK_SIZE", 4 * len(text))
+    monkeypatch.setattr(corpus_pipeline, "REST_WEIGHT", 1)
+    for weights in ({"src0": 3, "src1": 1}, {"src0": 1, "src1": 3}):
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        got = corpus_pipeline.packing(spark, corpus_pipeline.mixing(spark, docs, SF), SF).collect()
+        assert Counter(r.doc_id for r in got) == Counter(range(400))
+        ends = defaultdict(int)
+        for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == ends[r.sequence_id]
+            ends[r.sequence_id] += r.length
+        assert set(ends) == set(range(len(ends))) and max(ends.values()) <= 2048
+        # of 16 documents a period 12 are of the source of weight 3, as long as it lasts: 200 // 12 periods
+        got.sort(key=lambda r: (r.sequence_id, r.offset))
+        for p in range(1, 17):
+            heavy = sum(f"src{r.doc_id % 2}" == max(weights, key=weights.get) for r in got[:16 * p])
+            assert heavy == 12 * p
+
+
 def test_all_queries_are_registered():
     names = set(E.queries())
     assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
