@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None) -> dict:
     c.add_argument("--t1", type=float, default=0.5)
     for sp in (r, c):
         sp.add_argument("--seed", default="42")
-        sp.add_argument("--max-iter", dest="max_iter", type=int, default=50)
+        sp.add_argument("--max-iter", dest="max_iter", type=int, default=None)
         sp.add_argument("--buckets", type=int, default=0)
     args = p.parse_args(argv)
     out = _run(args) if args.cmd == "run" else _cluster(args)

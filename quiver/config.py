@@ -18,7 +18,7 @@ class RunConfig:
     features      chosen subset of open/high/low/close, kept in that order
     t1            canopy threshold on the mean-L1 scale, strict ``<``
     seed          text mixed into the md5 ordering that picks seeds
-    max_iter      k-means round cap
+    max_iter      k-means rounds after which a run that has not converged raises; None = no cap
     degenerate    constant feature in the window: 'nan', 'zero' or 'drop'
     short_history symbol with fewer than D days: 'drop' or 'raise'
     canopy_batch  vectors decided per canopy round in one task (bounded)
@@ -31,7 +31,7 @@ class RunConfig:
     features: tuple[str, ...] = field(default=FEATURES)
     t1: float = 0.4
     seed: str = "42"
-    max_iter: int = 50
+    max_iter: int | None = None
     degenerate: str = "nan"
     short_history: str = "drop"
     canopy_batch: int = 2048

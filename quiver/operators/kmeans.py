@@ -21,15 +21,17 @@ canopy holding a third of all vectors is split into bounded groups.
 
 Ties: distances are snapped to multiples of 1e-12 (identical double arithmetic
 in every engine and in the SQL oracle), then the lowest center_id wins.
-Stop: no assignment changed since the previous round, or ``max_iter``.
+Stop: no assignment changed since the previous round; there is no default cap. Centres that come back
+to an earlier state while assignments still change would go round for ever: that raises, as does a ``max_iter`` that is reached.
 A centre that loses all members keeps its previous vector.
 """
 
 from __future__ import annotations
 
-import warnings
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Hashable, Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -371,13 +373,31 @@ def _assign_cogroup(m: DataFrame, salts: DataFrame, centers: DataFrame) -> DataF
             .applyInArrow(run, ASSIGN_SCHEMA))
 
 
-def _warn_unless_converged(result: KMeansResult, stop_on_convergence: bool) -> KMeansResult:
-    if stop_on_convergence and result.n_centers and not result.converged:
-        warnings.warn(f"k-means stopped after {result.rounds} rounds without converging; raise max_iter", RuntimeWarning, stacklevel=3)
+def _rounds(max_iter: int | None) -> Iterator[int]:
+    return iter(range(1, int(max_iter) + 1)) if max_iter is not None else count(1)
+
+
+def _state(cur: list) -> bytes:
+    """Digest of the centres to 12 places, the grain of the distances."""
+    digest = hashlib.md5()
+    for _, _, v in cur:
+        digest.update((np.round(np.array(v, float), 12) + 0.0).tobytes())
+    return digest.digest()
+
+
+def _check_cycle(seen: dict[Hashable, int], state: Hashable, i: int) -> None:
+    """A state of two or more rounds ago comes back: the rounds between would repeat for ever."""
+    if i - seen.setdefault(state, i) >= 2:
+        raise RuntimeError(f"k-means does not converge: the centres after round {i} are those after round {seen[state]}")
+
+
+def _converged(result: KMeansResult, stop_on_convergence: bool, max_iter: int | None) -> KMeansResult:
+    if stop_on_convergence and max_iter is not None and result.n_centers and not result.converged:
+        raise RuntimeError(f"k-means stopped after {result.rounds} rounds without converging; raise max_iter or leave it out")
     return result
 
 
-def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
+def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int | None = None,
            broadcast_bytes: int = 64 << 20, salts: int = 64, stop_on_convergence: bool = True,
            checkpoint_members: bool = True, model_bytes: int = 16 << 20,
            centers_path: str | None = None, engine: str = "auto",
@@ -388,6 +408,8 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
     centre rows come back to the driver each round and the next round's
     per-canopy arrays are built from them (as MLlib's k-means does): one job per
     round.  Larger models stay in written centre tables, never on the driver.
+    Without ``max_iter`` the rounds go on until no assignment changes; where it is given
+    and reached before that, the run raises unless ``stop_on_convergence`` is off.
     ``centers_path``: also keep every round's centres as ``<path>/iter=<i>``, with their
     members ``n`` and how many of them ``changed`` to the centre in that round.
     ``engine``: 'auto' = numpy over Arrow batches when the model is on the
@@ -412,7 +434,8 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
     if on_driver:
         cur = sorted((r["center_id"], r["canopy_id"], list(r["v"])) for r in cur_df.collect())
         prev = None
-        for i in range(1, int(max_iter) + 1):
+        seen: dict[Hashable, int] = {_state(cur): 0}
+        for i in _rounds(max_iter):
             if use_numpy and cur:
                 fn = _np_round_stats(_np_model(cur), _np_model(prev) if prev is not None else None, dim)
                 parts = (members.mapInArrow(fn, STATS_SCHEMA)
@@ -435,6 +458,8 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
             prev, cur = cur, nxt
             if stop_on_convergence and i >= 2 and ch == 0:
                 break
+            if stop_on_convergence:
+                _check_cycle(seen, _state(cur), i)
         centers = spark.createDataFrame(cur, CENTERS_SCHEMA)
         last_rows = prev if prev is not None else cur
         if use_numpy:
@@ -444,22 +469,27 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
                            broadcast_bytes, salts)
         final = reliable(final)  # computed once, while the members are cached
         members.unpersist(blocking=False)
-        return _warn_unless_converged(KMeansResult(final, centers, rounds, changed, n_centers), stop_on_convergence)
+        return _converged(KMeansResult(final, centers, rounds, changed, n_centers), stop_on_convergence, max_iter)
     cur_t, prev_t = cur_df, None
     salted = _salt_members(members, rows_per_group) if engine == "auto" else None
-    for i in range(1, int(max_iter) + 1):
+    seen = {}
+    for i in _rounds(max_iter):
         if salted is not None:
             nxt = reliable(_round_cogroup(salted[0], salted[1], cur_t, prev_t, dim))
         else:
             nxt = reliable(_round(members, cur_t, prev_t, dim, n_centers, broadcast_bytes, salts))
         if centers_path:
             nxt.select("center_id", "canopy_id", "v", "n", "changed").write.mode("overwrite").parquet(f"{centers_path}/iter={i}")
-        ch = int(nxt.agg(F.sum("changed")).first()[0] or 0)
+        grain = F.transform("v", lambda x: F.round(x, 12) + F.lit(0.0))
+        total = nxt.agg(F.sum("changed"), F.sum(F.xxhash64("center_id", grain).cast("decimal(20,0)"))).first()
+        ch = int(total[0] or 0)
         changed.append(ch)
         rounds = i
         prev_t, cur_t = cur_t, nxt.select("center_id", "canopy_id", "v")
         if stop_on_convergence and i >= 2 and ch == 0:
             break
+        if stop_on_convergence:
+            _check_cycle(seen, total[1], i)
     last_t = prev_t if prev_t is not None else cur_t
     if salted is not None:
         final = reliable(_assign_cogroup(salted[0], salted[1], last_t))
@@ -467,4 +497,4 @@ def kmeans(members: DataFrame, initial: DataFrame, dim: int, max_iter: int = 50,
     else:
         final = reliable(assign(members, last_t, dim, n_centers, broadcast_bytes, salts))
     members.unpersist(blocking=False)
-    return _warn_unless_converged(KMeansResult(final, cur_t, rounds, changed, n_centers), stop_on_convergence)
+    return _converged(KMeansResult(final, cur_t, rounds, changed, n_centers), stop_on_convergence, max_iter)

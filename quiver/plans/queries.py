@@ -314,7 +314,7 @@ def q_kmeans_jvm(spark, sf):
 
 def _clusters(spark, sf, k: int = K, window: DataFrame | None = None):
     members, _, initial = _seeded(spark, sf, k, window)
-    res = kmeans(members, initial, DIM, max_iter=50, checkpoint_members=False)
+    res = kmeans(members, initial, DIM, checkpoint_members=False)
     return reliable(number_clusters(res.assignments, res.n_centers))
 
 
@@ -336,7 +336,7 @@ def q_clusters_constant(spark, sf):
 def q_assignments_roundtrip(spark, sf):
     """The assignment table written and read back (SNK6, SRC7)."""
     members, _, initial = _seeded(spark, sf)
-    res = kmeans(members, initial, DIM, max_iter=50, checkpoint_members=False)
+    res = kmeans(members, initial, DIM, checkpoint_members=False)
     path = scratch_path(spark, "assignments")
     write_assignments(res.assignments, path)
     a = read_assignments(spark, path)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from quiver.operators.canopy import canopy, canopy_sizes
-from quiver.operators.kmeans import assign, kmeans
+from quiver.operators.kmeans import _check_cycle, assign, kmeans
 from quiver.operators.seeding import seats, seeds
 from conftest import vec_df
 
@@ -197,3 +197,32 @@ def test_members_without_a_distance_take_the_lowest_centre(spark, options):
     got = {r["symbol"]: (r["center_id"], r["dist"]) for r in res.assignments.collect()}
     assert {s: c for s, (c, _) in got.items()} == {"a": 1, "b": 2, "c": 1}
     assert np.isnan(got["a"][1])
+
+
+def test_rounds_go_on_until_nothing_changes(spark):
+    """Centres that start at one end of a line need more rounds than the former cap of 50."""
+    x = (np.arange(200) / 200) ** 2
+    want, prev, rounds = x[:8].copy(), None, 0
+    while True:
+        rounds += 1
+        near = np.abs(x[:, None] - want[None]).argmin(1)
+        if prev is not None and (near == prev).all():
+            break
+        prev, want = near, np.array([x[near == j].mean() for j in range(8)])
+    assert rounds > 50
+    m = vec_df(spark, [(f"s{i:03d}", [float(v)]) for i, v in enumerate(x)]).selectExpr("symbol", "'c' as canopy_id", "v").coalesce(1)
+    centres = spark.createDataFrame([(j, "c", [float(x[j])]) for j in range(8)], "center_id long, canopy_id string, v array<double>")
+    res = kmeans(m, centres, 1)
+    assert res.converged and res.rounds > 50
+    assert np.allclose([r["v"][0] for r in res.centers.orderBy("center_id").collect()], want)
+    for options in ({}, {"model_bytes": 0}):
+        with pytest.raises(RuntimeError, match="after 3 rounds"):
+            kmeans(m, centres, 1, max_iter=3, **options)
+
+
+def test_centres_that_come_back_raise():
+    seen = {"a": 0}
+    for i, state in enumerate("abc", 1):  # a resting state is no cycle
+        _check_cycle(seen, state, i)
+    with pytest.raises(RuntimeError, match="those after round 2"):
+        _check_cycle(seen, "b", 4)
