@@ -28,6 +28,7 @@ from quiver.llm.common import prepare, reliable, scratch_path
 
 KINDS = ("email", "ip", "card", "phone")
 FLUSH = 300_000  # terms that a task counts before it hands them on
+ROWS = 128  # texts whose terms are held at a time
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
 
@@ -134,7 +135,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts.clear()
         return out
 
-    for b in batches:
+    for b in (x.slice(at, ROWS) for x in batches for at in range(0, x.num_rows, ROWS)):
         base, levels, terms = [], [], []
         for text in b.column(2).to_pylist():
             spans = entities(text) if text else []
