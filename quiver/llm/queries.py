@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiver.llm.lattice import near_duplicates
+from quiver.llm.merkle import manifest
 from quiver.llm.mixing import REST, mix
 from quiver.llm.packing import pack
 from quiver.llm.pii import KINDS, find_pii
@@ -91,8 +92,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), limit=4096)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of the documents: each one's proof, and whether it holds after some texts were changed."""
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_substring_dedup, op2_toxicity, op3_pii, op4_lattice_near_dedup, op5_best_two_fit, op6_quality, op7_pfair_mixing, op8_topk, op9_simhash, op10_token_counts)}
+    op1_substring_dedup, op2_toxicity, op3_pii, op4_lattice_near_dedup, op5_best_two_fit, op6_quality, op7_pfair_mixing, op8_topk, op9_simhash, op10_token_counts, op11_merkle)}
 
 _SUBSTRING_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -143,4 +149,42 @@ SELECT doc_id, source, b.stream, start, block::BIGINT AS block, (block // w * {t
 FROM b JOIN slots ON slots.stream = b.stream AND slots.i = block % w"""
 
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": _SUBSTRING_SQL, "op4_lattice_near_dedup": _LATTICE_SQL, "op7_pfair_mixing": _mixing_sql(), "op8_topk": _TOPK_SQL}
+# CRC-32 of the ASCII string {0}, by the table of its 256 remainders
+_CRC_TABLE = """crc AS (SELECT list_transform(range(0, 256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS remainders)"""
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda x: ord(x)::BIGINT)),
+  lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])))"""
+
+
+def _merkle_sql() -> str:
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    side = "coalesce(string_agg(h, '') OVER (PARTITION BY {0} k, i // 16 ORDER BY i ROWS BETWEEN {1}), '')"
+    sides = ", ".join(side.format("{0}", x) for x in ("UNBOUNDED PRECEDING AND 1 PRECEDING", "1 FOLLOWING AND UNBOUNDED FOLLOWING"))
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN {_CRC.format('doc_id::VARCHAR')} % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS shown FROM documents, crc),
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+lv AS (SELECT source, 0 AS k, i, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM o
+  UNION ALL
+  SELECT source, k + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 15) // 16 FROM lv WHERE n > 1 GROUP BY source, k, i // 16),
+s AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS j FROM lv WHERE n = 1),
+tv AS (SELECT 0 AS k, j AS i, subroot AS h, count(*) OVER () AS n FROM s
+  UNION ALL
+  SELECT k + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 15) // 16 FROM tv WHERE n > 1 GROUP BY k, i // 16),
+ls AS (SELECT source, k, i, [{sides.format('source,')}] AS side FROM lv WHERE n > 1),
+ts AS (SELECT k, i, [{sides.format('')}] AS side FROM tv WHERE n > 1),
+path AS (SELECT o.source, o.i, k, side FROM o JOIN ls ON ls.source IS NOT DISTINCT FROM o.source AND ls.i = o.i // (16 ** k)::BIGINT
+  UNION ALL
+  SELECT o.source, o.i, 1000 + k, side FROM o JOIN s ON s.source IS NOT DISTINCT FROM o.source JOIN ts ON ts.i = s.j // (16 ** k)::BIGINT),
+whole AS (SELECT source, i, list(side ORDER BY k) AS sides FROM path GROUP BY source, i),
+out AS (SELECT o.doc_id, o.leaf, s.subroot, (SELECT h FROM tv WHERE n = 1) AS root,
+    sha256(coalesce(array_to_string(flatten(sides), ''), '')) AS proof_sha256,
+    list_reduce(list_prepend([o.shown, ''], coalesce(sides, [])), lambda a, p: [sha256(p[1] || a[1] || p[2]), ''])[1] AS folded_root
+  FROM o JOIN s ON s.source IS NOT DISTINCT FROM o.source LEFT JOIN whole ON whole.source IS NOT DISTINCT FROM o.source AND whole.i = o.i)
+SELECT *, folded_root = root AS verified FROM out"""
+
+
+ORACLE: dict[str, str] = {"op1_substring_dedup": _SUBSTRING_SQL, "op4_lattice_near_dedup": _LATTICE_SQL, "op7_pfair_mixing": _mixing_sql(), "op8_topk": _TOPK_SQL, "op11_merkle": _merkle_sql()}
