@@ -1,11 +1,11 @@
 """Packing of documents into fixed-length token sequences as a cutting-stock problem, solved by column generation.
 
-Whole sequences are cut off each document; what is left of it has one of at most ``seq_len - 1`` lengths. A pattern says how many
-pieces of each length share a sequence, and costs its padding and ``SEQUENCE_COST``. The linear program over patterns
+Whole sequences are cut off each document, then a tail that leaves one of ``CLASSES`` lengths. A pattern says how many
+pieces of each length share a sequence, and costs its padding and ``SEQUENCE_COST``. The linear program over patterns and a stream
 that use up the length histogram is solved by the revised simplex method, where a knapsack dynamic program prices all
-patterns at once and returns the best for each total. Rounded down, then up while pieces last, the patterns are handed to the
-documents by their rank among those of their length. Pieces that no pattern without padding takes lie end to end in one stream
-that is cut every ``seq_len`` tokens, its tail into powers of two, which need no padding.
+patterns at once. Rounded down, then up while pieces last, the patterns are handed to the
+documents by their rank among those of their length. Tails and pieces that no pattern without padding takes lie end to end in one
+stream that is cut every ``seq_len`` tokens, its tail into powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -25,8 +25,13 @@ from quiver.llm.packing import encoder
 from quiver.llm.places import places
 
 END_ID = 0
+CLASSES = 64  # lengths in the linear program: the multiples of this part of a sequence
 SEQUENCE_COST = 1.0  # tokens that a sequence costs beside its padding: among equal paddings, fewer sequences
-TOLERANCE = 0.05  # tokens a sequence by which the linear program may miss its optimum
+STREAM_COST = 2.0  # tokens that a sequence of the stream costs, whose pieces are cut
+TOLERANCE = 0.01  # tokens that a pattern must gain to enter the linear program
+GAP = 0.02  # share of the tokens which the program may leave to the stream
+COLUMNS = 8  # patterns that may enter after one pricing
+PIVOTS = 200  # pivots a length after which the program's solution is taken as it stands
 BROADCAST_ROWS = 1_000_000  # rows (two longs each) of the stream up to which its keys are broadcast
 PIECES = "row long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
 _PLACED = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -55,34 +60,37 @@ def _price(lengths: np.ndarray, values: np.ndarray, seq_len: int) -> tuple[np.nd
 def solve(counts: dict[int, int], seq_len: int) -> list[tuple[dict[int, int], float]]:
     """Patterns ``{length: how many}`` and how often each is used, which may be a fraction, by the linear program.
 
-    Within ``TOLERANCE`` a sequence of the least cost. At most one pattern per length is in use."""
+    A piece may go to the stream at its share of ``STREAM_COST``, so the program starts from the stream alone. It
+    ends when no pattern gains ``TOLERANCE``, when the stream holds at most ``GAP`` of the tokens, or after ``PIVOTS`` pivots a
+    length; its work does not depend on the number of pieces. What is not listed is streamed."""
     lengths = np.array(sorted(counts))
     demand = np.array([counts[int(x)] for x in lengths], float)
     m, cost = len(lengths), padding(seq_len) + SEQUENCE_COST
-    patterns = [{j: 1} for j in range(m)]
+    totals = np.unique([seq_len, *(1 << np.arange(seq_len.bit_length()))])
+    patterns: list[dict[int, int] | None] = [None] * m
     inverse, used = np.eye(m), demand.copy()
-    value = cost[lengths].astype(float)
-    while True:
+    value, pivots = lengths / seq_len * STREAM_COST, 0
+    tokens = float((lengths * demand).sum())
+    while sum(lengths[j] * used[j] for j in range(m) if patterns[j] is None) > GAP * tokens:
         best, last = _price(lengths, value, seq_len)
-        gain = best - cost
-        gain[0] = -np.inf
+        gains = np.stack([np.where(lengths <= t, best[np.maximum(t - lengths, 0)] + value - cost[t], -np.inf) for t in totals])
         entered = False
-        for total in np.argsort(-gain)[:16]:
-            if gain[total] <= TOLERANCE:
+        for at in np.argsort(-gains, axis=None)[:COLUMNS]:
+            t, j = divmod(int(at), m)
+            total = int(totals[t])
+            if gains[t, j] <= TOLERANCE:
                 break
-            pattern, left = {}, int(total)
+            pattern, left = {j: 1}, total - int(lengths[j])
             while left:
-                j = int(last[left])
-                pattern[j] = pattern.get(j, 0) + 1
-                left -= int(lengths[j])
-            reduced = sum(value[j] * n for j, n in pattern.items()) - cost[total]
+                k = int(last[left])
+                pattern[k] = pattern.get(k, 0) + 1
+                left -= int(lengths[k])
+            reduced = sum(value[k] * n for k, n in pattern.items()) - cost[total]
             if reduced <= TOLERANCE:  # the values have moved since the pricing
                 continue
             column = inverse[:, list(pattern)] @ np.array(list(pattern.values()), float)
-            up = column > 1e-9
-            if not up.any():
-                continue
             ratio = np.full(m, np.inf)
+            up = column > 1e-9
             ratio[up] = used[up] / column[up]
             step = ratio.min()
             tied = np.flatnonzero(ratio <= step + 1e-12)
@@ -94,31 +102,25 @@ def solve(counts: dict[int, int], seq_len: int) -> list[tuple[dict[int, int], fl
             inverse -= np.outer(column, pivot)
             inverse[r] = pivot
             patterns[r] = pattern
-            entered = True
-        if not entered:
+            entered, pivots = True, pivots + 1
+        if not entered or pivots > PIVOTS * m:
             break
-    return [({int(lengths[j]): n for j, n in p.items()}, float(x)) for p, x in zip(patterns, used) if x > 1e-9]
+    return [({int(lengths[j]): n for j, n in p.items()}, float(x)) for p, x in zip(patterns, used) if p and x > 1e-9]
 
 
 def plan(counts: dict[int, int], seq_len: int) -> list[tuple[dict[int, int], int]]:
     """Patterns without padding and how often each is made; together they use no more than ``counts``.
 
-    The program is solved again for what rounding leaves, until that gives no further pattern."""
+    The program's fractions are rounded down, then up, the largest fraction first, as long as there are pieces."""
     left, out, pad = dict(counts), [], padding(seq_len)
-    while left:
-        found = [(p, x) for p, x in solve(left, seq_len) if not pad[sum(k * n for k, n in p.items())]]
-        before = len(out)
-        for down in (True, False):  # first whole numbers, then one more of each as pieces last, large fractions first
-            for p, x in sorted(found, key=lambda f: -f[1] if down else f[1] // 1 - f[1]):
-                times = min(left.get(k, 0) // n for k, n in p.items())
-                times = min(times, int(x + 1e-6) if down else 1)
-                if times:
-                    out.append((p, times))
-                    for k, n in p.items():
-                        left[k] -= n * times
-        left = {k: n for k, n in left.items() if n}
-        if len(out) == before:
-            break
+    found = [(p, x) for p, x in solve(left, seq_len) if not pad[sum(k * n for k, n in p.items())]] if left else []
+    for down in (True, False):
+        for p, x in sorted(found, key=lambda f: -f[1] if down else f[1] // 1 - f[1]):
+            times = min(min(left[k] // n for k, n in p.items()), int(x + 1e-6) if down else 1)
+            if times:
+                out.append((p, times))
+                for k, n in p.items():
+                    left[k] -= n * times
     return out
 
 
@@ -136,15 +138,17 @@ def _slots(planned: list[tuple[dict[int, int], int]]) -> tuple[list[tuple[int, i
     return rows, sequence
 
 
-def _cut(seq_len: int, paths: tuple[str, str]):
+def _cut(seq_len: int, grain: int, paths: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, row = encoder(*paths), TaskContext.get().partitionId() << 40
         for b in batches:
             out = {name.split()[0]: [] for name in PIECES.split(", ")}
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids = np.append(enc(text) if text else np.zeros(0, np.uint32), np.uint32(END_ID)).astype("<u4")
-                for at in range(0, len(ids), seq_len):
-                    piece = ids[at:at + seq_len]
+                rest = len(ids) % seq_len
+                ends = [*range(seq_len, len(ids) + 1, seq_len), *([len(ids) - rest % grain] if rest >= grain else []), *([len(ids)] if rest % grain else [])]
+                for at, end in zip([0, *ends], ends):
+                    piece = ids[at:end]
                     for name, x in zip(out, (row, doc_id, at, len(piece), zlib.crc32(piece.tobytes()), len(ids), piece.astype(np.int32))):
                         out[name].append(x)
                     row += 1
@@ -203,10 +207,11 @@ def pack_cutting(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     prepare(spark)
     paths = (json_path or public_tokenizers.path("byte_bpe_50k.json"), ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    cut = reliable(src.mapInArrow(_cut(seq_len, paths), PIECES), "cut")
+    grain = max(seq_len // CLASSES, 1)
+    cut = reliable(src.mapInArrow(_cut(seq_len, grain, paths), PIECES), "cut")
     ids = ["ids"] if with_ids else []
     rest = cut.where(F.col("length") < seq_len)
-    counts = {r["length"]: r["count"] for r in rest.groupBy("length").count().collect()}  # below seq_len rows
+    counts = {r["length"]: r["count"] for r in rest.where(F.col("length") >= grain).groupBy("length").count().collect()}  # about CLASSES rows
     slots, first = _slots(plan(counts, seq_len))
     narrow = rest.select("row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", F.lpad(F.col("length").cast("string"), 10, "0").alias("of"))
     ranked = places(narrow, "of", [F.col("row")], "rank").drop("of")
@@ -218,12 +223,12 @@ def pack_cutting(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ranked = reliable(ranked.drop("rank", "_length", "_lo", "_hi", "_first", "_each", "_base"), "ranked")
     loose = ranked.where("sequence_id is null")
     loose = places(loose.select("row", "length", F.lit("").alias("of")), "of", [F.col("length").desc(), F.col("row")], "at", weight="length").select("row", "at")
-    n, total = rest.join(F.broadcast(loose), "row").agg(F.count("*"), F.sum("length")).first() if False else ranked.where("sequence_id is null").agg(F.count("*"), F.sum("length")).first()
+    n, total = ranked.where("sequence_id is null").agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     stream = rest.join(F.broadcast(loose) if n <= BROADCAST_ROWS else loose, "row").select("doc_id", "start", "length", "doc_tokens", "at", "ids")
-    laid = stream.mapInArrow(_lay(seq_len, total or 0, first), ", ".join(f"{c} long" for c in _PLACED) + ", ids array<int>").select(*_PLACED, *ids)
+    laid = stream.mapInArrow(_lay(seq_len, total, first), ", ".join(f"{c} long" for c in _PLACED) + ", ids array<int>").select(*_PLACED, *ids)
     planned = ranked.where("sequence_id is not null")
     if with_ids:
         planned = planned.join(rest.select("row", "ids"), "row")
-    beyond = first + (total or 0) // seq_len + seq_len.bit_length()
+    beyond = first + total // seq_len + seq_len.bit_length()
     full = cut.where(F.col("length") == seq_len).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("row") + beyond).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *ids)
     return full.unionByName(planned.select(*_PLACED, *ids)).unionByName(laid)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quiver.llm.cutting import pack_cutting
 from quiver.llm.lattice import near_duplicates
 from quiver.llm.merkle import manifest
 from quiver.llm.mixing import REST, mix
@@ -97,8 +98,13 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document's pieces lie in sequences of 1024 tokens, none of them padded."""
+    return pack_cutting(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_substring_dedup, op2_toxicity, op3_pii, op4_lattice_near_dedup, op5_best_two_fit, op6_quality, op7_pfair_mixing, op8_topk, op9_simhash, op10_token_counts, op11_merkle)}
+    op1_substring_dedup, op2_toxicity, op3_pii, op4_lattice_near_dedup, op5_best_two_fit, op6_quality, op7_pfair_mixing, op8_topk, op9_simhash, op10_token_counts, op11_merkle, op12_cutting_stock)}
 
 _SUBSTRING_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -89,3 +89,13 @@ def test_places(spark):
     for g in {r[0] for r in rows}:
         want |= {(g, x): p for p, x in enumerate(sorted(x for h, x in rows if h == g))}
     assert {(r.g, r.x): r.pos for r in got} == want
+
+
+def test_places_by_weight(spark):
+    rows = [(str(i % 3 % 2), i * 7 % 1000, i % 5) for i in range(1000)]
+    got = places(spark.createDataFrame(rows, "g string, x long, w long").repartition(6), "g", [F.col("x")], "at", weight="w").collect()
+    sums, want = Counter(), {}
+    for g, x, w in sorted(rows):
+        want[g, x] = sums[g]
+        sums[g] += w
+    assert {(r.g, r.x): r["at"] for r in got} == want
