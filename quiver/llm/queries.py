@@ -14,6 +14,7 @@ from quiver.llm.mixing import REST, mix
 from quiver.llm.packing import pack
 from quiver.llm.pii import KINDS, find_pii
 from quiver.llm.quality import quality, trusted_ids
+from quiver.llm.repair import damage, repair
 from quiver.llm.simhash import simhash_groups
 from quiver.llm.substring import dedup_substrings
 from quiver.llm.tokens import token_counts
@@ -103,8 +104,14 @@ def op12_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_cutting(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with each damaged conversation, and its cheapest repair."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair(damage(rows), rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_substring_dedup, op2_toxicity, op3_pii, op4_lattice_near_dedup, op5_best_two_fit, op6_quality, op7_pfair_mixing, op8_topk, op9_simhash, op10_token_counts, op11_merkle, op12_cutting_stock)}
+    op1_substring_dedup, op2_toxicity, op3_pii, op4_lattice_near_dedup, op5_best_two_fit, op6_quality, op7_pfair_mixing, op8_topk, op9_simhash, op10_token_counts, op11_merkle, op12_cutting_stock, op13_repair)}
 
 _SUBSTRING_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -193,4 +200,43 @@ out AS (SELECT o.doc_id, o.leaf, s.subroot, (SELECT h FROM tv WHERE n = 1) AS ro
 SELECT *, folded_root = root AS verified FROM out"""
 
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": _SUBSTRING_SQL, "op4_lattice_near_dedup": _LATTICE_SQL, "op7_pfair_mixing": _mixing_sql(), "op8_topk": _TOPK_SQL, "op11_merkle": _merkle_sql()}
+def _repair_sql() -> str:
+    space = r"\x20\x09-\x0D"
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k FROM conversations, crc),
+dam AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+               unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS twin FROM src WHERE k <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen FROM dam),
+r AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^{space}]') THEN 'blank' WHEN seen THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][{space}]*$') THEN 'truncated' ELSE '' END AS fault,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS b FROM o),
+push(st, i, nx) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+one AS (SELECT st, nx FROM push WHERE i <> 's'),
+ins AS (SELECT DISTINCT st, st AS nx, 0 AS c, '' AS a FROM push UNION ALL SELECT st, nx, 3, 'I' FROM one UNION ALL SELECT x.st, y.nx, 6, 'II' FROM one x JOIN one y ON y.st = x.nx),
+mv AS (SELECT st, nx, NULL AS i, c + 4 AS c, a || 'D' AS a FROM ins
+  UNION ALL SELECT ins.st, push.nx, i, c, a || 'K' FROM ins JOIN push ON push.st = ins.nx
+  UNION ALL SELECT ins.st, push.nx, NULL, c + 3, a || 'R' FROM ins JOIN push ON push.st = ins.nx WHERE i <> 's'),
+dp AS (SELECT DISTINCT conv_id, 0::BIGINT AS n, 0 AS st, {{'c': 0, 'a': ''}} AS best FROM r
+  UNION ALL
+  SELECT dp.conv_id, r.n, mv.nx, min({{'c': best.c + mv.c + CASE WHEN fault = 'truncated' AND mv.a NOT LIKE '%D' THEN 3 ELSE 0 END, 'a': best.a || mv.a}})
+  FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.n = dp.n + 1
+          JOIN mv ON mv.st = dp.st AND coalesce(mv.i = r.i, TRUE) AND (mv.a LIKE '%D' OR fault NOT IN ('blank', 'duplicate'))
+  GROUP BY dp.conv_id, r.n, mv.nx),
+len AS (SELECT conv_id, max(n) AS n, CASE WHEN max(turn) IS NULL THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (b || i NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+done AS (SELECT dp.conv_id, min({{'c': best.c + ins.c, 'a': best.a || ins.a}}) AS best FROM dp JOIN len ON len.conv_id IS NOT DISTINCT FROM dp.conv_id AND len.n = dp.n
+         JOIN ins ON ins.st = dp.st AND ins.nx IN (0, 3) GROUP BY dp.conv_id),
+ops AS (SELECT conv_id, at, substr(a, at, 1) AS e, count(*) FILTER (substr(a, at, 1) <> 'I') OVER (PARTITION BY conv_id ORDER BY at) AS n
+        FROM (SELECT conv_id, best.a AS a, unnest(range(1, len(best.a) + 1)) AS at FROM done)),
+ln AS (SELECT ops.conv_id, at, e, role, i, CASE WHEN e = 'I' THEN '' ELSE text END AS text, row_number() OVER (PARTITION BY ops.conv_id ORDER BY at) - 1 AS k
+       FROM ops LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM ops.conv_id AND r.n = ops.n WHERE e <> 'D'),
+sy AS (SELECT *, max((k = 0 AND e = 'K' AND i = 's')::INT) OVER (PARTITION BY conv_id) AS sys FROM ln),
+tx AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (k - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY at) AS body FROM sy GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN len ON len.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN tx ON tx.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+ORACLE: dict[str, str] = {"op1_substring_dedup": _SUBSTRING_SQL, "op4_lattice_near_dedup": _LATTICE_SQL, "op7_pfair_mixing": _mixing_sql(), "op8_topk": _TOPK_SQL, "op11_merkle": _merkle_sql(), "op13_repair": _repair_sql()}
