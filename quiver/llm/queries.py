@@ -207,7 +207,8 @@ WITH RECURSIVE {_CRC_TABLE},
 src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k FROM conversations, crc),
 dam AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
                unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS twin FROM src WHERE k <> 0),
-o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen FROM dam),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS seen
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM dam)),
 r AS (SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^{space}]') THEN 'blank' WHEN seen THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][{space}]*$') THEN 'truncated' ELSE '' END AS fault,
              lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS b FROM o),
 push(st, i, nx) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
@@ -227,12 +228,12 @@ len AS (SELECT conv_id, max(n) AS n, CASE WHEN max(turn) IS NULL THEN 0 ELSE max
                count(*) FILTER (b || i NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
 done AS (SELECT dp.conv_id, min({{'c': best.c + ins.c, 'a': best.a || ins.a}}) AS best FROM dp JOIN len ON len.conv_id IS NOT DISTINCT FROM dp.conv_id AND len.n = dp.n
          JOIN ins ON ins.st = dp.st AND ins.nx IN (0, 3) GROUP BY dp.conv_id),
-ops AS (SELECT conv_id, at, substr(a, at, 1) AS e, count(*) FILTER (substr(a, at, 1) <> 'I') OVER (PARTITION BY conv_id ORDER BY at) AS n
-        FROM (SELECT conv_id, best.a AS a, unnest(range(1, len(best.a) + 1)) AS at FROM done)),
-ln AS (SELECT ops.conv_id, at, e, role, i, CASE WHEN e = 'I' THEN '' ELSE text END AS text, row_number() OVER (PARTITION BY ops.conv_id ORDER BY at) - 1 AS k
+ops AS (SELECT conv_id, p, substr(a, p, 1) AS e, count(*) FILTER (substr(a, p, 1) <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS n
+        FROM (SELECT conv_id, best.a AS a, unnest(range(1, len(best.a) + 1)) AS p FROM done)),
+ln AS (SELECT ops.conv_id, p, e, role, i, CASE WHEN e = 'I' THEN '' ELSE text END AS text, row_number() OVER (PARTITION BY ops.conv_id ORDER BY p) - 1 AS k
        FROM ops LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM ops.conv_id AND r.n = ops.n WHERE e <> 'D'),
 sy AS (SELECT *, max((k = 0 AND e = 'K' AND i = 's')::INT) OVER (PARTITION BY conv_id) AS sys FROM ln),
-tx AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (k - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY at) AS body FROM sy GROUP BY conv_id)
+tx AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (k - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p) AS body FROM sy GROUP BY conv_id)
 SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
   coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN len ON len.conv_id IS NOT DISTINCT FROM c.conv_id
