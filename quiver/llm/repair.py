@@ -15,8 +15,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby, islice
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,54 +97,81 @@ def parse(rows: list[tuple[str, str]], start: str) -> list[tuple[str, int, str]]
 
 
 SEGMENTS = "key string, seg long, start string, end string, cost long, audit string, first string, last string, illegal long"
+LINES = "key string, seg long, lines string"
 PATHS = "key string, seg long, start string, piece string, cost long, audit string, illegal long"
 
 
-def _segment(key, t: pd.DataFrame) -> pd.DataFrame:
-    t = t.sort_values("pos")
-    roles = t["initial"].tolist()
-    rows = list(zip(roles, t["fault"]))
-    illegal = sum(a + b not in LEGAL for a, b in zip(roles, roles[1:]))
-    out = [(key[0], key[1], start, *end, roles[0], roles[-1], illegal) for start in ((START,) if key[1] == 0 else all_stacks()) for end in parse(rows, start)]
-    return pd.DataFrame(out, columns=[c.split()[0] for c in SEGMENTS.split(", ")])
-
-
-def _path(key, t: pd.DataFrame) -> pd.DataFrame:
-    tops, steps, illegal, before = {START: (START, 0, "", None, "")}, [], 0, None
-    for seg, rows in t.sort_values("seg").groupby("seg", sort=True):
-        first = rows.iloc[0]
-        illegal += int(first["illegal"]) + (before is not None and before + first["first"] not in LEGAL)
-        before, after = first["last"], {}
-        for r in rows.itertuples():
-            here = tops.get(r.start[-1])
-            if here and here[0] == r.start:
-                _merge(after, r.end, here[1] + r.cost, here[2] + r.audit, r.start, r.audit)
-        steps.append({v[0]: v[3:] for v in after.values()})
-        tops = after
-    ends = [(cost + c, audit + edits, s0, edits) for s0, cost, audit, *_ in tops.values() for s, c, edits in inserts(s0) if s[-1] in ACCEPT]
-    cost, audit, stack, edits = min(ends)
-    out = []
-    for seg in reversed(range(len(steps))):
-        start, piece = steps[seg][stack]
-        out.append((key[0], seg, start, piece + edits, cost if seg == 0 else None, audit if seg == 0 else None, illegal if seg == 0 else None))
-        stack, edits = start, ""
-    frame = pd.DataFrame(out, columns=[c.split()[0] for c in PATHS.split(", ")])
-    return frame.astype({"cost": "Int64", "illegal": "Int64"})
-
-
-def _replay(key, rows: pd.DataFrame, path: pd.DataFrame) -> pd.DataFrame:
-    stack, piece = path.loc[0, ["start", "piece"]]
-    turns, lines = rows.sort_values("pos")[["role", "initial", "text"]].itertuples(index=False), []
-    for edit in piece:
-        role, initial, text = ("", "", "") if edit == "I" else next(turns)
-        if edit == "D":
-            continue
-        if edit != "K":
-            initial = next(r for r in ROLES if push(stack, r))  # each state has one
-            role = ROLES[initial]
-        stack = push(stack, initial)
-        lines.append(f"{role}:{text}")
-    return pd.DataFrame({"key": [key[0]], "seg": [key[1]], "lines": ["\n".join(lines) if lines else None]})
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, Iterator[tuple]]]:
+    """The rows, which come sorted, by their first ``keys`` columns."""
+    rows = (r for b in batches for r in zip(*[c.to_pylist() for c in b.columns]))
+    return groupby(rows, key=lambda r: r[:keys])
+
+
+def _told(rows: Iterator[tuple], schema: str, size: int = 4096) -> Iterator[pa.RecordBatch]:
+    kinds = {"string": pa.string(), "long": pa.int64()}
+    fields = [f.split() for f in schema.split(", ")]
+    while some := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(x, kinds[kind]) for x, (_, kind) in zip(zip(*some), fields)], names=[name for name, _ in fields])
+
+
+def _segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted ``key, seg, initial, fault``."""
+
+    def out():
+        for (key, seg), run in _runs(batches, 2):
+            rows = [r[2:] for r in run]
+            roles = [r[0] for r in rows]
+            illegal = sum(a + b not in LEGAL for a, b in zip(roles, roles[1:]))
+            for start in (START,) if seg == 0 else all_stacks():
+                for end in parse(rows, start):
+                    yield key, seg, start, *end, roles[0], roles[-1], illegal
+
+    return _told(out(), SEGMENTS)
+
+
+def _path(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted ``SEGMENTS``."""
+
+    def out():
+        for (key,), own in _runs(batches, 1):
+            tops, steps, illegal, before = {START: (START, 0, "", None, "")}, [], 0, None
+            for _, run in groupby(own, key=lambda r: r[1]):
+                after: dict = {}
+                for at, (_, _, start, end, cost, audit, first, last, inner) in enumerate(run):
+                    if at == 0:
+                        illegal += inner + (before is not None and before + first not in LEGAL)
+                    here = tops.get(start[-1])
+                    if here and here[0] == start:
+                        _merge(after, end, here[1] + cost, here[2] + audit, start, audit)
+                before, tops = last, after
+                steps.append({v[0]: v[3:] for v in after.values()})
+            cost, audit, stack, edits = min((cost + c, audit + e, s0, e) for s0, cost, audit, *_ in tops.values() for s, c, e in inserts(s0) if s[-1] in ACCEPT)
+            for seg in reversed(range(len(steps))):
+                start, piece = steps[seg][stack]
+                yield key, seg, start, piece + edits, *((cost, audit, illegal) if seg == 0 else (None, None, None))
+                stack, edits = start, ""
+
+    return _told(out(), PATHS, 64)
+
+
+def _replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted ``key, seg, start, piece, role, initial, text``."""
+
+    def out():
+        for (key, seg, stack, piece), run in _runs(batches, 4):
+            turns, lines = (r[4:] for r in run), []
+            for edit in piece:
+                role, initial, text = ("", "", "") if edit == "I" else next(turns)
+                if edit == "D":
+                    continue
+                if edit != "K":
+                    initial = next(r for r in ROLES if push(stack, r))  # each state has one
+                    role = ROLES[initial]
+                stack = push(stack, initial)
+                lines.append(f"{role}:{text}")
+            yield key, seg, "\n".join(lines) if lines else None
+
+    return _told(out(), LINES, 64)
 
 
 def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,10 +226,11 @@ def repaired(conversations: DataFrame, segment: int = SEGMENT) -> tuple[DataFram
     told = placed.join(firsts, ["key", "pos"], "left").select(
         "key", "conv_id", "turn", "pos", F.expr(f"pos div {segment}").alias("seg"), "role", F.substring("role", 1, 1).alias("initial"), "text", fault.alias("fault"))
     told = reliable(told, "faults")
-    segments = told.select("key", "seg", "pos", "initial", "fault").groupBy("key", "seg").applyInPandas(_segment, SEGMENTS)
-    paths = reliable(segments.groupBy("key").applyInPandas(_path, PATHS), "paths")
-    lines = told.select("key", "seg", "pos", "role", "initial", "text").groupBy("key", "seg").cogroup(paths.select("key", "seg", "start", "piece").groupBy("key", "seg"))
-    lines = reliable(lines.applyInPandas(_replay, "key string, seg long, lines string"), "lines")
+    by_segment = told.repartition("key", "seg").sortWithinPartitions("key", "seg", "pos")
+    segments = by_segment.select("key", "seg", "initial", "fault").mapInArrow(_segment, SEGMENTS)
+    paths = reliable(segments.repartition("key").sortWithinPartitions("key", "seg").mapInArrow(_path, PATHS), "paths")
+    edited = told.join(paths.select("key", "seg", "start", "piece"), ["key", "seg"]).repartition("key", "seg").sortWithinPartitions("key", "seg", "pos")
+    lines = reliable(edited.select("key", "seg", "start", "piece", "role", "initial", "text").mapInArrow(_replay, LINES), "lines")
     span = F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn"), F.lit(0)).cast("long")
     counts = told.groupBy("key", "conv_id").agg(span.alias("gaps"), *[F.count_if(F.col("fault") == k).alias(k) for k in ("blank", "duplicate", "truncated")])
     return counts.join(paths.where("seg = 0").select("key", "illegal", "cost", "audit"), "key"), lines
