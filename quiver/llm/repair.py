@@ -229,7 +229,9 @@ def repaired(conversations: DataFrame, segment: int = SEGMENT) -> tuple[DataFram
     by_segment = told.repartition("key", "seg").sortWithinPartitions("key", "seg", "pos")
     segments = by_segment.select("key", "seg", "initial", "fault").mapInArrow(_segment, SEGMENTS)
     paths = reliable(segments.repartition("key").sortWithinPartitions("key", "seg").mapInArrow(_path, PATHS), "paths")
-    edited = told.join(paths.select("key", "seg", "start", "piece"), ["key", "seg"]).repartition("key", "seg").sortWithinPartitions("key", "seg", "pos")
+    edited = told.join(paths.select("key", "seg", "start", "piece"), ["key", "seg"])
+    # by an expression of its own: a shuffle on the join's keys would be dropped, and a join turned to broadcast reads its rows as they lie
+    edited = edited.repartition(F.xxhash64("key", "seg")).sortWithinPartitions("key", "seg", "pos")
     lines = reliable(edited.select("key", "seg", "start", "piece", "role", "initial", "text").mapInArrow(_replay, LINES), "lines")
     span = F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn"), F.lit(0)).cast("long")
     counts = told.groupBy("key", "conv_id").agg(span.alias("gaps"), *[F.count_if(F.col("fault") == k).alias(k) for k in ("blank", "duplicate", "truncated")])
