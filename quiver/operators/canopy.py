@@ -24,7 +24,8 @@ Bucketed form (``canopy_bucketed``, the local pass + merge of the original
 design): vectors are hashed into buckets, each bucket runs the greedy pass
 locally, then the local centres are canopied again (exact form) and every
 member follows its local centre to the surviving one, so members may lie up
-to 2*T1 from their canopy centre.
+to 2*T1 from their canopy centre.  ``canopy_tree`` merges over more than one level,
+so the pass over all centres sees only those that survived the levels before.
 """
 
 from __future__ import annotations
@@ -53,11 +54,12 @@ class _Centres:
         self.mat: np.ndarray | None = None
         self.n = 0
 
-    def first_within(self, x: np.ndarray, t1: float) -> str | None:
-        if self.n == 0:
+    def first_within(self, x: np.ndarray, t1: float, start: int = 0) -> str | None:
+        """The first centre from place ``start`` on that lies within T1."""
+        if self.n == start:
             return None
-        hit = np.flatnonzero(mean_l1_to_rows(x, self.mat[: self.n]) < t1)
-        return self.ids[hit[0]] if hit.size else None
+        hit = np.flatnonzero(mean_l1_to_rows(x, self.mat[start: self.n]) < t1)
+        return self.ids[start + hit[0]] if hit.size else None
 
     def add(self, sym: str, x: np.ndarray) -> None:
         if self.mat is None:
@@ -76,49 +78,63 @@ def _with_canopies(batch: pa.RecordBatch, labels: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(cols)
 
 
-def greedy_pass(t1: float, reset_on: str | None = None):
+def greedy_pass(t1: float, reset_on: str | None = None, max_centres: int | None = None):
     """mapInArrow body: sequential greedy canopy over rows already sorted by symbol.
 
     With ``reset_on`` the centre set restarts whenever that column changes
-    (one independent pass per bucket).  State is the centre set only.
+    (one independent pass per bucket).  State is the centre set only.  Once it holds
+    ``max_centres``, a vector that none of them takes stays open (null canopy_id): its
+    canopy is created later than all of these, so a further pass over the open rows
+    goes on exactly where this one stopped.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = _Centres()
         current = object()
         for batch in batches:
-            keys = batch.column(reset_on).to_pylist() if reset_on else [None] * batch.num_rows
-            labels = []
-            for key, sym, x in zip(keys, batch.column("symbol").to_pylist(), arrow_matrix(batch.column("v"))):
-                if reset_on and key != current:
-                    centres, current = _Centres(), key
-                cid = centres.first_within(x, t1)
-                if cid is None:
-                    centres.add(sym, x)
-                    cid = sym
-                labels.append(cid)
+            keys = batch.column(reset_on).to_pylist() if reset_on else None
+            symbols, rows = batch.column("symbol").to_pylist(), arrow_matrix(batch.column("v"))
+            labels: list = [None] * len(symbols)
+            starts = [0] if keys is None else [i for i, k in enumerate(keys) if i == 0 or k != keys[i - 1]]
+            for a, b in zip(starts, starts[1:] + [len(symbols)]):
+                if keys and keys[a] != current:
+                    centres, current = _Centres(), keys[a]
+                # centres of earlier batches in one go, those created on the way one by one
+                known = centres.n
+                found = _first_within(rows[a:b], centres.mat[:known], t1) if known else np.full(b - a, -1)
+                for i in range(a, b):
+                    j = found[i - a]
+                    cid = centres.ids[j] if j >= 0 else centres.first_within(rows[i], t1, known)
+                    if cid is None and (max_centres is None or centres.n < max_centres):
+                        centres.add(symbols[i], rows[i])
+                        cid = symbols[i]
+                    labels[i] = cid
             yield _with_canopies(batch, labels)
 
     return run
 
 
+def _first_within(rows: np.ndarray, centres: np.ndarray, t1: float) -> np.ndarray:
+    """Per row the place of the first centre within T1, -1 where there is none."""
+    m, d = rows.shape
+    found = np.full(m, -1, dtype=np.int64)
+    block = max(1, _BLOCK_DOUBLES // max(1, m * d))
+    for start in range(0, len(centres), block):
+        open_rows = np.flatnonzero(found < 0)
+        if open_rows.size == 0:
+            break
+        hit = mean_l1_matrix(rows[open_rows], centres[start:start + block]) < t1
+        any_hit = hit.any(axis=1)
+        found[open_rows[any_hit]] = start + hit[any_hit].argmax(axis=1)
+    return found
+
+
 def label_with_centres(ids: list[str], mat: np.ndarray, t1: float):
     """mapInArrow body: first centre (in the given order) within T1, else null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, d = mat.shape
         for batch in batches:
-            rows = arrow_matrix(batch.column("v"))
-            m = rows.shape[0]
-            found = np.full(m, -1, dtype=np.int64)
-            block = max(1, _BLOCK_DOUBLES // max(1, m * d))
-            for start in range(0, c, block):
-                open_rows = np.flatnonzero(found < 0)
-                if open_rows.size == 0:
-                    break
-                hit = mean_l1_matrix(rows[open_rows], mat[start:start + block]) < t1
-                any_hit = hit.any(axis=1)
-                found[open_rows[any_hit]] = start + hit[any_hit].argmax(axis=1)
+            found = _first_within(arrow_matrix(batch.column("v")), mat, t1)
             yield _with_canopies(batch, [ids[i] if i >= 0 else None for i in found])
 
     return run
@@ -217,34 +233,88 @@ def bucket_of(symbol_col, buckets: int):
     return F.pmod(h, F.lit(int(buckets))).cast("int")
 
 
-def canopy_bucketed(vectors: DataFrame, t1: float = 0.5, buckets: int = 4, batch: int = 2048,
-                    broadcast_rows: int = 1_000_000, check: bool = True) -> DataFrame:
-    """Local greedy pass per hash bucket, then merge of the local centres -> (symbol, canopy_id, v)."""
+def tree_levels(n: int, rows_per_bucket: int = 1_000_000, fan: int = 16) -> tuple[int, ...]:
+    """Numbers of buckets of the levels, down to one: about ``rows_per_bucket`` vectors in each of the
+    first level, then ``fan`` buckets of one level in one of the next."""
+    levels = [max(1, -(-n // rows_per_bucket))]
+    while levels[-1] > 1:
+        levels.append(-(-levels[-1] // fan))
+    return tuple(levels)
+
+
+def canopy_tree(vectors: DataFrame, t1: float = 0.5, buckets: tuple[int, ...] | None = None, max_centres: int = 32768,
+                batch: int = 2048, broadcast_bytes: int = 64 << 20, check: bool = True) -> DataFrame:
+    """Greedy passes per hash bucket, then over the centres of several buckets, level by level -> (symbol, canopy_id, v).
+
+    ``buckets`` holds the number of buckets of each level (``tree_levels`` of the count, where none are
+    given).  A level sees only the centres that the one before left, and a single bucket is the exact
+    distributed form.  No task holds more than ``max_centres`` centres at any level: a bucket
+    with more takes several rounds.  Members follow their centre through all levels by one join with the composed mapping.
+    With n levels a member lies within n * T1 of its canopy centre; vectors with NaN are their own canopies.
+    """
     vectors = reliable(vectors.select("symbol", "v"))
     if check:
         check_vectors(vectors)
-    schema = "symbol string, canopy_id string, v array<double>, bucket int"
-    bucket = bucket_of(F.col("symbol"), buckets)
-    passed = (
-        vectors.where(~has_nan("v")).select("symbol", "v", bucket.alias("bucket"))
-        .repartitionByRange(int(buckets), "bucket")  # by range: hashing the few ids would put several into one task
-        .sortWithinPartitions("bucket", "symbol")
-        .mapInArrow(greedy_pass(t1, reset_on="bucket"), schema)
-    )
-    alone = vectors.where(has_nan("v")).select("symbol", F.col("symbol").alias("canopy_id"), "v", bucket.alias("bucket"))
-    local = reliable(passed.unionByName(alone))
-    candidates = local.where(F.col("symbol") == F.col("canopy_id")).select("symbol", "v")
-    merged = canopy(candidates, t1, batch, check=False)
-    mapping = merged.select(F.col("symbol").alias("local_id"), F.col("canopy_id").alias("final_id"))
-    n_cand = candidates.count()
-    members = local.select("symbol", "v", F.col("canopy_id").alias("local_id"))
-    if n_cand <= broadcast_rows:
-        joined = members.join(F.broadcast(mapping), "local_id")
-    else:  # a huge local canopy must not meet in one task
+    alone = vectors.where(has_nan("v")).select("symbol", F.col("symbol").alias("canopy_id"), "v")
+    level = vectors.where(~has_nan("v"))
+    if buckets is None:
+        buckets = tree_levels(level.count())
+    passes = []
+    for n in buckets:
+        if n == 1:
+            done = canopy(level, t1, min(batch, max_centres), max_centres, check=False, materialized=True)
+        else:
+            done = _bucket_pass(level, t1, int(n), max_centres)
+        passes.append(done)
+        level = done.where(F.col("symbol") == F.col("canopy_id")).select("symbol", "v")
+    follow = None  # centre of a level -> the last centre it follows, from the top downwards
+    for done in reversed(passes[1:]):
+        step = done.select("symbol", "canopy_id")
+        follow = reliable(step if follow is None else _followed(step, follow, broadcast_bytes))
+    members = passes[0] if follow is None else reliable(_followed(passes[0], follow, broadcast_bytes))
+    return members.select("symbol", "canopy_id", "v").unionByName(alone)
+
+
+_LEVEL_SCHEMA = "symbol string, canopy_id string, v array<double>, bucket int, decided int"
+
+
+def _bucket_pass(vectors: DataFrame, t1: float, buckets: int, max_centres: int) -> DataFrame:
+    """One greedy pass per bucket, in rounds of at most ``max_centres`` centres a bucket -> (symbol, canopy_id, v)."""
+    spark = vectors.sparkSession
+    root, step = scratch_path(spark, "level"), 0
+    left = vectors.select("symbol", "v", bucket_of(F.col("symbol"), buckets).alias("bucket"))
+    while step == 0 or not left.isEmpty():
+        passed = (
+            left.repartitionByRange(buckets, "bucket")  # by range: hashing the few ids would put several into one task
+            .sortWithinPartitions("bucket", "symbol")
+            .mapInArrow(greedy_pass(t1, "bucket", max_centres), "symbol string, canopy_id string, v array<double>, bucket int")
+        )
+        path, step = f"{root}/round={step}", step + 1
+        passed.withColumn("decided", F.col("canopy_id").isNotNull().cast("int")).write.partitionBy("decided").parquet(path)
+        left = spark.read.schema(_LEVEL_SCHEMA).parquet(path).where(F.col("decided") == 0).select("symbol", "v", "bucket")
+    return spark.read.schema(_LEVEL_SCHEMA + ", round int").parquet(root).where(F.col("decided") == 1).select(
+        "symbol", "canopy_id", "v")
+
+
+def _followed(rows: DataFrame, follow: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """``rows`` with their canopy_id replaced by the one that this centre follows."""
+    mapping = follow.select(F.col("symbol").alias("local_id"), F.col("canopy_id").alias("final_id"))
+    size = mapping.agg(F.sum(F.octet_length("local_id") + F.octet_length("final_id") + 48)).first()[0] or 0
+    local = rows.withColumnRenamed("canopy_id", "local_id")
+    if size <= broadcast_bytes:
+        joined = local.join(F.broadcast(mapping), "local_id")
+    else:  # a third of all rows may follow one centre
         from quiver.operators.joins import join_split_hot
 
-        joined = join_split_hot(members, mapping, "local_id")
-    return reliable(joined.select("symbol", F.col("final_id").alias("canopy_id"), "v"))
+        joined = join_split_hot(local, mapping, "local_id")
+    return joined.withColumnRenamed("final_id", "canopy_id").drop("local_id")
+
+
+def canopy_bucketed(vectors: DataFrame, t1: float = 0.5, buckets: int = 4, batch: int = 2048,
+                    broadcast_rows: int = 1_000_000, check: bool = True) -> DataFrame:
+    """Local greedy pass per hash bucket, then one merge of the local centres -> (symbol, canopy_id, v)."""
+    levels = (buckets, 1) if buckets > 1 else (1,)
+    return canopy_tree(vectors, t1, levels, batch=batch, broadcast_bytes=64 * broadcast_rows, check=check)
 
 
 def canopy_sizes(members: DataFrame) -> DataFrame:

@@ -112,6 +112,20 @@ def canopy_bucketed_ctes(t1: float, buckets: int, vec: str = "vec") -> str:
     ])
 
 
+def canopy_tree_ctes(t1: float, levels: tuple[int, ...], vec: str = "vec") -> str:
+    """A pass per bucket, then per bucket of the next level over the centres left -> mem(symbol, canopy, v)."""
+    parts, seen, follow = [], vec, ""
+    for i, buckets in enumerate(levels):
+        parts += [f"t{i}_in AS (SELECT symbol, v, {md5_bucket('symbol', buckets)} AS bucket FROM {seen})",
+                  canopy_ctes(t1, f"t{i}_in", p=f"t{i}_", order="bucket, symbol", group="bucket"),
+                  f"t{i}_left AS (SELECT symbol, v FROM t{i}_mem WHERE symbol = canopy)"]
+        seen = f"t{i}_left"
+        if i:
+            follow += f" JOIN t{i}_mem ON t{i}_mem.symbol = t{i - 1}_mem.canopy"
+    parts.append(f"mem AS (SELECT t0_mem.symbol, t{len(levels) - 1}_mem.canopy, t0_mem.v FROM t0_mem{follow})")
+    return ",\n".join(parts)
+
+
 def seats_ctes(k: int) -> str:
     return f"""sz AS (SELECT canopy, count(*) AS n FROM mem GROUP BY canopy),
 tt AS (SELECT *, sum(n) OVER () AS nn, count(*) OVER () AS cc FROM sz),

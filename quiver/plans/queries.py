@@ -42,6 +42,8 @@ AMOUNT = 100
 EMB_T1 = 0.14
 EMB_K = 8
 BUCKETS = 4
+LEVELS = (16, 4, 1)
+LEVEL_CENTRES = 3
 K_LARGE = 40
 RECENT_DAYS = 7
 DIM = DAYS * len(FEATURES)
@@ -209,7 +211,9 @@ def q_canopy_members_rounds(spark, sf):
 
 def q_canopy_files(spark, sf):
     path = scratch_path(spark, "canopies")
-    write_canopies(_members(spark, sf), path)
+    members = _members(spark, sf)
+    write_canopies(members, path)
+    members.select("symbol").write.mode("overwrite").parquet(f"{path}/Other")  # not a canopy: skipped
     return read_canopies(spark, path).select("symbol", "canopy_id")
 
 
@@ -217,6 +221,12 @@ def q_canopy_members_bucketed(spark, sf):
     return canopy_ops.canopy_bucketed(_vectors(spark, sf), T1, buckets=BUCKETS).select("symbol", "canopy_id")
 
 
+def q_canopy_members_tree(spark, sf):
+    """Local passes merged over three levels; a task holds at most LEVEL_CENTRES centres."""
+    tree = canopy_ops.canopy_tree(_vectors(spark, sf), T1, LEVELS, max_centres=LEVEL_CENTRES)
+    return tree.select("symbol", "canopy_id")
+
+
 def q_canopy_sizes(spark, sf):
     return canopy_ops.number_canopies(canopy_ops.canopy_sizes(_members(spark, sf)))
 
@@ -468,6 +478,7 @@ def _oracle() -> dict[str, str]:
     q["canopy_files"] = q["canopy_members"]
     q["canopy_members_bucketed"] = O.with_recursive(base, O.canopy_bucketed_ctes(T1, BUCKETS)) + \
         "SELECT symbol, canopy AS canopy_id FROM mem"
+    q["canopy_members_tree"] = O.with_recursive(base, O.canopy_tree_ctes(T1, LEVELS)) + "SELECT symbol, canopy AS canopy_id FROM mem"
     q["canopy_sizes"] = O.with_recursive(base, canopy) + \
         ("SELECT canopy AS canopy_id, CAST(count(*) AS BIGINT) AS n, "
          "CAST(row_number() OVER (ORDER BY canopy) AS BIGINT) AS canopy_no FROM mem GROUP BY canopy")
@@ -562,6 +573,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "canopy_members_rounds": q_canopy_members_rounds,
     "canopy_files": q_canopy_files,
     "canopy_members_bucketed": q_canopy_members_bucketed,
+    "canopy_members_tree": q_canopy_members_tree,
     "canopy_sizes": q_canopy_sizes,
     "pair_distance": q_pair_distance,
     "nearest_neighbor": q_nearest_neighbor,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from quiver.functions.vectors import parse_vector_line
 
@@ -71,12 +71,13 @@ def read_price_csv(spark: SparkSession, path: str) -> DataFrame:
     file_sym = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
     symbol = F.when(part_sym != "", _unescape(_unescape(part_sym))).otherwise(file_sym)
     parsed = raw.select(symbol.alias("symbol"), F.to_date("date").alias("d"), "open", "high", "low", "close")
-    whole = F.lit(True)
+    bad = F.lit(False)
     for c in ("d", "open", "high", "low", "close"):
-        whole = whole & F.col(c).isNotNull()
-    corrupt = parsed.where(~whole).select("symbol").distinct()
+        bad = bad | F.col(c).isNull()
     day = F.min(F.struct("open", "high", "low", "close")).alias("p")
-    return parsed.join(corrupt, "symbol", "left_anti").groupBy("symbol", "d").agg(day).select("symbol", "d", "p.*")
+    days = parsed.groupBy("symbol", "d").agg(day, F.max(bad).alias("bad"))  # one scan: the symbol's flag comes from its days
+    fails = F.max("bad").over(Window.partitionBy("symbol"))
+    return days.withColumn("fails", fails).where(~F.col("fails")).select("symbol", "d", "p.*")
 
 
 def read_vector_text(spark: SparkSession, path: str) -> DataFrame:
@@ -87,9 +88,17 @@ def read_vector_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_canopies(spark: SparkSession, path: str) -> DataFrame:
-    """Canopy membership written partitioned by canopy_id (one folder per canopy)."""
+    """Canopy membership written partitioned by canopy_id (one folder per canopy).
+
+    Only folders with the canopy prefix count; others beside them are skipped, and without any
+    there are no members.
+    """
     schema = "symbol string, v array<double>, canopy_id string"
-    return spark.read.schema(schema).parquet(path).select("symbol", "canopy_id", "v")
+    folders = f"{path}/canopy_id=*"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folders)
+    if not hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(hadoop_path):
+        return spark.createDataFrame([], schema).select("symbol", "canopy_id", "v")
+    return spark.read.schema(schema).option("basePath", path).parquet(folders).select("symbol", "canopy_id", "v")
 
 
 def read_assignments(spark: SparkSession, path: str) -> DataFrame:

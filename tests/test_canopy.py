@@ -1,9 +1,10 @@
+import hashlib
 import math
 
 import numpy as np
 import pytest
 
-from quiver.operators.canopy import canopy, canopy_bucketed, canopy_sizes
+from quiver.operators.canopy import canopy, canopy_bucketed, canopy_sizes, canopy_tree, tree_levels
 from conftest import greedy_reference, vec_df
 
 
@@ -102,3 +103,39 @@ def test_bucketed_nan_vectors_stay_alone(spark):
     rows = [(f"n{i}", [float("nan")] if i % 2 else [0.1]) for i in range(8)]
     assert members(canopy_bucketed(vec_df(spark, rows), 0.5, buckets=2)) == {
         f"n{i}": f"n{i}" if i % 2 else "n0" for i in range(8)}
+
+
+def tree_reference(rows, t1, levels, bucket):
+    """Sequential pass per bucket, then per bucket of the next level over the centres left."""
+    left, of = list(rows), {s: s for s, _ in rows}
+    for n in levels:
+        step = {}
+        for b in range(n):
+            step.update(greedy_reference([r for r in left if bucket(r[0], n) == b], t1))
+        of = {s: step[c] for s, c in of.items()}
+        left = [r for r in left if step[r[0]] == r[0]]
+    return of
+
+
+@pytest.mark.parametrize("max_centres", [1, 3, 1000])
+@pytest.mark.parametrize("broadcast_bytes", [0, 64 << 20])
+def test_tree_of_buckets_for_any_bound_of_centres(spark, max_centres, broadcast_bytes):
+    rng = np.random.default_rng(5)
+    rows = [(f"t{i:03d}", rng.random(4).tolist()) for i in range(160)]
+    digest = lambda s, n: int(hashlib.md5(s.encode()).hexdigest()[:8], 16) % n
+    for levels in ((8, 2, 1), (6, 4), (1,)):
+        got = members(canopy_tree(vec_df(spark, rows), 0.2, levels, max_centres=max_centres, broadcast_bytes=broadcast_bytes))
+        assert got == tree_reference(rows, 0.2, levels, digest)
+
+
+def test_tree_of_nothing_and_of_nan(spark):
+    nan = float("nan")
+    assert members(canopy_tree(vec_df(spark, []), 0.5, (4, 1))) == {}
+    assert members(canopy_tree(vec_df(spark, [("a", [nan]), ("b", [nan])]), 0.5, (4, 2, 1))) == {"a": "a", "b": "b"}
+    assert members(canopy_tree(vec_df(spark, [("a", [0.1]), ("b", [nan]), ("c", [0.2])]), 0.5)) == {"a": "a", "b": "b", "c": "a"}
+
+
+def test_levels_of_a_tree():
+    assert tree_levels(0) == tree_levels(1_000_000) == (1,)
+    assert tree_levels(40_000_000) == (40, 3, 1)
+    assert tree_levels(300, rows_per_bucket=10, fan=2) == (30, 15, 8, 4, 2, 1)
