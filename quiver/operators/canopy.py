@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quiver.functions.distance import mean_l1_matrix, mean_l1_to_rows
+from quiver.functions.distance import CentreIndex, mean_l1_to_rows
 from quiver.functions.vectors import arrow_matrix, has_nan
 from quiver.operators.persist import reliable
 from quiver.session import scratch_path
@@ -123,7 +123,8 @@ def _first_within(rows: np.ndarray, centres: np.ndarray, t1: float) -> np.ndarra
         open_rows = np.flatnonzero(found < 0)
         if open_rows.size == 0:
             break
-        hit = mean_l1_matrix(rows[open_rows], centres[start:start + block]) < t1
+        near, _ = CentreIndex(centres[start:start + block], pivots=0).distances(rows[open_rows], t1)
+        hit = near < t1
         any_hit = hit.any(axis=1)
         found[open_rows[any_hit]] = start + hit[any_hit].argmax(axis=1)
     return found

@@ -35,6 +35,7 @@ from quiver.sources.files import number_directory
 # Fixed query parameters (the reference's defaults where it has them).
 DAYS = 5
 T1 = 0.4
+T1_FINE = 0.2
 K = 12
 SEED = "42"
 SHORT_DAYS = 28
@@ -236,10 +237,16 @@ def q_pair_distance(spark, sf):
     return d.select("symbol", "canopy_id", _r(F.col("dist"), 9).alias("dist"))
 
 
-def _centre_match(spark, sf, t1):
-    m = _members(spark, sf)
+def _centre_match(spark, sf, t1, nearest=True, canopy_t1=T1):
+    m = canopy_ops.canopy(_vectors(spark, sf), canopy_t1)
     centres = m.where(F.col("symbol") == F.col("canopy_id")).select(F.col("symbol").alias("centre"), "v")
-    return match_centres(m.select("symbol", "v"), centres, t1)
+    return match_centres(m.select("symbol", "v"), centres, t1, nearest=nearest)
+
+
+def q_centre_index(spark, sf):
+    """Nearest, first and number of the centres of small canopies: many centres, most of them left out by their bounds."""
+    r = _centre_match(spark, sf, T1_FINE, canopy_t1=T1_FINE)
+    return r.select("symbol", "nearest", _r(F.col("nearest_dist"), 9).alias("nearest_dist"), F.col("first").alias("matched"), "n_within")
 
 
 def q_nearest_neighbor(spark, sf):
@@ -258,12 +265,12 @@ def q_nearest_neighbor_constant(spark, sf):
 
 def q_fixed_center_match(spark, sf):
     """First canopy centre (creation order) within T1/2 of every vector, else null."""
-    return _centre_match(spark, sf, T1 / 2).select("symbol", F.col("first").alias("matched"))
+    return _centre_match(spark, sf, T1 / 2, nearest=False).select("symbol", F.col("first").alias("matched"))
 
 
 def q_pairs_within_t1(spark, sf):
     """Number of canopy centres within T1 of every vector."""
-    return _centre_match(spark, sf, T1).select("symbol", "n_within")
+    return _centre_match(spark, sf, T1, nearest=False).select("symbol", "n_within")
 
 
 # ---------------------------------------------------------------- k-means
@@ -490,6 +497,11 @@ def _oracle() -> dict[str, str]:
     q["nearest_neighbor"] = O.with_recursive(base, canopy, cen) + (
         f"SELECT symbol, arg_min(centre, ({O.snap('dd')}, centre)) AS nearest, "
         f"round(min({O.snap('dd')}), 9) AS nearest_dist FROM mc GROUP BY symbol")
+    fine = O.canopy_ctes(T1_FINE)
+    q["centre_index"] = O.with_recursive(base, fine, cen) + (
+        f"SELECT symbol, arg_min(centre, ({O.snap('dd')}, centre)) AS nearest, round(min({O.snap('dd')}), 9) AS nearest_dist, "
+        f"min(centre) FILTER (WHERE dd < {T1_FINE!r}) AS matched, "
+        f"CAST(count(*) FILTER (WHERE dd < {T1_FINE!r}) AS BIGINT) AS n_within FROM mc GROUP BY symbol")
     one_day = P(1)
     q["nearest_neighbor_constant"] = O.with_recursive(one_day, canopy, cen) + (
         f"SELECT symbol, arg_min(centre, ({O.snap('dd')}, centre)) AS nearest, "
@@ -577,6 +589,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "canopy_sizes": q_canopy_sizes,
     "pair_distance": q_pair_distance,
     "nearest_neighbor": q_nearest_neighbor,
+    "centre_index": q_centre_index,
     "nearest_neighbor_constant": q_nearest_neighbor_constant,
     "fixed_center_match": q_fixed_center_match,
     "pairs_within_t1": q_pairs_within_t1,

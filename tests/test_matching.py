@@ -1,4 +1,7 @@
 import numpy as np
+import pytest
+
+from quiver.functions.distance import CentreIndex, mean_l1_matrix
 
 from quiver.operators.matching import match_centres
 from conftest import vec_df
@@ -35,3 +38,37 @@ def test_nan_vector_keeps_the_first_centre_in_every_block_layout(spark):
     for block in (32 << 20, 1):
         got = {r["symbol"]: (r["nearest"], r["n_within"]) for r in match_centres(v, c, 0.5, block_bytes=block).collect()}
         assert got == {"a": ("c1", 0), "b": ("c2", 1)}
+
+
+@pytest.mark.parametrize("dim", [1, 4, 6, 20, 33])
+@pytest.mark.parametrize("spread", [1.0, 0.05, 1e6])
+def test_index_keeps_every_distance_that_matters(dim, spread):
+    rng = np.random.default_rng(dim)
+    seats = rng.random((30, dim)) * spread
+    cents = np.vstack([seats, seats[:5], np.full((1, dim), np.nan)])  # repeats tie
+    rows = np.vstack([seats[rng.integers(0, 30, 200)] + rng.normal(0, 0.01 * spread, (200, dim)), cents[:3], np.full((1, dim), np.nan)])
+    exact, t1 = mean_l1_matrix(rows, cents), 0.05 * spread
+    for pivots in (0, 4):
+        for known in (None, np.full(len(rows), np.inf)):
+            got, n = CentreIndex(cents, pivots).distances(rows, t1, known)
+            assert ((got < t1) == (exact < t1)).all()
+            kept = np.isfinite(got)
+            assert (got[kept] == exact[kept]).all() and (n <= len(cents) + 4).all()
+            if known is not None:
+                assert (np.nanmin(got[:-1], axis=1) == np.nanmin(exact[:-1], axis=1)).all()
+                assert (np.where(np.isnan(got[:-1]), np.inf, got[:-1]).argmin(axis=1) == np.where(np.isnan(exact[:-1]), np.inf, exact[:-1]).argmin(axis=1)).all()
+
+
+def test_index_computes_under_half_of_the_distances_where_it_pays(spark):
+    rng = np.random.default_rng(3)
+    seats = rng.random((60, 16))
+    rows = [(f"v{i:04d}", (seats[i % 60] + rng.normal(0, 0.02, 16)).tolist()) for i in range(600)]
+    cents = [(f"c{i:02d}", s.tolist()) for i, s in enumerate(seats)]
+    v, c = vec_df(spark, rows), vec_df(spark, cents).withColumnRenamed("symbol", "centre")
+    expect = brute(rows, cents, 0.1)
+    both = match_centres(v, c, 0.1).collect()
+    assert {r["symbol"]: (r["nearest"], round(r["nearest_dist"], 9), r["first"], r["n_within"]) for r in both} == expect
+    assert sum(r["n_computed"] for r in both) < 0.25 * len(rows) * len(cents)
+    within = match_centres(v, c, 0.1, nearest=False).collect()
+    assert {r["symbol"]: (r["first"], r["n_within"]) for r in within} == {k: e[2:] for k, e in expect.items()}
+    assert {r["nearest"] for r in within} == {None}
