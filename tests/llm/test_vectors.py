@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -68,18 +70,29 @@ def test_near_duplicates_against_brute_force(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
 
 
+LEAST, MOST = -(2**63), 2**63 - 1
+
+
+def quantised(v):
+    return [min(max(math.floor(256.0 * x) if abs(x) < 1e18 else int(256.0 * x), LEAST), MOST) for x in v]
+
+
 def test_top_k_against_brute_force(spark):
-    rows = vectors()
-    ok = [(k, np.floor(256 * np.array(v, float))) for k, v in rows if k is not None and k != 407 and usable(v, True)]
-    df = frame(spark, [r for r in rows if r[0] != 407])
+    rng = np.random.default_rng(6)
+    # scores beyond 2 ** 53 and beyond a long
+    rows = vectors() + [(500 + i, (1e6 * rng.standard_normal(16)).tolist()) for i in range(12)] + [(520 + i, (3e6 + rng.random(16)).tolist()) for i in range(12)]
+    rows += [(540, [1e15] * 16), (541, [-1e15] * 16), (545, [400001.0] * 16), (546, [400001.0 + i / 256 for i in range(16)])]
+    ok = [(k, quantised(v)) for k, v in rows if k is not None and usable(v, True)]
+    df = frame(spark, rows)
     for k, part in ((5, 8192), (3, 20)):
         want = []
         for q in sorted({i for i, _ in ok if i % 5 == 0}):
-            mine = min((v.tolist() for i, v in ok if i == q))
-            score = sorted((-int(sum(a * b for a, b in zip(mine, v))), i) for i, v in ok if i != q)
+            mine = min(v for i, v in ok if i == q)
+            score = sorted((-min(max(sum(a * b for a, b in zip(mine, v)), LEAST), MOST), i) for i, v in ok if i != q)
             want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(score[:k])]
-        got = top_k(df, F.col("vec_id") % 5 == 0, k, part_rows=part).collect()
-        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
+        got = top_k(df, F.col("vec_id") % 5 == 0, k, part_rows=part)
+        assert "NestedLoop" not in got._jdf.queryExecution().toString() and "Cartesian" not in got._jdf.queryExecution().toString()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == want
     assert top_k(frame(spark, []), F.col("vec_id") % 5 == 0).count() == 0
     assert top_k(frame(spark, rows[:1]), F.col("vec_id") % 5 == 0).count() == 0
 
@@ -88,5 +101,5 @@ def test_blocks_are_pruned():
     rng = np.random.default_rng(4)
     blocks = [(list(range(b * 10, b * 10 + 10)), [(rng.integers(-5, 5, 8) + 100 * b).astype(np.int64).tobytes() for _ in range(10)]) for b in range(20)]
     part = Part(blocks)
-    best = part.best(-1, np.ones(8), 5, -np.inf)
+    best = part.best(-1, np.ones(8, np.int64), 5, None)
     assert part.scored < 5 and {i // 10 for _, i in best} == {19}
