@@ -85,3 +85,21 @@ def test_canopy_files_round_trip(spark):
     write_canopies(m, path)
     assert sorted((r["symbol"], r["canopy_id"]) for r in read_canopies(spark, path).collect()) == [
         ("a", "007"), ("b", "007")]
+
+
+def test_canopy_read_skips_folders_without_the_prefix(spark):
+    path = scratch_path(spark, "t-foreign")
+    assert read_canopies(spark, path).count() == 0  # nothing there yet
+    rows = [("a", "a b", [0.1]), ("b", "a b", [0.2]), ("c", "c", [0.9])]
+    write_canopies(spark.createDataFrame(rows, "symbol string, canopy_id string, v array<double>"), path)
+    spark.range(5).write.parquet(f"{path}/Other")
+    assert sorted((r["symbol"], r["canopy_id"]) for r in read_canopies(spark, path).collect()) == [(s, c) for s, c, _ in rows]
+
+
+def test_price_files_are_scanned_once(spark):
+    path = scratch_path(spark, "t-once")
+    bars = [(s, dt.date(2024, 1, d), 1.0, 2.0, 0.5, 1.5) for s in "ab" for d in (1, 2)]
+    write_price_csv(spark.createDataFrame(bars, "symbol string, d date, open double, high double, low double, close double"), path)
+    read = read_price_csv(spark, path)
+    assert read._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    assert read.count() == 4
