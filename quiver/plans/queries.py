@@ -25,7 +25,7 @@ from quiver.operators.seeding import seats, seeds
 from quiver.plans import oracle as O
 from quiver.plans.pipeline import cluster_vectors, run
 from quiver.session import scratch_path
-from quiver.sinks import (cluster_text_lines, write_assignments, write_canopies, write_cluster_text, write_price_csv,
+from quiver.sinks import (append_price_rows, cluster_text_lines, write_assignments, write_canopies, write_cluster_text, write_price_csv,
                           write_symbol_directory, write_vector_text)
 from quiver.sources import (customer_symbols, embedding_vectors, events_bars, lineitem_bars, load_table,
                             read_assignments, read_canopies, read_cluster_text, read_price_csv, read_symbol_directory,
@@ -175,7 +175,7 @@ def q_price_csv_corrupt(spark, sf):
     write_price_csv(bars, path)
     falling = feat.latest_days(bars, 1).where(F.col("close") < F.col("open"))
     bad = falling.select("symbol", F.date_format("d", "yyyy-MM-dd").alias("date"), F.lit("?").alias("open"), "high", "low", "close")
-    bad.write.mode("append").partitionBy("symbol").option("header", True).csv(path)
+    append_price_rows(bad, path)
     return _bars_out(read_price_csv(spark, path))
 
 

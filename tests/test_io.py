@@ -1,9 +1,10 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
 from quiver.session import scratch_path
-from quiver.sinks import write_canopies, write_cluster_text, write_price_csv, write_symbol_directory, write_vector_text
+from quiver.sinks import append_price_rows, write_canopies, write_cluster_text, write_price_csv, write_symbol_directory, write_vector_text
 from quiver.sinks.files import cluster_text_lines
 from quiver.sources import read_canopies, read_cluster_text, read_price_csv, read_symbol_directory, read_vector_text
 from quiver.sources.files import number_directory
@@ -103,3 +104,51 @@ def test_price_files_are_scanned_once(spark):
     read = read_price_csv(spark, path)
     assert read._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
     assert read.count() == 4
+
+
+PRICES = "symbol string, d date, open double, high double, low double, close double"
+
+
+def _tree(root):
+    return sorted(os.path.relpath(os.path.join(at, f), root) for at, _, files in os.walk(root) for f in files)
+
+
+def test_price_files_are_one_per_symbol_without_checksum_files(spark, tmp_path):
+    names = ["A/B", "x=1%", "50%25", "a+b", "\u00e9 t", "c.d", "'q'", None, ""]
+    bars = spark.createDataFrame([(s, dt.date(2024, 1, d), 1e10, float("nan"), -0.5, 1.5) for s in names for d in (1, 2, 3)], PRICES)
+    path = str(tmp_path / "ours")
+    write_price_csv(bars.repartition(3), path)
+    write_price_csv(bars.coalesce(1), path)  # replaces the first
+    files = _tree(path)
+    theirs = str(tmp_path / "spark")
+    bars.write.partitionBy("symbol").csv(theirs)
+    assert {f.split("/")[0] for f in files} == {f.split("/")[0] for f in _tree(theirs) if "/" in f}  # the folders of partitionBy
+    assert not [f for f in files if f.endswith(".crc") or "/." in f]
+    assert len(files) <= len({*names}) + bars.rdd.getNumPartitions() + spark.sparkContext.defaultParallelism
+    days = {f.split("/")[0]: [] for f in files}
+    for f in files:
+        with open(f"{path}/{f}", encoding="utf-8") as lines:
+            head, *rows = lines.read().splitlines()
+        assert head == "date,open,high,low,close"
+        days[f.split("/")[0]] += rows
+    assert sorted(days["symbol=c.d"]) == [f"2024-01-0{d},1.0E10,NaN,-0.5,1.5" for d in (1, 2, 3)]
+    got = {(r["symbol"], r["d"]) for r in read_price_csv(spark, path).collect()}
+    assert got == {(s or "__HIVE_DEFAULT_PARTITION__", dt.date(2024, 1, d)) for s in names for d in (1, 2, 3)}
+
+
+def test_price_rows_are_appended_beside_the_files_of_their_symbol(spark):
+    path = scratch_path(spark, "t-more")
+    bars = spark.createDataFrame([(s, dt.date(2024, 1, 1), 1.0, 2.0, 0.5, 1.5) for s in "abc"], PRICES)
+    write_price_csv(bars, path)
+    more = [("a", "2024-01-02", "3.0", 4.0, 2.0, 3.5), ("b", "2024-01-02", "?", 4.0, 2.0, 3.5), ("d", "2024-01-02", "3.0", 4.0, 2.0, 3.5)]
+    append_price_rows(spark.createDataFrame(more, "symbol string, date string, open string, high double, low double, close double"), path)
+    got = {(r["symbol"], r["d"].day, r["open"]) for r in read_price_csv(spark, path).collect()}
+    assert got == {("a", 1, 1.0), ("a", 2, 3.0), ("c", 1, 1.0), ("d", 2, 3.0)}  # b has an unreadable row
+
+
+def test_price_files_on_a_path_that_only_spark_reaches(spark, tmp_path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.prices.link./far", f"file://{tmp_path}")
+    bars = spark.createDataFrame([(s, dt.date(2024, 1, 1), 1.0, 2.0, 0.5, 1.5) for s in "ab"], PRICES)
+    write_price_csv(bars, "viewfs://prices/far/px")
+    assert sorted(read_price_csv(spark, "viewfs://prices/far/px").collect()) == sorted(bars.collect())
