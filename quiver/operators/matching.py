@@ -15,6 +15,7 @@ aggregation per vector (min / min / sum), so no task holds more than a block.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -28,42 +29,44 @@ from quiver.operators.kmeans import snap_np
 OUT_SCHEMA = "symbol string, nearest string, nearest_dist double, first string, n_within long, n_computed long"
 _OUT_ARROW = pa.schema([("symbol", pa.string()), ("nearest", pa.string()), ("nearest_dist", pa.float64()),
                         ("first", pa.string()), ("n_within", pa.int64()), ("n_computed", pa.int64())])
-_TILE_DOUBLES = 4_000_000
+# A tile of distances: a few MB, so the arrays made from it stay small beside the worker itself.
+_TILE_ROWS = 1024
+_TILE_CENTRES = 400
 
 
 def _block_pass(ids: list[str], mat: np.ndarray, t1: float, want_nearest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         id_arr = np.asarray(ids, dtype=object)
-        indexes: dict[tuple[int, int], CentreIndex] = {}
+        starts = range(0, mat.shape[0], _TILE_CENTRES)
+        indexes: dict[int, CentreIndex] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = arrow_matrix(batch.column("v"))
-            m = rows.shape[0]
+            vectors = arrow_matrix(batch.column("v"))
+            m = vectors.shape[0]
             best_d = np.full(m, np.inf)
             best_j = np.zeros(m, dtype=np.int64)  # without any comparable distance the first centre stays
             first_j = np.full(m, -1, dtype=np.int64)
             count = np.zeros(m, dtype=np.int64)
             computed = np.zeros(m, dtype=np.int64)
-            step = max(1, _TILE_DOUBLES // max(1, m))
-            for a in range(0, mat.shape[0], step):
-                if (a, step) not in indexes:
-                    indexes[a, step] = CentreIndex(mat[a:a + step])
-                index = indexes[a, step]
-                raw, n = index.distances(rows, t1, best_d if want_nearest else None)
-                computed += n
+            for r, a in product(range(0, m, _TILE_ROWS), starts):
+                if a not in indexes:
+                    indexes[a] = CentreIndex(mat[a:a + _TILE_CENTRES])
+                tile = slice(r, r + _TILE_ROWS)
+                raw, n = indexes[a].distances(vectors[tile], t1, best_d[tile] if want_nearest else None)
+                computed[tile] += n
                 within = raw < t1
-                count += within.sum(axis=1)
-                has = within.any(axis=1) & (first_j < 0)
-                first_j[has] = a + within[has].argmax(axis=1)
+                count[tile] += within.sum(axis=1)
+                has = r + np.flatnonzero(within.any(axis=1) & (first_j[tile] < 0))
+                first_j[has] = a + within[has - r].argmax(axis=1)
                 if not want_nearest:
                     continue
                 d = snap_np(raw)
                 j = np.argmin(np.where(np.isnan(d), np.inf, d), axis=1)
-                dj = d[np.arange(m), j]
-                better = dj < best_d  # strict: earlier (smaller id) centre wins ties
-                best_d[better] = dj[better]
-                best_j[better] = a + j[better]
+                dj = d[np.arange(len(d)), j]
+                better = np.flatnonzero(dj < best_d[tile])  # strict: earlier (smaller id) centre wins ties
+                best_d[r + better] = dj[better]
+                best_j[r + better] = a + j[better]
             yield pa.RecordBatch.from_pydict({
                 "symbol": batch.column("symbol"),
                 "nearest": id_arr[best_j] if want_nearest else [None] * m,

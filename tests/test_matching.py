@@ -1,9 +1,12 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quiver.functions.distance import CentreIndex, mean_l1_matrix
 
-from quiver.operators.matching import match_centres
+from quiver.operators.matching import _block_pass, match_centres
 from conftest import vec_df
 
 
@@ -72,3 +75,19 @@ def test_index_computes_under_half_of_the_distances_where_it_pays(spark):
     within = match_centres(v, c, 0.1, nearest=False).collect()
     assert {r["symbol"]: (r["first"], r["n_within"]) for r in within} == {k: e[2:] for k, e in expect.items()}
     assert {r["nearest"] for r in within} == {None}
+
+
+def test_a_large_batch_is_matched_in_little_memory():
+    rng = np.random.default_rng(5)
+    cents, rows = rng.random((900, 20)).round(2), rng.random((10_000, 20)).round(2)
+    batch = pa.RecordBatch.from_pydict({"symbol": [f"v{i:05d}" for i in range(len(rows))], "v": list(rows)})
+    run = _block_pass([f"c{i:03d}" for i in range(len(cents))], cents, 0.2, True)
+    tracemalloc.start()
+    out = next(run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20  # bytes; tiles of all rows at once took over three times that
+    some = rng.choice(len(rows), 40, replace=False).tolist()
+    expect = brute([(f"v{i:05d}", rows[i].tolist()) for i in some], [(f"c{j:03d}", c.tolist()) for j, c in enumerate(cents)], 0.2)
+    got = out.take(some).to_pylist()
+    assert {r["symbol"]: (r["nearest"], round(r["nearest_dist"], 9), r["first"], r["n_within"]) for r in got} == expect
