@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import os
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from quiver.session import scratch_path
 from quiver.sinks import append_price_rows, write_canopies, write_cluster_text, write_price_csv, write_symbol_directory, write_vector_text
 from quiver.sinks.files import cluster_text_lines
 from quiver.sources import read_canopies, read_cluster_text, read_price_csv, read_symbol_directory, read_vector_text
+from quiver.sources import files as source_files
 from quiver.sources.files import number_directory
 from conftest import vec_df
 
@@ -152,3 +154,88 @@ def test_price_files_on_a_path_that_only_spark_reaches(spark, tmp_path):
     bars = spark.createDataFrame([(s, dt.date(2024, 1, 1), 1.0, 2.0, 0.5, 1.5) for s in "ab"], PRICES)
     write_price_csv(bars, "viewfs://prices/far/px")
     assert sorted(read_price_csv(spark, "viewfs://prices/far/px").collect()) == sorted(bars.collect())
+
+
+def _scans_files(df):
+    return "FileScan csv" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def _both_ways(spark, path, monkeypatch):
+    """Rows by the tasks' own reading and by Spark's file scan."""
+    ours = read_price_csv(spark, path)
+    with monkeypatch.context() as m:
+        m.setattr(source_files, "MANY_ENTRIES", 10**9)
+        scan = read_price_csv(spark, path)
+    assert _scans_files(scan)
+    return ours, sorted(map(repr, ours.collect())), sorted(map(repr, scan.collect()))
+
+
+def test_tasks_that_read_price_files_do_not_grow_with_the_symbols(spark):
+    most = 4 * spark.sparkContext.defaultParallelism
+    bars = spark.range(2 * most).selectExpr("cast(id as string) symbol", "date'2024-01-01' d", "1d open", "2d high", "0d low", "id + 0d close")
+    path = scratch_path(spark, "t-many")
+    write_price_csv(bars, path)
+    group = f"read {path}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        got = read_price_csv(spark, path).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(got) == sorted(bars.collect())
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    assert stages and max(info.numTasks for s in stages if (info := tracker.getStageInfo(s))) <= most
+
+
+def test_price_files_read_by_tasks_give_the_rows_of_the_file_scan(spark, tmp_path, monkeypatch):
+    head, row = b"Date,Open,High,Low,Close\n", b"2024-01-02,1,2,0.5,1.5\n"
+    odd = {
+        "AAA.csv": head + row, "deep/er/BBB.csv": head + row, "_hidden.csv": head + row, ".dot.csv": head + row, "empty.csv": b"", "c+d.csv": head + row,
+        "_temporary/CCC.csv": head + row, "symbol=a%2Fb/p.csv": head + row, "symbol=50%25/p.csv": head + row, "symbol=e f/p q.csv": head + row,
+        "symbol=\u00e9/p.csv": head + row, "symbol=__HIVE_DEFAULT_PARTITION__/p.csv": head + row, "symbol=_x/p.csv": head + row,
+        "symbol=two/1.csv": head + row, "symbol=two/2.csv": head + b"2024-01-02,0,2,0.5,1.5\n2024-01-03,1,1,1,1\n", "symbol=two/_x=1/3.csv": head + b"2024-01-04,1,1,1,1",
+        "header.csv": head, "headless.csv": row, "blank.csv": b"\n \t\n" + head + b"\n" + row + b"  \n\x01\n2024-01-03,1,2,0.5,1.5", "crlf.csv": (head + row + row).replace(b"\n", b"\r\n"),
+        "cr.csv": (head + row).replace(b"\n", b"\r"), "bom.csv": b"\xef\xbb\xbf" + head + row, "bom2.csv": b"\xef\xbb\xbf\n" + head + row,
+        "quotes.csv": head + b'"2024-01-02","1","2","0.5","1.5"\n',
+        "short.csv": head + b"2024-01-02,1,2\n", "long.csv": head + b"2024-01-02,1,2,0.5,1.5,9,x\n",
+        "text.csv": head + b"2024-01-02,1,2,0.5,x\n" + row, "space.csv": head + b" 2024-01-02 , 1,2 , 0.5,1.5\n", "float.csv": head + b"2024-01-02,NaN,Infinity,-Inf,1e3\n",
+        "null.csv": head + b"2024-01-02,,2,0.5,1.5\n", "zero.csv": head + b"2024-01-02,1\x00,2,0.5,1.5\n",
+        "date.csv": head + b"2024-1-2,1,2,0.5,1.5\n2024-01-03 10:00:00,1,2,0.5,1.5\n", "long9.csv": head + row * 50_000 + b"2024-01-03,7,7,7,7\n",
+    }
+    odd |= {f"symbol=S{i}/p.csv": head + row for i in range(source_files.MANY_ENTRIES)}
+    no_dates = {
+        "open.csv": head + b'"2024-01-02,1,2,0.5,1.5\n2024-01-03,1,2,0.5,1.5"\n', "bytes.csv": head + b"2024-01-02,1,2,0.5,1.5\n2024-01-0\xff,1,2,0.5,1.5\n",
+        "quoted.csv": head + b'"2024-01-02","1","2","0.5","1.5"\n"2024-01-03,1",2,3,4\n', "hash.csv": head + b"#2024-01-02,1,2,0.5,1.5\n",
+    }
+    for ansi, files in (("true", odd), ("false", no_dates)):  # to_date raises an error in ANSI mode
+        for name, content in files.items():
+            f = tmp_path / "px" / name
+            f.parent.mkdir(parents=True, exist_ok=True)
+            f.write_bytes(content)
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            ours, got, want = _both_ways(spark, str(tmp_path / "px"), monkeypatch)
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+        assert not _scans_files(ours)
+        assert got == want
+    for name in no_dates:
+        (tmp_path / "px" / name).unlink()
+    assert {"AAA", "BBB", "a/b", "50%", "e f", "\u00e9", "two", "crlf", "cr", "quotes"} <= {r["symbol"] for r in ours.collect()}
+    for name in ("g.csv.gz", "h i.csv"):  # compressed, and a name that its URI changes: Spark reads the whole folder
+        f = tmp_path / "px" / name
+        f.write_bytes(gzip.compress(head + row) if name.endswith("gz") else head + row)
+        ours, got, want = _both_ways(spark, str(tmp_path / "px"), monkeypatch)
+        assert _scans_files(ours) and got == want
+        f.unlink()
+
+
+def test_long_price_files_are_read_in_pieces(tmp_path):
+    f = tmp_path / "long.csv"
+    for end in ("\n", "\r\n"):
+        rows = [f"2024-01-{d:02d},{'1' * (d % 7)},2,0.5,1.5" for d in range(1, 31)]
+        f.write_bytes(("Date,Open,High,Low,Close" + end + end.join(rows) + end * 2).encode())
+        size = f.stat().st_size
+        for step in (1, 7, 24, 25, 26, 100, size):
+            lines = [line for at in range(0, size, step) for line in source_files._piece_lines(str(f), at, min(at + step, size))]
+            assert lines == [r.encode() for r in rows], step
